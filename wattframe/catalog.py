@@ -26,6 +26,7 @@ from wattframe.plans import views as V
 from wattframe.schemas import FUEL_MAPPING, GENERATION_COLUMNS, GENERATION_FEED, PARTITION_COLUMN
 from wattframe.session import scratch_dir
 from wattframe.sources.files import read_csv, read_feed_json
+from wattframe.sources.inline import inline_table
 from wattframe.sources.sinks import write_csv, write_json_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,10 @@ def _view360(spark, sf):
     return V.generation_360_view(fx.generation(spark, sf), fx.unit_dims(spark, sf))
 
 
+def _view360_literal(spark, sf):
+    return V.generation_360_view_literal(fx.generation(spark, sf), fx.unit_dims(spark, sf))
+
+
 def _view360_latest(spark, sf):
     return V.generation_360_view_latest(fx.generation(spark, sf), fx.unit_dims(spark, sf))
 
@@ -158,7 +163,7 @@ def _csv_blank_join_keys(spark, sf):
     info = fx.unit_info(spark, sf).na.fill("", subset=["fuel_type"])
     info_path, map_path = scratch_dir(spark, "unit-info-csv"), scratch_dir(spark, "mapping-csv")
     write_csv(info, info_path)
-    write_csv(spark.createDataFrame(list(FUEL_MAPPING_ROWS), FUEL_MAPPING), map_path)
+    write_csv(inline_table(spark, FUEL_MAPPING_ROWS, FUEL_MAPPING), map_path)
     from pyspark.sql import types as T
 
     info_schema = T.StructType([T.StructField("bm_unit", T.StringType()), T.StructField("fuel_type", T.StringType())])
@@ -279,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "capacity_latest": _capacity_latest,
     "capacity_as_of": _capacity_as_of,
     "generation_360_view": _view360,
+    "generation_360_view_literal": _view360_literal,
     "generation_360_view_latest": _view360_latest,
     # clean / parse
     "clean_generation": _clean_generation,

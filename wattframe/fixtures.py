@@ -20,6 +20,7 @@ from wattframe.operators.clean import city_reference
 from wattframe.operators.dims import UnitDims
 from wattframe.operators.nearest import nearest_region, region_points
 from wattframe.schemas import FUEL_MAPPING
+from wattframe.sources.inline import inline_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -301,7 +302,7 @@ def overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fuel_mapping(spark: SparkSession, blank_as_null: bool = True) -> DataFrame:
     rows = [tuple((None if (blank_as_null and v == "") else v) for v in r) for r in FUEL_MAPPING_ROWS]
-    return spark.createDataFrame(rows, FUEL_MAPPING)
+    return inline_table(spark, rows, FUEL_MAPPING)
 
 
 def unit_dims(spark: SparkSession, sf_dir: str) -> UnitDims:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattframe.session import materialized
+
 # Default bound on rows for a broadcast side. Dimension rows here are narrow
 # (a few strings and doubles), so this keeps a broadcast well under ~100 MB.
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
@@ -19,12 +21,30 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def row_counts_at_most(dfs: list[DataFrame], max_rows: int) -> list[bool]:
+    """:func:`row_count_at_most` for several frames in a single job."""
+    parts = [
+        df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+        for i, df in enumerate(dfs)
+    ]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    counts = {r["i"]: r["n"] for r in union.collect()}
+    return [counts[i] <= max_rows for i in range(len(dfs))]
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                         materialize: bool = False) -> DataFrame:
     """Mark ``df`` for broadcast only if its row count is proven small.
 
     Otherwise the join is left to the planner (sort-merge / shuffled hash,
-    with AQE skew splitting of hot keys).
+    with AQE skew splitting of hot keys). ``materialize`` writes a derived
+    side to the shared folder first, so the size check and the join do not
+    both recompute it.
     """
+    if materialize:
+        df = materialized(df, "broadcast-side")
     if row_count_at_most(df, max_rows):
         return F.broadcast(df)
     return df

@@ -11,6 +11,7 @@ from wattframe.constants import MANUAL_CITIES
 from wattframe.functions.text import clean_city, explode_list, rename_snake_case, strip_whitespace
 from wattframe.functions.time import parse_timestamp, settlement_day
 from wattframe.operators.dedup import keep_first
+from wattframe.sources.inline import inline_table
 
 
 def clean_generation(raw: DataFrame) -> DataFrame:
@@ -80,7 +81,7 @@ def manual_cities(spark: SparkSession) -> DataFrame:
         T.StructField("longitude", T.DoubleType()),
     ])
     rows = [(i, c, lat, lon) for i, (c, lat, lon) in enumerate(MANUAL_CITIES)]
-    return spark.createDataFrame(rows, schema)
+    return inline_table(spark, rows, schema)
 
 
 def city_union_manual(city_file: DataFrame, spark: SparkSession | None = None) -> DataFrame:

@@ -10,7 +10,6 @@ processed in bounded chunks and the per-chunk winners are reduced by key.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wattframe.functions.geo import haversine_km, is_valid_coordinate
@@ -22,9 +21,11 @@ def region_points(df: DataFrame, name_col: str, order_col: str | None = None,
     """Normalise a region table to (ord, name, lat, lon).
 
     ``order_col`` fixes the tie order (first region wins on equal distance);
-    without it the name order is used.
+    without it ``ord`` is constant and ties go to the smallest name (the
+    candidate struct compares distance, ord, then name), so no global sort
+    is needed.
     """
-    order = F.col(order_col).cast("long") if order_col else F.row_number().over(Window.orderBy(name_col)).cast("long")
+    order = F.col(order_col).cast("long") if order_col else F.lit(0).cast("long")
     return df.select(
         order.alias("ord"),
         F.col(name_col).cast("string").alias("name"),
@@ -56,19 +57,23 @@ def nearest_region(
     distance_col: str | None = None,
     key_cols: list[str] | None = None,
     max_broadcast_regions: int = DEFAULT_MAX_BROADCAST_ROWS,
+    regions_bounded: bool | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = name of the nearest region (and optionally its distance).
 
     ``regions`` must be in the shape of :func:`region_points`. Points with a
     NULL or NaN coordinate get NULL. Exact ties go to the lowest ``ord``.
     ``key_cols`` (a unique key of ``points``) is only needed when the region
-    set exceeds ``max_broadcast_regions``.
+    set exceeds ``max_broadcast_regions``. ``regions_bounded`` passes the
+    result of a size check already made by the caller.
     """
     lat, lon = F.col(lat_col), F.col(lon_col)
     valid = is_valid_coordinate(lat, lon)
     regions = regions.where(is_valid_coordinate(F.col("lat"), F.col("lon")))
 
-    if row_count_at_most(regions, max_broadcast_regions):
+    if regions_bounded is None:
+        regions_bounded = row_count_at_most(regions, max_broadcast_regions)
+    if regions_bounded:
         packed = regions.select(F.sort_array(F.collect_list(F.struct("ord", "name", "lat", "lon"))).alias("r")).scalar()
         # The array is bound to a column first: subqueries may not sit inside
         # a lambda. It is one value per query, evaluated once.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from wattframe.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS
+from wattframe.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_counts_at_most
 from wattframe.operators.nearest import nearest_region
 
 
@@ -24,8 +24,10 @@ def plant_locations(
     shape. Plants are never shuffled while regions fit the broadcast bound.
     """
     key_cols = key_cols or ["dictionary_id"]
+    sets = (("city", cities), ("county", counties), ("gsp_name", gsps))
+    bounded = row_counts_at_most([r for _, r in sets], max_broadcast_regions)  # one job for the three checks
     out = locations
-    for name, regions in (("city", cities), ("county", counties), ("gsp_name", gsps)):
+    for (name, regions), ok in zip(sets, bounded):
         out = nearest_region(out, regions, name, lat_col, lon_col, key_cols=key_cols,
-                             max_broadcast_regions=max_broadcast_regions)
+                             max_broadcast_regions=max_broadcast_regions, regions_bounded=ok)
     return out

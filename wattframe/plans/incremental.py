@@ -110,10 +110,10 @@ def dedup_generation(loads: DataFrame, order: tuple[str, ...] = ("load_id", "qua
     return picked.drop(*drop)
 
 
-def merge_days(batch: DataFrame, table_path: str, files_per_day: int = 4) -> None:
+def merge_days(batch: DataFrame, table_path: str) -> None:
     """Write ``batch`` into the day-partitioned table at ``table_path``,
     replacing exactly the days it contains (idempotent re-runs)."""
-    write_days(batch, table_path, files_per_day=files_per_day)
+    write_days(batch, table_path)
 
 
 def touched_days(batch: DataFrame) -> DataFrame:
@@ -128,4 +128,4 @@ def refresh_daily(spark: SparkSession, facts_path: str, daily_path: str, batch:
     """
     facts = spark.read.parquet(facts_path).join(F.broadcast(touched_days(batch)), PARTITION_COLUMN, "left_semi")
     daily = daily_generation_by_unit(facts).withColumn(PARTITION_COLUMN, F.to_date("settlement_date"))
-    write_days(daily, daily_path, hash_cols=("bm_unit", "settlement_date"))
+    write_days(daily, daily_path, cluster_by=("bm_unit",))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that can be changed on a running session.
 RUNTIME_CONF = {
@@ -53,14 +53,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     Uses ``spark.checkpoint.dir`` as configured by the cluster. Only when it
     is unset (local tests) a fresh local folder is created and registered.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is None:
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        sc.setCheckpointDir(configured)
+    return (configured or sc.getCheckpointDir()).rstrip("/")
+
+
+def materialized(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+
+    Cuts the lineage with one job (a Dataset checkpoint would run the plan
+    twice); the files survive the loss of executors.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

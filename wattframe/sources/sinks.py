@@ -8,7 +8,6 @@ second write of the same day never duplicates it).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wattframe.schemas import GENERATION_KEY, PARTITION_COLUMN
 
@@ -17,22 +16,17 @@ def write_days(
     df: DataFrame,
     path: str,
     partition_col: str = PARTITION_COLUMN,
-    files_per_day: int = 4,
-    cluster_by: str | None = "bm_unit",
-    hash_cols: tuple[str, ...] = GENERATION_KEY,
+    cluster_by: tuple[str, ...] = GENERATION_KEY,
 ) -> None:
     """Write ``df`` into ``path`` partitioned by day, replacing only the days present.
 
-    Rows are spread over ``files_per_day`` files per day by a hash of the
-    natural key, so a hot day is split into several tasks and the number of
-    files per day stays bounded; within a file rows are sorted by
-    ``cluster_by`` so Parquet min/max statistics prune unit filters.
+    Rows are range-partitioned on (day, *cluster_by*): each task writes a
+    contiguous run of days, so a day lands in few files, a hot day is split
+    across several tasks by unit, and AQE sizes the tasks. Within a file rows
+    are sorted by unit so Parquet min/max statistics prune unit filters.
     """
-    hash_cols = tuple(c for c in hash_cols if c in df.columns) or (partition_col,)
-    bucket = F.pmod(F.xxhash64(*hash_cols), F.lit(files_per_day))
-    out = df.repartition(partition_col, bucket)
-    if cluster_by:
-        out = out.sortWithinPartitions(partition_col, cluster_by)
+    keys = [partition_col] + [c for c in cluster_by if c in df.columns and c != partition_col]
+    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
