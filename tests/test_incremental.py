@@ -77,9 +77,9 @@ def test_daily_refresh_matches_full_recompute(spark):
     first = full.where(part <= F.lit("2024-02-03").cast("date"))
     later = spark.createDataFrame(gen_rows(days[2:], bump=1.0), GEN)  # re-published days 3..5
     inc.merge_days(first, facts)
-    inc.refresh_daily(spark, facts, daily, first)
+    inc.refresh_daily(daily, first)
     inc.merge_days(later, facts)
-    inc.refresh_daily(spark, facts, daily, later)
+    inc.refresh_daily(daily, later)
     expect = V.daily_generation_by_unit(spark.read.parquet(facts))
     got = spark.read.parquet(daily).select("bm_unit", "settlement_date", "daily_generation_mwh")
     assert got.count() == 10 and got.exceptAll(expect).count() == 0

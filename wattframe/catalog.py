@@ -262,9 +262,9 @@ def _incremental_daily_refresh(spark, sf):
     initial, batch = _split_loads(spark, sf)
     facts, daily = scratch_dir(spark, "facts"), scratch_dir(spark, "daily")
     inc.merge_days(initial, facts)
-    inc.refresh_daily(spark, facts, daily, initial)
-    inc.merge_days(batch, facts)
-    inc.refresh_daily(spark, facts, daily, batch)
+    inc.refresh_daily(daily, initial)
+    inc.merge_days(batch, facts)  # re-runs two days of the initial load
+    inc.refresh_daily(daily, batch)
     return spark.read.parquet(daily).select("bm_unit", "settlement_date", "daily_generation_mwh")
 
 

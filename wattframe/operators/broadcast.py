@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattframe.session import materialized
 
 # Default bound on rows for a broadcast side. Dimension rows here are narrow
 # (a few strings and doubles), so this keeps a broadcast well under ~100 MB.
@@ -39,12 +38,22 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_RO
     """Mark ``df`` for broadcast only if its row count is proven small.
 
     Otherwise the join is left to the planner (sort-merge / shuffled hash,
-    with AQE skew splitting of hot keys). ``materialize`` writes a derived
-    side to the shared folder first, so the size check and the join do not
-    both recompute it.
+    with AQE skew splitting of hot keys). ``materialize`` is for a derived
+    side (several joins deep): it is cached and fully counted in one job, so
+    the size check and the broadcast build do not both recompute it; a side
+    over the bound is uncached again.
     """
     if materialize:
-        df = materialized(df, "broadcast-side")
+        df = df.cache()
+        if df.count() <= max_rows:
+            return F.broadcast(df)
+        df.unpersist()
+        return df
     if row_count_at_most(df, max_rows):
         return F.broadcast(df)
     return df
+
+
+def broadcast_all_if_bounded(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[DataFrame]:
+    """:func:`broadcast_if_bounded` for several sides with one counting job."""
+    return [F.broadcast(d) if ok else d for d, ok in zip(dfs, row_counts_at_most(dfs, max_rows))]

@@ -69,7 +69,8 @@ def nearest_region(
     """
     lat, lon = F.col(lat_col), F.col(lon_col)
     valid = is_valid_coordinate(lat, lon)
-    regions = regions.where(is_valid_coordinate(F.col("lat"), F.col("lon")))
+    # Cached: the size check and the packed array read the same rows.
+    regions = regions.where(is_valid_coordinate(F.col("lat"), F.col("lon"))).cache()
 
     if regions_bounded is None:
         regions_bounded = row_count_at_most(regions, max_broadcast_regions)

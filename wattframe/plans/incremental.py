@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattframe.constants import INITIAL_LOAD_DAYS, PUBLISH_DELAY_DAYS
@@ -120,12 +120,13 @@ def touched_days(batch: DataFrame) -> DataFrame:
     return batch.select(PARTITION_COLUMN).distinct()
 
 
-def refresh_daily(spark: SparkSession, facts_path: str, daily_path: str, batch: DataFrame) -> None:
+def refresh_daily(daily_path: str, batch: DataFrame) -> None:
     """Recompute daily totals for the days of ``batch`` and overwrite only them.
 
-    The facts are read back from ``facts_path`` with a semi join on the
-    touched days, so only those partitions are recomputed.
+    A merge replaces every day of the batch wholesale (dynamic partition
+    overwrite), so after :func:`merge_days` the facts of a touched day are
+    exactly the batch rows of that day: the refresh needs no read of the
+    fact table, and untouched days are not recomputed.
     """
-    facts = spark.read.parquet(facts_path).join(F.broadcast(touched_days(batch)), PARTITION_COLUMN, "left_semi")
-    daily = daily_generation_by_unit(facts).withColumn(PARTITION_COLUMN, F.to_date("settlement_date"))
-    write_days(daily, daily_path, cluster_by=("bm_unit",))
+    daily = daily_generation_by_unit(batch).withColumn(PARTITION_COLUMN, F.to_date("settlement_date"))
+    write_days(daily, daily_path)

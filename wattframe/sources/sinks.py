@@ -9,24 +9,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from wattframe.schemas import GENERATION_KEY, PARTITION_COLUMN
+from wattframe.schemas import PARTITION_COLUMN
 
 
 def write_days(
     df: DataFrame,
     path: str,
     partition_col: str = PARTITION_COLUMN,
-    cluster_by: tuple[str, ...] = GENERATION_KEY,
+    cluster_by: tuple[str, ...] = ("bm_unit",),
 ) -> None:
     """Write ``df`` into ``path`` partitioned by day, replacing only the days present.
 
-    Rows are range-partitioned on (day, *cluster_by*): each task writes a
-    contiguous run of days, so a day lands in few files, a hot day is split
-    across several tasks by unit, and AQE sizes the tasks. Within a file rows
-    are sorted by unit so Parquet min/max statistics prune unit filters.
+    ``rebalance`` hashes days over one task per core, so a day is normally
+    written by one task into one file, and AQE splits a hot day (one holding
+    much more than the advisory partition size) over several tasks. No
+    sampling pass is needed. Within a file rows are sorted by unit so Parquet
+    min/max statistics prune unit filters.
     """
-    keys = [partition_col] + [c for c in cluster_by if c in df.columns and c != partition_col]
-    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    keys = [c for c in cluster_by if c in df.columns and c != partition_col]
+    out = df.hint("rebalance", tasks, partition_col).sortWithinPartitions(partition_col, *keys)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
