@@ -325,20 +325,3 @@ def raw_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     )
     return o.select(k.alias("o_orderkey"), text.alias("raw_text"))
-
-
-def events_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense generation over events: half-hour periods from the event time."""
-    e = table(spark, sf_dir, "events")
-    ts = F.col("ts")
-    start = F.date_trunc("hour", ts).cast("timestamp_ntz") + F.make_dt_interval(mins=F.when(F.minute(ts) >= 30, 30).otherwise(0))
-    period = (F.hour(ts) * 2 + F.when(F.minute(ts) >= 30, 1).otherwise(0) + 1).cast("int")
-    return e.select(
-        unit_id(F.col("user_id")).alias("bm_unit"),
-        (start + F.make_dt_interval(mins=F.lit(30))).alias("half_hour_end_time"),
-        F.concat(F.lit("NG_"), F.col("user_id").cast("string")).alias("national_grid_bm_unit_id"),
-        (F.col("value") - _d(20.0)).alias("quantity"),
-        F.date_trunc("day", ts).cast("timestamp_ntz").alias("settlement_date"),
-        period.alias("settlement_period"),
-        F.to_date(ts).alias("settlement_date_partition"),
-    )
