@@ -70,4 +70,4 @@ def test_bad_timestamp_gives_null_not_error(spark):
     got = [r.ts for r in df.select(parse_timestamp(F.col("t")).alias("ts")).collect()]
     assert got[0] is None and got[2] is None
     assert got[1] is not None
-    assert df.select(parse_timestamp(F.col("t")).alias("ts")).schema["ts"].dataType == T.TimestampType()
+    assert df.select(parse_timestamp(F.col("t")).alias("ts")).schema["ts"].dataType == T.TimestampNTZType()

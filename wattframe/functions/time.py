@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 
 def parse_timestamp(c: Column, fmt: str | None = None) -> Column:
-    """Text -> timestamp; unparseable text gives NULL instead of an error."""
-    return F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
+    """Text -> timestamp; unparseable text gives NULL instead of an error.
+
+    The text is read as an instant (an offset such as 'Z' is honoured) and
+    stored as wall-clock time without zone (``timestamp_ntz``) in the session
+    time zone, which :func:`wattframe.session.build_session` pins to UTC: all
+    domain timestamps are UTC wall clock and compare without conversion.
+    """
+    ts = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
+    return ts.cast("timestamp_ntz")
 
 
 def settlement_day(ts: Column) -> Column:

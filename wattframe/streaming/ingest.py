@@ -10,6 +10,7 @@ publication lag, so old-day backfills go through the batch merge
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattframe.operators.clean import clean_generation
@@ -24,7 +25,10 @@ def generation_stream(spark: SparkSession, landing_dir: str, watermark: str = "3
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(landing_dir)
     cleaned = clean_generation(raw).where("settlement_date IS NOT NULL")
-    return cleaned.withWatermark("settlement_date", watermark).dropDuplicatesWithinWatermark(list(GENERATION_KEY))
+    # Watermarks need a zoned timestamp; domain timestamps are UTC wall clock.
+    with_time = cleaned.withColumn("_event_time", F.col("settlement_date").cast("timestamp"))
+    deduped = with_time.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark(list(GENERATION_KEY))
+    return deduped.drop("_event_time")
 
 
 def start_generation_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_path: str,
