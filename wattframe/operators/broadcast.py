@@ -14,18 +14,16 @@ DEFAULT_MAX_BROADCAST_ROWS = 500_000
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows, so the check is cheap even when the
-    answer is no.
+    A plain distributed count: each task counts its rows and only one number
+    per task moves. (``limit(n + 1).count()`` would instead funnel up to n
+    rows from every task through a single-partition exchange.)
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def row_counts_at_most(dfs: list[DataFrame], max_rows: int) -> list[bool]:
     """:func:`row_count_at_most` for several frames in a single job."""
-    parts = [
-        df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
-        for i, df in enumerate(dfs)
-    ]
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, df in enumerate(dfs)]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
