@@ -12,6 +12,8 @@ interconnector pattern).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,11 @@ from wattframe.schemas import FUEL_MAPPING
 from wattframe.sources.inline import inline_table
 
 
+@functools.lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver test table. A DataFrame is an immutable lazy plan, so the
+    same file is described once per session and directory instead of being
+    listed and its footer read again for every adapter."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
