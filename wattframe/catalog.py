@@ -22,6 +22,7 @@ from wattframe.operators.broadcast import broadcast_if_bounded
 from wattframe.operators.dims import capacity_as_of, capacity_latest
 from wattframe.operators.nearest import nearest_region
 from wattframe.plans import incremental as inc
+from wattframe.plans import sql as S
 from wattframe.plans import views as V
 from wattframe.schemas import FUEL_MAPPING, GENERATION_COLUMNS, GENERATION_FEED, PARTITION_COLUMN
 from wattframe.session import scratch_dir
@@ -100,6 +101,16 @@ def _capacity_as_of(spark, sf):
     return capacity_as_of(V.unit_days(fx.generation(spark, sf)), cap)
 
 
+# --- the same reports as Spark SQL over registered views ------------------------------
+
+def _sql_query(statement):
+    def run(spark, sf):
+        S.register_views(fx.generation(spark, sf), fx.unit_dims(spark, sf), prefix="wf_")
+        return spark.sql(statement("wf_"))
+
+    return run
+
+
 # --- cleaning and parsing -------------------------------------------------------------
 
 def _clean_generation(spark, sf):
@@ -286,6 +297,10 @@ QUERIES: dict[str, Query] = {
     "generation_360_view": _view360,
     "generation_360_view_literal": _view360_literal,
     "generation_360_view_latest": _view360_latest,
+    # SQL over registered views (S6 + C7-C9 as statements)
+    "generation_360_view_sql": _sql_query(S.generation_360_view_sql),
+    "daily_generation_by_unit_sql": _sql_query(S.daily_generation_by_unit_sql),
+    "county_top_source_sql": _sql_query(S.county_top_source_sql),
     # clean / parse
     "clean_generation": _clean_generation,
     "json_roundtrip_generation": _json_roundtrip,
