@@ -16,6 +16,13 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Only for sessions created here: AQE coalesces shuffle partitions down to
+# this size when data is small, so small inputs still use every core (large
+# inputs are unaffected: their partitions are far bigger).
+NEW_SESSION_CONF = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+}
+
 
 def build_session(
     app_name: str = "wattframe",
@@ -36,7 +43,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for k, v in RUNTIME_CONF.items():
+    for k, v in {**RUNTIME_CONF, **NEW_SESSION_CONF}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
