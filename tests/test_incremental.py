@@ -116,3 +116,32 @@ def test_available_now_stream_matches_batch_and_drops_republished(spark):
     out = spark.read.parquet(table)
     assert out.count() == 4  # the re-published (T_A, 01-01, 1) row is dropped
     assert out.where("quantity = 9.0").count() == 0
+
+
+def test_dates_from_file_paths_and_unshuffled_view_write(spark):
+    from wattframe.fixtures import fuel_mapping
+    from wattframe.operators.dims import UnitDims
+
+    days = [dt.date(2024, 4, d) for d in (1, 2, 4)]
+    gen = spark.createDataFrame(gen_rows(days), GEN)
+    path = scratch_dir(spark, "paths-test")
+    inc.merge_days(gen, path)
+    got = sorted(str(r[0]) for r in inc.settlement_dates_in_files(spark, path).collect())
+    assert got == ["2024-04-01", "2024-04-02", "2024-04-04"]
+
+    empty = lambda schema: spark.createDataFrame([], schema)
+    dims = UnitDims(
+        capacity=empty("bm_unit string, publish_time timestamp, effective_from timestamp, psr_type string, "
+                       "installed_capacity double"),
+        plant_id=empty("bm_unit string, dictionary_id bigint, name string"),
+        plant_location=empty("dictionary_id bigint, latitude double, longitude double, city string, "
+                             "county string, gsp_name string"),
+        unit_info=spark.createDataFrame([("T_A", "WIND")], "bm_unit string, fuel_type string"),
+        fuel_mapping=fuel_mapping(spark),
+        overlay=empty("bm_unit string, psr_type string, latitude double, longitude double"),
+    )
+    out = scratch_dir(spark, "view-test")
+    V.write_generation_360_view(spark.read.parquet(path), dims, out)
+    back = spark.read.parquet(out)
+    assert back.count() == gen.count()
+    assert back.where("bm_unit = 'T_A'").select("source_category").distinct().first()[0] == "Clean"

@@ -89,6 +89,15 @@ def settlement_dates_present(table: DataFrame, partition_col: str = PARTITION_CO
     return table.select(partition_col).distinct()
 
 
+def settlement_dates_in_files(spark, path: str, partition_col: str = PARTITION_COLUMN) -> DataFrame:
+    """Days present in a landed Parquet dataset, taken from the file paths
+    (``.../<partition_col>=YYYY-MM-DD/...``) rather than from data columns.
+    Works for loose files whose directories were not discovered as partitions."""
+    files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("_path")).distinct()
+    day = F.regexp_extract("_path", rf"{partition_col}=(\d{{4}}-\d{{2}}-\d{{2}})", 1)
+    return files.select(F.to_date(day).alias(partition_col)).where(F.col(partition_col).isNotNull()).distinct()
+
+
 def missing_settlement_dates(table: DataFrame, partition_col: str = PARTITION_COLUMN) -> DataFrame:
     """Every day between the first and last day present that has no rows.
 

@@ -17,18 +17,24 @@ def write_days(
     path: str,
     partition_col: str = PARTITION_COLUMN,
     cluster_by: tuple[str, ...] = ("bm_unit",),
+    rebalance: bool = True,
 ) -> None:
     """Write ``df`` into ``path`` partitioned by day, replacing only the days present.
 
     ``rebalance`` hashes days over one task per core, so a day is normally
     written by one task into one file, and AQE splits a hot day (one holding
     much more than the advisory partition size) over several tasks. No
-    sampling pass is needed. Within a file rows are sorted by unit so Parquet
-    min/max statistics prune unit filters.
+    sampling pass is needed. Pass ``rebalance=False`` when ``df`` is already
+    day-aligned (e.g. a row-wise transform of a scan of a day-partitioned
+    table): each task then writes the day it read, with no shuffle. Within a
+    file rows are sorted by unit so Parquet min/max statistics prune unit
+    filters.
     """
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, 1)
     keys = [c for c in cluster_by if c in df.columns and c != partition_col]
-    out = df.hint("rebalance", tasks, partition_col).sortWithinPartitions(partition_col, *keys)
+    if rebalance:
+        tasks = max(df.sparkSession.sparkContext.defaultParallelism, 1)
+        df = df.hint("rebalance", tasks, partition_col)
+    out = df.sortWithinPartitions(partition_col, *keys)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
