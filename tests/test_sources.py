@@ -80,3 +80,14 @@ def test_city_reference_keep_first_and_official_filter(spark):
     assert got["Swansea"] == (4.0, 4.0)
     assert got["Douglas"] == (55.5499978, -3.8499966)  # manual row kept when official
     assert "Elsewhere" not in got
+
+
+def test_keep_first_follows_csv_file_order(spark):
+    from wattframe.operators.dedup import keep_first
+    from wattframe.schemas import CITY_COORDINATES
+
+    root = scratch_dir(spark, "order-test")
+    _write(f"{root}/c.csv", "city,lat,lng\nBath,1.0,1.0\nYork,2.0,2.0\nBath,3.0,3.0\nYork,4.0,4.0\n")
+    df = read_csv(spark, root, CITY_COORDINATES, with_file_order="ord")
+    got = {r.city: r.lat for r in keep_first(df, ["city"], ["ord"]).collect()}
+    assert got == {"Bath": 1.0, "York": 2.0}
