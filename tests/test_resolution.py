@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from wattframe.fixtures import fuel_mapping
 from wattframe.operators.dims import UnitDims, capacity_latest

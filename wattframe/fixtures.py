@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from wattframe.constants import FUEL_MAPPING_ROWS
 from wattframe.operators.clean import city_reference
 from wattframe.operators.dims import UnitDims
-from wattframe.operators.nearest import nearest_region, region_points
+from wattframe.operators.nearest import region_points
 from wattframe.schemas import FUEL_MAPPING
 from wattframe.sources.inline import inline_table
 
