@@ -50,3 +50,20 @@ def read_parquet_table(spark: SparkSession, path: str, days: tuple[str, str] | N
         part = F.col(partition_col)
         df = df.where((part >= F.lit(days[0]).cast("date")) & (part <= F.lit(days[1]).cast("date")))
     return df
+
+
+def read_csv_columns(spark: SparkSession, path: str | list[str], columns: dict[str, T.DataType],
+                     blank_as_null: bool = True) -> DataFrame:
+    """Read a headed CSV that may carry extra columns in any order: every
+    cell is read as text, then the named columns are selected and cast
+    (ANSI-safe: values that do not parse become NULL)."""
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    out = []
+    for name, dtype in columns.items():
+        c = F.col(f"`{name}`")
+        if blank_as_null:
+            c = F.when(c != "", c)
+        elif isinstance(dtype, T.StringType):
+            c = F.coalesce(c, F.lit(""))
+        out.append((c if isinstance(dtype, T.StringType) else c.try_cast(dtype)).alias(name))
+    return raw.select(*out)
