@@ -58,3 +58,13 @@ def test_ingest_reference_and_reports(spark):
     assert daily.count() == 6
     view = spark.read.parquet(f"{out}/generation_capacity_360_view")
     assert view.where("bm_unit = 'I_FR'").select("source_category").distinct().first()[0] == "Interconnector"
+
+
+def test_ingest_json_array_response(spark):
+    root = scratch_dir(spark, "jobs-array")
+    rows = [_gen("T_A", "2024-03-05", p, 1.0 * p) for p in (1, 2, 3)]
+    _write(f"{root}/landing/a.json", json.dumps(rows))  # one response saved as a JSON array
+    _write(f"{root}/landing/b.json", "null")             # an empty response
+    jobs.ingest_generation(spark, f"{root}/landing", f"{root}/tables", multiline=True)
+    got = spark.read.parquet(f"{root}/tables/generation")
+    assert got.count() == 3 and got.agg({"quantity": "sum"}).first()[0] == 6.0

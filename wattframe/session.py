@@ -51,12 +51,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Uses ``spark.checkpoint.dir`` as configured by the cluster. Only when it
-    is unset (local tests) a fresh local folder is created and registered.
+    is unset and the master is local (tests) a fresh local folder is created
+    and registered; on a cluster an unset setting is an error, since a
+    machine-local folder is not visible to the executors.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
         if not configured:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
             configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
             spark.conf.set("spark.checkpoint.dir", configured)
         sc.setCheckpointDir(configured)
