@@ -24,7 +24,7 @@ from wattframe.operators.nearest import nearest_region
 from wattframe.plans import incremental as inc
 from wattframe.plans import sql as S
 from wattframe.plans import views as V
-from wattframe.schemas import FUEL_MAPPING, GENERATION_COLUMNS, GENERATION_FEED, PARTITION_COLUMN
+from wattframe.schemas import FUEL_MAPPING, GENERATION_COLUMNS, GENERATION_FEED, GENERATION_KEY, PARTITION_COLUMN
 from wattframe.session import scratch_dir
 from wattframe.sources.files import read_csv, read_feed_json
 from wattframe.sources.inline import inline_table
@@ -123,6 +123,17 @@ def _json_roundtrip(spark, sf):
     return clean.clean_generation(read_feed_json(spark, path, GENERATION_FEED))
 
 
+def _stream_ingest(spark, sf):
+    """Land the feed as JSON lines, run one available-now stream into a table,
+    return the de-duplicated keys (order-independent, so checkable)."""
+    from wattframe.streaming import start_generation_ingest
+
+    landing, table, ckpt = (scratch_dir(spark, n) for n in ("stream-landing", "stream-table", "stream-ckpt"))
+    write_json_lines(fx.generation_feed(spark, sf), landing)
+    start_generation_ingest(spark, landing, table, ckpt, partition_by=None).awaitTermination()
+    return spark.read.parquet(table).select(*GENERATION_KEY, PARTITION_COLUMN).distinct()
+
+
 def _capacity_clean(spark, sf):
     return clean.clean_capacity(fx.capacity_feed(spark, sf))
 
@@ -304,6 +315,7 @@ QUERIES: dict[str, Query] = {
     # clean / parse
     "clean_generation": _clean_generation,
     "json_roundtrip_generation": _json_roundtrip,
+    "stream_ingest_generation": _stream_ingest,
     "capacity_clean": _capacity_clean,
     "parse_timestamps": _parse_timestamps,
     "snake_case_columns": _snake_case,

@@ -32,15 +32,18 @@ def generation_stream(spark: SparkSession, landing_dir: str, watermark: str = "3
 
 
 def start_generation_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_path: str,
-                            available_now: bool = True, watermark: str = "3 days") -> StreamingQuery:
-    """Append new rows into the partitioned table; ``available_now`` processes
-    whatever has landed and stops (a scheduled daily run)."""
+                            available_now: bool = True, watermark: str = "3 days",
+                            partition_by: str | None = PARTITION_COLUMN) -> StreamingQuery:
+    """Append new rows into the table (partitioned by day unless
+    ``partition_by`` is None); ``available_now`` processes whatever has
+    landed and stops (a scheduled daily run)."""
     writer = (
         generation_stream(spark, landing_dir, watermark)
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_path)
-        .partitionBy(PARTITION_COLUMN)
         .outputMode("append")
     )
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(table_path)
