@@ -32,6 +32,17 @@ def test_windows_example(spark):
     assert (str(r.initial_from), str(r.initial_to), str(r.batch_day)) == ("2024-03-16", "2024-03-18", "2024-03-19")
 
 
+def test_capacity_windows_example(spark):
+    w = inc.capacity_windows("2024-03-26")
+    r = spark.range(1).select(*[c.alias(k) for k, c in w.items()]).first()
+    assert [str(r[k]) for k in ("initial_from", "initial_to", "batch_from", "batch_to")] == [
+        "2023-01-01", "2024-03-25", "2024-03-25", "2024-03-26"]
+    cap = spark.createDataFrame(
+        [(dt.datetime(2024, 3, 24, 23, 0),), (dt.datetime(2024, 3, 25, 0, 0),), (dt.datetime(2024, 3, 26, 0, 0),)],
+        "publish_time timestamp_ntz")
+    assert inc.in_publish_window(cap, w["batch_from"], w["batch_to"]).count() == 1
+
+
 def test_catch_up_example(spark):
     days = [dt.date(2024, 3, d) for d in (14, 15, 16)]
     g = spark.createDataFrame(gen_rows(days), GEN)

@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattframe.constants import INITIAL_LOAD_DAYS, PUBLISH_DELAY_DAYS
+from wattframe.constants import CAPACITY_HISTORY_START, INITIAL_LOAD_DAYS, PUBLISH_DELAY_DAYS
 from wattframe.functions.numeric import exact_sum
 from wattframe.operators.dedup import keep_last
 from wattframe.plans.views import daily_generation_by_unit
@@ -44,6 +44,27 @@ def ingest_windows(today: DateLike, initial_days: int = INITIAL_LOAD_DAYS,
     }
 
 
+def capacity_windows(today: DateLike, history_start: DateLike = CAPACITY_HISTORY_START) -> dict[str, Column]:
+    """Publication-time windows of the capacity feed for a run on ``today``.
+
+    initial load: [history_start, yesterday) ; daily batch: [yesterday, today),
+    both half-open on ``publish_time`` midnights.
+    """
+    t = _date(today)
+    return {
+        "initial_from": _date(history_start),
+        "initial_to": F.date_sub(t, 1),
+        "batch_from": F.date_sub(t, 1),
+        "batch_to": t,
+    }
+
+
+def in_publish_window(capacity: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Capacity rows published in [start, end) (dates, at midnight)."""
+    ts = F.col("publish_time")
+    return capacity.where((ts >= start.cast("timestamp_ntz")) & (ts < end.cast("timestamp_ntz")))
+
+
 def ingest_window_report(generation: DataFrame, today: DateLike | None = None,
                          initial_days: int = INITIAL_LOAD_DAYS, delay_days: int = PUBLISH_DELAY_DAYS) -> DataFrame:
     """Rows and MWh per day in the initial and batch windows of ``today``.
