@@ -278,11 +278,11 @@ def _partitioned_roundtrip(spark, sf):
 
 
 def _incremental_daily_refresh(spark, sf):
+    """Daily totals maintained incrementally: the initial days, then a batch
+    that re-runs two of them; only the batch's days are recomputed."""
     initial, batch = _split_loads(spark, sf)
-    facts, daily = scratch_dir(spark, "facts"), scratch_dir(spark, "daily")
-    inc.merge_days(initial, facts)
+    daily = scratch_dir(spark, "daily")
     inc.refresh_daily(daily, initial)
-    inc.merge_days(batch, facts)  # re-runs two days of the initial load
     inc.refresh_daily(daily, batch)
     return spark.read.parquet(daily).select("bm_unit", "settlement_date", "daily_generation_mwh")
 
