@@ -3,7 +3,7 @@
 Runs on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]`` (default 8). Each query is forced to run completely
 through the ``noop`` sink (no collect), once to warm up (JIT) and then
-``$BENCH_REPEAT`` times (default 3); the median is reported. Prints one JSON
+``$BENCH_REPEAT`` times (default 5); the median is reported. Prints one JSON
 line. The Spark cache is cleared before every timed run, so cached
 dimensions are rebuilt each time.
 """
@@ -64,7 +64,7 @@ def _merge_one_day(spark, sf):
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus * 2,
                           extra={"spark.driver.memory": "8g"})
     reg = queries()
