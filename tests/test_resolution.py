@@ -122,3 +122,23 @@ def test_rollup_marks_subtotals(spark):
     assert rows[(None, None, 3)] == 3.0
     assert rows[("k", None, 1)] == 1.0
     assert rows[(None, "Wind", 0)] == 2.0  # real NULL county, not a subtotal
+
+
+def test_sql_statements_over_parquet_views_equal_dataframe_plans(spark):
+    from wattframe.plans import sql as S
+    from wattframe.session import scratch_dir
+
+    g = gen(spark, [("T_1", 1.0), ("T_2", 2.0), ("I_3", 3.0)])
+    d = dims(spark, capacity=[("T_1", D, D, "Wind Onshore", 5.0)], unit_info=[("T_2", "CCGT")],
+             plant_id=[("T_1", 7, "P7")], location=[(7, 52.0, -1.0, "C1", "K1", "G1")])
+    root = scratch_dir(spark, "views-test")
+    frames = {"generation": g, "capacity": d.capacity, "plant_id": d.plant_id, "plant_location": d.plant_location,
+              "unit_info": d.unit_info, "fuel_mapping": d.fuel_mapping, "overlay": d.overlay}
+    for name, df in frames.items():
+        df.write.parquet(f"{root}/{name}")
+    S.register_parquet_views(spark, {n: f"{root}/{n}" for n in frames}, prefix="t_")
+    sql_rows = sorted(map(tuple, spark.sql(S.generation_360_view_sql("t_")).collect()), key=str)
+    df_rows = sorted(map(tuple, V.generation_360_view(g, d).collect()), key=str)
+    assert sql_rows == df_rows
+    top = {r.county: r.source_category for r in spark.sql(S.county_top_source_sql("t_")).collect()}
+    assert top == {"K1": "Clean", None: "Fossil"}

@@ -91,3 +91,15 @@ def test_keep_first_follows_csv_file_order(spark):
     df = read_csv(spark, root, CITY_COORDINATES, with_file_order="ord")
     got = {r.city: r.lat for r in keep_first(df, ["city"], ["ord"]).collect()}
     assert got == {"Bath": 1.0, "York": 2.0}
+
+
+def test_read_csv_columns_by_name_with_extra_columns(spark):
+    from wattframe.sources.files import read_csv_columns
+
+    root = scratch_dir(spark, "bycol-test")
+    _write(f"{root}/p.csv", "note,longitude,dictionary_id,latitude\nx,-1.5,7,52.0\ny,oops,8,\n")
+    df = read_csv_columns(spark, root, {"dictionary_id": T.LongType(), "latitude": T.DoubleType(),
+                                        "longitude": T.DoubleType()})
+    assert df.columns == ["dictionary_id", "latitude", "longitude"]
+    got = {r.dictionary_id: (r.latitude, r.longitude) for r in df.collect()}
+    assert got == {7: (52.0, -1.5), 8: (None, None)}  # blank and unparseable values become NULL
