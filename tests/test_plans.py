@@ -29,6 +29,8 @@ def test_county_ranking_aggregates_before_the_join(spark, sf_small):
 
 
 @pytest.mark.parametrize("key", READ_ONLY_KEYS)
-def test_no_python_evaluation(spark, sf_small, key):
+def test_no_python_evaluation_and_no_row_caps(spark, sf_small, key):
     plan = _plan(E.queries()[key](spark, sf_small))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    # whole tables: no LIMIT anywhere (WindowGroupLimit is the top-1 ranking itself)
+    assert not any(op in plan for op in ("GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrderedAndProject"))
