@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,11 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table; also lets Python workers that are started from now on import this package.
+
+    Clusters get the package by ``--py-files`` or an image; the path serves local sessions.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

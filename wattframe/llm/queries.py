@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattframe.llm import exact, mixing, packing
+from wattframe.llm import exact, jaccard, mixing, packing, substrings
 from wattframe.llm.common import documents
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir), words=3, num=9, den=10)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(documents(spark, sf_dir))
 
@@ -21,12 +29,33 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op3_mixing": op3_mixing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_packing": op10_packing,
 }
 
 SQL = {
+    "op1_jaccard_join": """
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) >= 3 THEN array_to_string(w[i:i + 2], ' ') ELSE array_to_string(w, ' ') END AS t
+      FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 1, 2))) AS i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.t = b.t AND a.doc_id != b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 90 * (x.n + y.n - o)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.b) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.a = d.doc_id GROUP BY d.doc_id""",
+    "op5_substring_dedup": """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS t FROM d, LATERAL (SELECT unnest(range(1, len(w) - 11)) AS i)),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY t) AS first FROM x),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM f WHERE first < doc_id),
+a AS (SELECT d.doc_id, len(w) AS n, w, (SELECT list(g.i) FROM g WHERE g.doc_id = d.doc_id) AS gone FROM d)
+SELECT doc_id, n AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string([w[i] for i in range(1, n + 1) if NOT list_contains(coalesce(gone, []), i)], ' ')) AS kept_sha256 FROM a""",
     "op8_exact_dedup": """
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                   sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g')) AS digest FROM documents),

@@ -104,8 +104,8 @@ class Words:
 def sequence_hash(h: np.ndarray) -> np.uint64:
     """Order-sensitive hash of a sequence of hashes, its length included."""
     up, _ = _powers(len(h) + 1)
-    total = np.sum(h * up[:len(h)], dtype=U) if len(h) else U(0)
-    return mix(np.array([total + U(len(h)) * _STEP], dtype=U))[0]
+    total = np.sum(h * up[:len(h)], dtype=U, keepdims=True)
+    return mix(total + np.array([len(h)], dtype=U) * _STEP)[0]
 
 
 def chunks(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1 << 20):
