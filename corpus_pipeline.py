@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattframe.llm import common, exact, mixing, packing
+from wattframe.llm import common, exact, jaccard, mixing, packing, quality
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts; it is fitted on the labelled ones among ``docs``."""
+    return quality.accepted_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,6 +17,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.kept_documents(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (five-word shingles, similarity 0.8 or more)."""
+    return jaccard.near_distinct_documents(docs, words=5, num=4, den=5)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     return mixing.mixed_documents(docs)
@@ -23,7 +33,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", quality_filter),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
     ("mix_sources", mix_sources),
     ("pack", pack),
 ]

@@ -218,7 +218,7 @@ def packed(docs: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     before = per_part.select("length", "part", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
-    numbered = cut.join(before, ["length", "part"]).select(
+    numbered = cut.join(before.hint("merge"), ["length", "part"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("number") + F.col("before")).alias("number"))
 
     def place(batches):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattframe.llm import exact, jaccard, mixing, packing, substrings
+from wattframe.llm import exact, jaccard, mixing, packing, quality, substrings
 from wattframe.llm.common import documents
 
 
@@ -16,6 +16,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -31,6 +35,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op3_mixing": op3_mixing,
+    "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_packing": op10_packing,
