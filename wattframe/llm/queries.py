@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattframe.llm import exact, jaccard, mixing, packing, quality, substrings
+from wattframe.llm import exact, fingerprints, jaccard, lm, mixing, packing, pii, quality, substrings
 from wattframe.llm.common import documents
 
 
@@ -12,6 +12,10 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir), words=3, num=9, den=10)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -24,20 +28,31 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir)).drop("found")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(documents(spark, sf_dir))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scored(documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir))
 
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_fingerprints": op2_fingerprints,
     "op3_mixing": op3_mixing,
     "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
+    "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_packing": op10_packing,
 }
 
