@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattframe.llm import exact, fingerprints, jaccard, lm, mixing, packing, pii, quality, substrings
+from wattframe.llm import exact, fingerprints, jaccard, licenses, lm, mixing, packing, pii, quality, substrings
 from wattframe.llm.common import documents
 
 
@@ -28,6 +28,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(documents(spark, sf_dir))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(documents(spark, sf_dir)).drop("found")
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_licenses": op6_licenses,
     "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_lm_scoring": op9_lm_scoring,
