@@ -5,13 +5,14 @@ from pyspark.sql import types as T
 
 from wattframe.functions import (
     clean_city,
-    exact_sum,
     explode_list,
     haversine_km,
     is_interconnector,
     parse_timestamp,
+    settlement_day,
     snake_case,
     strip_whitespace,
+    total,
 )
 
 
@@ -55,14 +56,27 @@ def test_haversine_known_distance(spark):
     assert got[1] == 0.0
 
 
-def test_exact_sum_is_order_independent(spark):
-    vals = [0.1, 0.2, 0.3, 1e6 + 0.0001, -0.3, 7.25]
-    a = spark.createDataFrame([(v,) for v in vals], "q double").repartition(3)
-    b = spark.createDataFrame([(v,) for v in reversed(vals)], "q double").coalesce(1)
-    sa = a.agg(exact_sum(F.col("q")).alias("s")).first().s
-    sb = b.agg(exact_sum(F.col("q")).alias("s")).first().s
-    assert sa == sb
-    assert math.isclose(sa, sum(vals), rel_tol=1e-12)
+def test_totals_keep_small_values_and_nan(spark):
+    small = spark.createDataFrame([(0.00004,)] * 1000, "q double").repartition(3)
+    assert math.isclose(small.agg(total(F.col("q"))).first()[0], 0.04, rel_tol=1e-9)
+    odd = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "q double")
+    assert math.isnan(odd.agg(total(F.col("q"))).first()[0])
+
+
+def test_timestamps_do_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([("2024-03-10T02:30:00Z",), ("2024-11-03 01:30:00",), ("2024-11-03T07:30:00+02:00",), ("2024-01-02",)], "t string")
+    seen = []
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            ts = parse_timestamp(F.col("t"))
+            seen.append([tuple(r) for r in df.select(ts.cast("string"), settlement_day(ts).cast("string")).collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert seen[0] == seen[1] == seen[2]
+    assert seen[0] == [("2024-03-10 02:30:00", "2024-03-10"), ("2024-11-03 01:30:00", "2024-11-03"),
+                       ("2024-11-03 05:30:00", "2024-11-03"), ("2024-01-02 00:00:00", "2024-01-02")]
 
 
 def test_bad_timestamp_gives_null_not_error(spark):

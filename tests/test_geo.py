@@ -1,4 +1,4 @@
-"""Nearest region: ties, NULL/NaN, brute-force equality, chunked fallback."""
+"""Nearest region: ties, NULL/NaN, brute-force equality, packed regions and grid cells."""
 
 import math
 
@@ -17,18 +17,29 @@ def test_tie_goes_to_first_region_and_bad_coords_to_null(spark):
     r = regions(spark, [(0, "B", 51.0, 1.0), (1, "A", 51.0, -1.0), (2, "C", 60.0, 0.0)])
     pts = spark.createDataFrame([(1, 51.0, 0.0), (2, None, 0.0), (3, float("nan"), 0.0), (4, 59.0, 0.0)],
                                 "id long, latitude double, longitude double")
-    got = {x.id: x.region for x in nearest_region(pts, r, "region", key_cols=["id"]).collect()}
+    got = {x.id: x.region for x in nearest_region(pts, r, "region").collect()}
     assert got == {1: "B", 2: None, 3: None, 4: "C"}
 
 
-def test_name_order_breaks_ties_without_order_column(spark):
-    df = spark.createDataFrame([("Zed", 51.0, 1.0), ("Abe", 51.0, -1.0)], "name string, latitude double, longitude double")
-    r = region_points(df, "name")
+def test_order_is_compared_as_a_pair(spark):
+    df = spark.createDataFrame([(1, 0, "manual", 51.0, 1.0), (0, 1 << 41, "file", 51.0, -1.0)],
+                               "source_rank int, ord long, name string, latitude double, longitude double")
+    r = region_points(df, "name", ("source_rank", "ord"))
     pts = spark.createDataFrame([(1, 51.0, 0.0)], "id long, latitude double, longitude double")
-    assert nearest_region(pts, r, "region").first().region == "Abe"
+    for packed in (10, 0):
+        assert nearest_region(pts, r, "region", packed_regions=packed).first().region == "file"
 
 
-def test_matches_brute_force_and_chunked_fallback(spark):
+def test_cells_equal_packed_for_duplicate_and_null_ids(spark):
+    r = regions(spark, [(0, "A", 51.0, 1.0), (1, "B", 51.0, -1.0), (2, "C", -40.0, 170.0), (3, "D", float("nan"), 0.0)])
+    pts = spark.createDataFrame([(1, 51.0, 0.9), (1, 51.0, -0.9), (None, -41.0, -179.0), (1, 51.0, 0.0), (2, None, 1.0),
+                                 (None, 51.0, 0.9), (7, 51.0, 0.9), (7, 51.0, 0.9)], "id long, latitude double, longitude double")
+    both = [sorted(map(tuple, nearest_region(pts, r, "region", distance_col="d", packed_regions=n).collect()), key=str) for n in (10, 0)]
+    assert both[0] == both[1] and len(both[0]) == 8
+    assert nearest_region(pts, r.limit(0), "region", packed_regions=0).where("region is not null").count() == 0
+
+
+def test_matches_brute_force_in_both_ways(spark):
     rows = [(i, f"R{i}", 50.0 + (i * 37 % 100) / 10.0, -6.0 + (i * 53 % 80) / 10.0) for i in range(60)]
     r = regions(spark, rows)
     pts = spark.range(200).select(
@@ -36,10 +47,9 @@ def test_matches_brute_force_and_chunked_fallback(spark):
         (F.lit(49.5) + (F.col("id") * 13 % 110) / F.lit(10.0)).alias("latitude"),
         (F.lit(-6.5) + (F.col("id") * 7 % 90) / F.lit(10.0)).alias("longitude"),
     )
-    fast = {x.id: x.region for x in nearest_region(pts, r, "region", key_cols=["id"]).collect()}
-    chunked = {x.id: x.region for x in
-               nearest_region(pts, r, "region", key_cols=["id"], max_broadcast_regions=7).collect()}
-    assert fast == chunked
+    fast = {x.id: x.region for x in nearest_region(pts, r, "region").collect()}
+    cells = {x.id: x.region for x in nearest_region(pts, r, "region", packed_regions=7).collect()}
+    assert fast == cells
 
     def hav(a, b, c, d):
         a, b, c, d = map(math.radians, (a, b, c, d))

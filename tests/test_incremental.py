@@ -80,6 +80,18 @@ def test_merge_is_idempotent_and_equals_full_load(spark):
     assert back.exceptAll(full).count() == 0 and full.exceptAll(back).count() == 0
 
 
+def test_partial_day_keeps_the_rest_of_the_day(spark):
+    path = scratch_dir(spark, "partial-test")
+    day = dt.date(2024, 1, 1)
+    inc.merge_days(spark.createDataFrame(gen_rows([day, dt.date(2024, 1, 2)]), GEN), path)
+    one = spark.createDataFrame(gen_rows([day], units=("T_A",), periods=1, bump=5.0), GEN)
+    days = inc.merge_days(one.unionByName(one).unionByName(one.withColumn("quantity", F.lit(0.5))), path, order=("quantity",))
+    assert [str(d) for d in days] == ["2024-01-01"]
+    back = spark.read.parquet(path)
+    assert back.count() == 12
+    assert back.where("bm_unit = 'T_A' AND settlement_period = 1 AND settlement_date_partition = '2024-01-01'").first().quantity == 6.0
+
+
 def test_daily_refresh_matches_full_recompute(spark):
     days = [dt.date(2024, 2, d) for d in range(1, 6)]
     full = spark.createDataFrame(gen_rows(days), GEN)
@@ -87,10 +99,8 @@ def test_daily_refresh_matches_full_recompute(spark):
     part = F.col("settlement_date_partition")
     first = full.where(part <= F.lit("2024-02-03").cast("date"))
     later = spark.createDataFrame(gen_rows(days[2:], bump=1.0), GEN)  # re-published days 3..5
-    inc.merge_days(first, facts)
-    inc.refresh_daily(daily, first)
-    inc.merge_days(later, facts)
-    inc.refresh_daily(daily, later)
+    inc.refresh_daily(daily, facts, spark, inc.merge_days(first, facts))
+    inc.refresh_daily(daily, facts, spark, inc.merge_days(later, facts))
     expect = V.daily_generation_by_unit(spark.read.parquet(facts))
     got = spark.read.parquet(daily).select("bm_unit", "settlement_date", "daily_generation_mwh")
     assert got.count() == 10 and got.exceptAll(expect).count() == 0
@@ -106,7 +116,7 @@ def test_partition_filter_prunes_and_quantity_filter_is_pushed(spark):
     assert q.count() == 2
 
 
-def test_available_now_stream_matches_batch_and_drops_republished(spark):
+def test_available_now_stream_merges_late_rows_and_corrections(spark):
     landing = scratch_dir(spark, "landing")
     table, ckpt = scratch_dir(spark, "stream-table"), scratch_dir(spark, "stream-ckpt")
     os.makedirs(landing)
@@ -125,8 +135,12 @@ def test_available_now_stream_matches_batch_and_drops_republished(spark):
     land("d2.json", [rec("T_A", "2024-01-02", p, 2.0) for p in (1, 2)] + [rec("T_A", "2024-01-01", 1, 9.0)])
     start_generation_ingest(spark, landing, table, ckpt).awaitTermination()
     out = spark.read.parquet(table)
-    assert out.count() == 4  # the re-published (T_A, 01-01, 1) row is dropped
-    assert out.where("quantity = 9.0").count() == 0
+    assert out.count() == 4  # the re-published (T_A, 01-01, 1) row replaces the first one
+    assert out.where("quantity = 9.0").count() == 1
+    land("late.json", [rec("T_A", "2023-06-01", 1, 3.0), rec("T_B", "2024-01-01", 1, 4.0)])  # long past, and a part of a day
+    start_generation_ingest(spark, landing, table, ckpt).awaitTermination()
+    spark.catalog.refreshByPath(table)
+    assert spark.read.parquet(table).count() == 6
 
 
 def test_dates_from_file_paths_and_unshuffled_view_write(spark):

@@ -56,6 +56,12 @@ def test_ingest_reference_and_reports(spark):
     assert top == {"Aberdeenshire": "Clean", "Kent": "Fossil"}
     daily = spark.read.parquet(f"{out}/generation_by_unit_by_settlement_date")
     assert daily.count() == 6
+    jobs.main(["build-reports", "--tables", tables, "--out", out, "--first", "2024-03-02"])  # one side open
+    ranged = {r.county: r.total_daily_generation_mwh for r in spark.read.parquet(f"{out}/county_top_source_2024-03-02_end").collect()}
+    assert ranged == {"Aberdeenshire": 20.0, "Kent": 8.0}
+    whole = {r.county: r.total_daily_generation_mwh for r in spark.read.parquet(f"{out}/county_top_source").collect()}
+    assert whole == {"Aberdeenshire": 40.0, "Kent": 16.0}  # the whole history stays
+    assert "note" in spark.read.parquet(f"{tables}/plant_location").columns
     view = spark.read.parquet(f"{out}/generation_capacity_360_view")
     assert view.where("bm_unit = 'I_FR'").select("source_category").distinct().first()[0] == "Interconnector"
 
@@ -68,3 +74,46 @@ def test_ingest_json_array_response(spark):
     jobs.ingest_generation(spark, f"{root}/landing", f"{root}/tables", multiline=True)
     got = spark.read.parquet(f"{root}/tables/generation")
     assert got.count() == 3 and got.agg({"quantity": "sum"}).first()[0] == 6.0
+
+
+def test_quarantine_partial_days_and_gap_report(spark):
+    root = scratch_dir(spark, "jobs-merge")
+    tables = f"{root}/tables"
+    first = [json.dumps(_gen(u, d, p, 1.0)) for u in ("T_A", "T_B") for d in ("2024-03-01", "2024-03-04") for p in (1, 2, 3)]
+    bad = [json.dumps(_gen("T_A", "not a day", 1, 8.0)), '{"bmUnit": "T_A", "quantity": ', "null"]
+    _write(f"{root}/one/a.json", "\n".join(first + bad) + "\n")
+    jobs.ingest_generation(spark, f"{root}/one", tables)
+    _write(f"{root}/two/a.json", json.dumps(_gen("T_A", "2024-03-01", 1, 6.0)) + "\n")
+    assert [str(d) for d in jobs.ingest_generation(spark, f"{root}/two", tables)] == ["2024-03-01"]
+    got = spark.read.parquet(f"{tables}/generation")
+    assert got.count() == 12 and got.agg({"quantity": "sum"}).first()[0] == 17.0
+    reasons = sorted(r.reason for r in spark.read.parquet(f"{tables}/quarantine").collect())
+    assert reasons == ["no settlement date", "unreadable record"]
+    daily = {(r.bm_unit, str(r.settlement_date_partition)): r.daily_generation_mwh for r in spark.read.parquet(f"{tables}/daily_generation").collect()}
+    assert daily == {("T_A", "2024-03-01"): 8.0, ("T_A", "2024-03-04"): 3.0, ("T_B", "2024-03-01"): 3.0, ("T_B", "2024-03-04"): 3.0}
+    assert sorted(str(r[0]) for r in spark.read.parquet(f"{tables}/missing_days").collect()) == ["2024-03-02", "2024-03-03"]
+
+
+def test_run_date_takes_missed_days(spark):
+    root = scratch_dir(spark, "jobs-window")
+    tables = f"{root}/tables"
+    rows = [json.dumps(_gen("T_A", f"2024-03-{d:02d}", 1, 1.0)) for d in range(1, 21)]
+    _write(f"{root}/landing/a.json", "\n".join(rows) + "\n")
+    days = lambda: sorted(str(r[0])[-2:] for r in spark.read.parquet(f"{tables}/generation").select("settlement_date_partition").collect())
+    jobs.ingest_generation(spark, f"{root}/landing", tables, today="2024-03-16")  # 11 to 9 days ago
+    assert days() == ["05", "06", "07"]
+    jobs.ingest_generation(spark, f"{root}/landing", tables, today="2024-03-16")  # the batch day
+    assert days() == ["05", "06", "07", "08"]
+    jobs.ingest_generation(spark, f"{root}/landing", tables, today="2024-03-20")  # runs were missed
+    assert days() == ["05", "06", "07", "08", "09", "10", "11", "12"]
+
+
+def test_capacity_merge_keeps_the_stored_day(spark):
+    root = scratch_dir(spark, "jobs-capacity")
+    cap = lambda u, mw: json.dumps({"bmUnit": u, "publishTime": "2024-01-01T10:00:00Z", "effectiveFrom": "2024-01-01T00:00:00Z",
+                                    "psrType": "Nuclear", "installedCapacity": mw})
+    _write(f"{root}/one/a.json", cap("T_A", 1.0) + "\n" + cap("T_B", 2.0) + "\n")
+    _write(f"{root}/two/a.json", cap("T_A", 1.0) + "\n" + cap("T_C", 3.0) + "\n")
+    for x in ("one", "two", "two"):
+        jobs.ingest_capacity(spark, f"{root}/{x}", f"{root}/tables")
+    assert spark.read.parquet(f"{root}/tables/capacity").count() == 3

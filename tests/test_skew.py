@@ -49,11 +49,40 @@ def test_results_equal_beyond_broadcast_bound(spark):
     g, d = skewed_generation(spark), dims(spark)
     assert g.where("bm_unit = 'T_HOT'").count() == 1000
     for fn in (V.generation_360_view, V.generation_by_county_source, V.total_by_fuel_county):
-        small = fn(g, d, max_broadcast_rows=1)      # no explicit broadcast: the planner decides
+        small = fn(g, d, max_broadcast_bytes=0)     # no explicit broadcast: the planner decides
         big = fn(g, d)                              # broadcast
         assert rows(small) == rows(big)
 
 
+def test_hot_unit_is_split_beyond_broadcast_bound(spark):
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+           "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        # many map tasks, so that the hot partition has parts to be split by
+        g = skewed_generation(spark, 30000).repartition(40)
+        view = V.generation_360_view(g, dims(spark), max_broadcast_bytes=0)
+        n = view.count()
+        job = view.groupBy().count()
+        assert job.collect()[0][0] == n
+        assert "skew=true" in job._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_view_written_beyond_bound_has_one_file_per_day(spark):
+    from wattframe.session import scratch_dir
+    from wattframe.sources.files import table_files
+
+    path = scratch_dir(spark, "view-files")
+    V.write_generation_360_view(skewed_generation(spark), dims(spark), path, max_broadcast_bytes=0)
+    assert table_files(spark, path).count() == 5
+
+
 def test_hot_unit_daily_totals(spark):
     g = skewed_generation(spark)
     out = {(r.bm_unit, r.settlement_date.day): r.daily_generation_mwh

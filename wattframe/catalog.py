@@ -15,36 +15,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattframe import fixtures as fx
-from wattframe.constants import FUEL_MAPPING_ROWS
+from wattframe.constants import FUEL_MAPPING_ROWS, MERGE_CUTOFF, MERGE_OVERLAP_DAYS, REPORT_RANGE
 from wattframe.functions.geo import haversine_km
 from wattframe.functions.text import rename_snake_case
 from wattframe.functions.time import parse_timestamp, settlement_day
 from wattframe.operators import clean
-from wattframe.operators.broadcast import broadcast_if_bounded
-from wattframe.operators.dims import capacity_as_of, capacity_latest
+from wattframe.operators.dims import capacity_as_of, capacity_latest, unit_dim
 from wattframe.operators.nearest import nearest_region
 from wattframe.plans import incremental as inc
 from wattframe.plans import sql as S
 from wattframe.plans import views as V
-from wattframe.schemas import FUEL_MAPPING, GENERATION_COLUMNS, GENERATION_FEED, GENERATION_KEY, PARTITION_COLUMN
+from wattframe.schemas import CAPACITY_FEED, FUEL_MAPPING, GENERATION_COLUMNS, GENERATION_FEED, PARTITION_COLUMN, UNIT_INFO_FEED
 from wattframe.session import scratch_dir
 from wattframe.sources.files import read_csv, read_feed_json
 from wattframe.sources.inline import inline_table
-from wattframe.sources.sinks import write_csv, write_json_lines
+from wattframe.sources.sinks import write_csv, write_days, write_json_lines, write_table
 from wattframe.streaming import start_generation_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Run date of the incremental examples: the initial load holds the days
-# before it, the batch re-runs the two days before it and everything after.
-MERGE_CUTOFF = "1998-06-01"
-MERGE_OVERLAP_DAYS = 2
+
+def _rounded(df: DataFrame, *cols: str) -> DataFrame:
+    """Double sums rounded for the comparison: their last bits depend on the order of addition."""
+    return df.withColumns({c: F.round(c, 6) for c in cols})
 
 
 # --- aggregates and enrichment ---------------------------------------------------------
 
 def _daily(spark, sf):
-    return V.daily_generation_by_unit(fx.generation(spark, sf))
+    return _rounded(V.daily_generation_by_unit(fx.generation(spark, sf)), "daily_generation_mwh")
 
 
 def _view360(spark, sf):
@@ -60,7 +59,7 @@ def _view360_latest(spark, sf):
 
 
 def _by_county(spark, sf):
-    return V.generation_by_county_source(fx.generation(spark, sf), fx.unit_dims(spark, sf))
+    return _rounded(V.generation_by_county_source(fx.generation(spark, sf), fx.unit_dims(spark, sf)), "total_daily_generation_mwh")
 
 
 def _county_as_written(spark, sf):
@@ -68,19 +67,23 @@ def _county_as_written(spark, sf):
 
 
 def _county_top(spark, sf):
-    return V.county_top_source(fx.generation(spark, sf), fx.unit_dims(spark, sf))
+    return _rounded(V.county_top_source(fx.generation(spark, sf), fx.unit_dims(spark, sf)), "total_daily_generation_mwh")
+
+
+def _county_top_in_range(spark, sf):
+    return _rounded(V.county_top_source(fx.generation(spark, sf), fx.unit_dims(spark, sf), REPORT_RANGE), "total_daily_generation_mwh")
 
 
 def _fuel_county(spark, sf):
-    return V.total_by_fuel_county(fx.generation(spark, sf), fx.unit_dims(spark, sf))
+    return _rounded(V.total_by_fuel_county(fx.generation(spark, sf), fx.unit_dims(spark, sf)), "total_generation_mwh")
 
 
 def _fuel_county_rollup(spark, sf):
-    return V.total_by_fuel_county_rollup(fx.generation(spark, sf), fx.unit_dims(spark, sf))
+    return _rounded(V.total_by_fuel_county_rollup(fx.generation(spark, sf), fx.unit_dims(spark, sf)), "total_generation_mwh")
 
 
 def _avg_period(spark, sf):
-    return V.avg_by_settlement_period(fx.generation(spark, sf))
+    return _rounded(V.avg_by_settlement_period(fx.generation(spark, sf)), "avg_quantity_mwh", "total_quantity_mwh")
 
 
 def _interconnector(spark, sf):
@@ -100,20 +103,28 @@ def _capacity_latest(spark, sf):
 
 
 def _capacity_as_of(spark, sf):
-    cap = broadcast_if_bounded(fx.capacity(spark, sf))
-    return capacity_as_of(V.unit_days(fx.generation(spark, sf)), cap)
+    return capacity_as_of(V.unit_days(fx.generation(spark, sf)), fx.capacity(spark, sf))
 
 
 # --- the same reports as Spark SQL over registered views ------------------------------
 
-def _sql_query(statement):
+def _sql_query(statement, *sums):
     def run(spark, sf):
         S.register_views(fx.generation(spark, sf), fx.unit_dims(spark, sf), prefix="wf_")
-        return spark.sql(statement("wf_"))
+        return _rounded(spark.sql(statement("wf_")), *sums)
 
     return run
 
 
+def _view360_sql(spark, sf):
+    """The statement over external tables: Parquet locations of the facts and the unit profile."""
+    paths = {n: scratch_dir(spark, f"sql-{n}") for n in ("generation", "unit_profile")}
+    write_table(fx.generation(spark, sf), paths["generation"])
+    write_table(unit_dim(fx.unit_dims(spark, sf)), paths["unit_profile"])
+    S.register_parquet_views(spark, paths, prefix="wp_")
+    return spark.sql(S.generation_360_view_sql("wp_"))
+
+
 # --- cleaning and parsing -------------------------------------------------------------
 
 def _clean_generation(spark, sf):
@@ -127,16 +138,29 @@ def _json_roundtrip(spark, sf):
 
 
 def _stream_ingest(spark, sf):
-    """Land the feed as JSON lines, run one available-now stream into a table,
-    return the de-duplicated keys (order-independent, so checkable)."""
+    """Two available-now runs of one stream into a table: the facts, then corrections of old days."""
     landing, table, ckpt = (scratch_dir(spark, n) for n in ("stream-landing", "stream-table", "stream-ckpt"))
-    write_json_lines(fx.generation_feed(spark, sf), landing)
-    start_generation_ingest(spark, landing, table, ckpt, partition_by=None).awaitTermination()
-    return spark.read.parquet(table).select(*GENERATION_KEY, PARTITION_COLUMN).distinct()
+    loads = _loads(spark, sf)
+    for load in (1, 2):
+        landed = inc.dedup_generation(loads.where(F.col("load_id") == load))
+        fx.as_feed(landed).write.mode("append").json(landing)
+        start_generation_ingest(spark, landing, table, ckpt).awaitTermination()
+    return spark.read.parquet(table).select(*GENERATION_COLUMNS)
 
 
 def _capacity_clean(spark, sf):
-    return clean.clean_capacity(fx.capacity_feed(spark, sf))
+    path = scratch_dir(spark, "capacity-json")
+    write_json_lines(fx.capacity_feed(spark, sf), path)
+    return clean.clean_capacity(read_feed_json(spark, path, CAPACITY_FEED))
+
+
+def _capacity_publish_windows(spark, sf):
+    """Publications that the initial and the daily run on the day after the last one ask for."""
+    cap = fx.capacity(spark, sf)
+    w = inc.capacity_windows(F.date_add(F.to_date(cap.agg(F.max("publish_time")).scalar()), 1), F.lit("1990-01-01").cast("date"))
+    initial = inc.in_publish_window(cap, w["initial_from"], w["initial_to"]).withColumn("ingest_window", F.lit("initial"))
+    batch = inc.in_publish_window(cap, w["batch_from"], w["batch_to"]).withColumn("ingest_window", F.lit("batch"))
+    return initial.unionByName(batch)
 
 
 def _parse_timestamps(spark, sf):
@@ -150,7 +174,9 @@ def _snake_case(spark, sf):
 
 
 def _unit_info_projection(spark, sf):
-    return clean.unit_info(fx.unit_info_feed(spark, sf))
+    path = scratch_dir(spark, "unit-info-json")
+    write_json_lines(fx.unit_info_feed(spark, sf), path)
+    return clean.unit_info(read_feed_json(spark, path, UNIT_INFO_FEED))
 
 
 def _plant_id_explode(spark, sf):
@@ -189,7 +215,7 @@ def _csv_blank_join_keys(spark, sf):
     info_back = read_csv(spark, info_path, info_schema, blank_as_null=False)
     mapping = read_csv(spark, map_path, FUEL_MAPPING, blank_as_null=False)
     m = mapping.select(F.col("bm_fuel_type").alias("fuel_type"), "new_psr_type", "fuel_category", "source_category")
-    return info_back.join(broadcast_if_bounded(m), "fuel_type", "left").select(
+    return info_back.join(m, "fuel_type", "left").select(
         "bm_unit", "fuel_type", "new_psr_type", "fuel_category", "source_category"
     )
 
@@ -198,8 +224,8 @@ def _csv_blank_join_keys(spark, sf):
 
 def _haversine(spark, sf):
     loc = fx.plant_location_raw(spark, sf)
-    pts = broadcast_if_bounded(fx.county_points(spark, sf))
-    j = loc.join(pts, loc["nation_key"] == pts["ord"], "left")
+    pts = fx.county_points(spark, sf)
+    j = loc.join(pts, loc["nation_key"] == pts["ord.k0"], "left")
     return j.select(
         "dictionary_id",
         F.col("name").alias("county"),
@@ -211,8 +237,7 @@ def _haversine(spark, sf):
 
 def _nearest_region(spark, sf):
     loc = fx.plant_location_raw(spark, sf).select("dictionary_id", "latitude", "longitude")
-    out = nearest_region(loc, fx.county_points(spark, sf), "county", distance_col="distance_km",
-                         key_cols=["dictionary_id"])
+    out = nearest_region(loc, fx.county_points(spark, sf), "county", distance_col="distance_km")
     return out.withColumn("distance_km", F.round("distance_km", 6))
 
 
@@ -223,16 +248,23 @@ def _plant_locations(spark, sf):
 # --- incremental -----------------------------------------------------------------------------
 
 def _ingest_window(spark, sf):
-    return inc.ingest_window_report(fx.generation(spark, sf))
+    return _rounded(inc.ingest_window_report(fx.generation(spark, sf)), "total_quantity_mwh")
+
+
+def _stored_days(spark, sf):
+    """The gapped facts as a day-partitioned table; the days come from its file listing."""
+    path = scratch_dir(spark, "stored-days")
+    write_days(fx.gapped_generation(spark, sf), path)
+    return inc.settlement_dates_in_files(spark, path)
 
 
 def _high_water_mark(spark, sf):
     scheduled = F.date_add(inc.high_water_mark(fx.generation(spark, sf)), 3)
-    return inc.catch_up(fx.gapped_generation(spark, sf), scheduled)
+    return inc.catch_up(_stored_days(spark, sf), scheduled)
 
 
 def _dates_present(spark, sf):
-    return inc.settlement_dates_present(fx.gapped_generation(spark, sf))
+    return _stored_days(spark, sf)
 
 
 def _missing_dates(spark, sf):
@@ -255,36 +287,36 @@ def _dedup_generation(spark, sf):
 
 
 def _split_loads(spark, sf):
+    """Initial days, and a batch that corrects every second period of two of them, brings the days
+    after them, and holds each of its rows twice."""
     g = fx.generation(spark, sf)
     part = F.col(PARTITION_COLUMN)
     cutoff = F.lit(MERGE_CUTOFF).cast("date")
     initial = g.where(part < cutoff)
-    batch = g.where(part >= F.date_sub(cutoff, MERGE_OVERLAP_DAYS))
-    return initial, batch
+    batch = g.where((part >= F.date_sub(cutoff, MERGE_OVERLAP_DAYS)) & ((part >= cutoff) | (F.col("settlement_period") % 2 == 0)))
+    twice = batch.withColumn("less", F.explode(F.array(F.lit(0.0), F.lit(1.0))))
+    return initial, twice.withColumn("quantity", F.col("quantity") + F.lit(1.0) - F.col("less")).drop("less")
 
 
 def _incremental_merge(spark, sf):
-    initial, batch = _split_loads(spark, sf)
     path = scratch_dir(spark, "generation-table")
-    inc.merge_days(initial, path)
-    inc.merge_days(batch, path)  # overlaps the initial load: must not duplicate
+    for load in _split_loads(spark, sf):
+        inc.merge_days(load, path, order=("quantity",))
     return spark.read.parquet(path).select(*GENERATION_COLUMNS)
 
 
 def _partitioned_roundtrip(spark, sf):
     path = scratch_dir(spark, "generation-partitioned")
-    inc.merge_days(fx.generation(spark, sf), path)
+    write_days(fx.generation(spark, sf), path)
     return spark.read.parquet(path).select(*GENERATION_COLUMNS)
 
 
 def _incremental_daily_refresh(spark, sf):
-    """Daily totals maintained incrementally: the initial days, then a batch
-    that re-runs two of them; only the batch's days are recomputed."""
-    initial, batch = _split_loads(spark, sf)
-    daily = scratch_dir(spark, "daily")
-    inc.refresh_daily(daily, initial)
-    inc.refresh_daily(daily, batch)
-    return spark.read.parquet(daily).select("bm_unit", "settlement_date", "daily_generation_mwh")
+    """Daily totals maintained incrementally: after each merge only the touched days are recomputed."""
+    table, daily = scratch_dir(spark, "generation-table"), scratch_dir(spark, "daily")
+    for load in _split_loads(spark, sf):
+        inc.refresh_daily(daily, table, spark, inc.merge_days(load, table, order=("quantity",)))
+    return _rounded(spark.read.parquet(daily).select("bm_unit", "settlement_date", "daily_generation_mwh"), "daily_generation_mwh")
 
 
 QUERIES: dict[str, Query] = {
@@ -293,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "generation_by_county_source": _by_county,
     "county_source_as_written": _county_as_written,
     "county_top_source": _county_top,
+    "county_top_source_in_range": _county_top_in_range,
     "total_by_fuel_county": _fuel_county,
     "total_by_fuel_county_rollup": _fuel_county_rollup,
     "avg_by_settlement_period": _avg_period,
@@ -306,14 +339,15 @@ QUERIES: dict[str, Query] = {
     "generation_360_view_literal": _view360_literal,
     "generation_360_view_latest": _view360_latest,
     # SQL over registered views (S6 + C7-C9 as statements)
-    "generation_360_view_sql": _sql_query(S.generation_360_view_sql),
-    "daily_generation_by_unit_sql": _sql_query(S.daily_generation_by_unit_sql),
-    "county_top_source_sql": _sql_query(S.county_top_source_sql),
+    "generation_360_view_sql": _view360_sql,
+    "daily_generation_by_unit_sql": _sql_query(S.daily_generation_by_unit_sql, "daily_generation_mwh"),
+    "county_top_source_sql": _sql_query(S.county_top_source_sql, "total_daily_generation_mwh"),
     # clean / parse
     "clean_generation": _clean_generation,
     "json_roundtrip_generation": _json_roundtrip,
     "stream_ingest_generation": _stream_ingest,
     "capacity_clean": _capacity_clean,
+    "capacity_publish_windows": _capacity_publish_windows,
     "parse_timestamps": _parse_timestamps,
     "snake_case_columns": _snake_case,
     "unit_info_projection": _unit_info_projection,

@@ -64,6 +64,9 @@ INITIAL_LOAD_DAYS = 11
 PUBLISH_DELAY_DAYS = 8
 CAPACITY_HISTORY_START = "2023-01-01"
 
-# Fixed-point scale for exact, order-independent sums of MWh values
-# (a design choice of this library, not of the original pipeline).
-QUANTITY_SCALE = 10_000
+# --- parameters of the registered example queries ------------------------------
+# The initial load holds the days before the cutoff; the batch corrects part of the two days before
+# it and brings everything after.
+MERGE_CUTOFF = "1998-06-01"
+MERGE_OVERLAP_DAYS = 2
+REPORT_RANGE = ("1995-03-01", "1996-06-30")

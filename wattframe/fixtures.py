@@ -43,6 +43,16 @@ def _d(x: float) -> Column:
     return F.lit(float(x))
 
 
+def absent(k: Column, known: Column, key: Column) -> Column:
+    """``key`` where ``known``, else an id that no fact has: every row is read, some never match."""
+    return F.when(known, key).otherwise(F.concat(F.lit("U_"), k.cast("string")))
+
+
+def _quantity() -> Column:
+    """MWh with six decimals."""
+    return F.col("l_quantity") - _d(5.0) + (F.col("l_orderkey") % 1000).cast("double") / _d(1e6)
+
+
 # --- facts -------------------------------------------------------------------------
 
 def generation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +64,7 @@ def generation(spark: SparkSession, sf_dir: str) -> DataFrame:
         unit_id(k).alias("bm_unit"),
         (F.col("l_shipdate") + F.make_dt_interval(mins=period * 30)).alias("half_hour_end_time"),
         F.concat(F.lit("NG_"), k.cast("string")).alias("national_grid_bm_unit_id"),
-        (F.col("l_quantity") - _d(5.0)).alias("quantity"),
+        _quantity().alias("quantity"),
         F.col("l_shipdate").alias("settlement_date"),
         period.alias("settlement_period"),
         F.to_date("l_shipdate").alias("settlement_date_partition"),
@@ -67,6 +77,14 @@ def gapped_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.where(F.dayofmonth("settlement_date_partition") != 13)
 
 
+def as_feed(facts: DataFrame) -> DataFrame:
+    """Cleaned facts as raw feed records (camelCase, text timestamps)."""
+    return facts.select(
+        F.col("bm_unit").alias("bmUnit"), F.date_format("half_hour_end_time", ISO_FORMAT).alias("halfHourEndTime"),
+        F.col("national_grid_bm_unit_id").alias("nationalGridBmUnitId"), "quantity",
+        F.date_format("settlement_date", ISO_FORMAT).alias("settlementDate"), F.col("settlement_period").alias("settlementPeriod"))
+
+
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -92,7 +110,7 @@ def generation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             "halfHourEndTime"
         ),
         unless_null(F.concat(F.lit("NG_"), k.cast("string"))).alias("nationalGridBmUnitId"),
-        unless_null(F.col("l_quantity") - _d(5.0)).alias("quantity"),
+        unless_null(_quantity()).alias("quantity"),
         unless_null(F.date_format("l_shipdate", ISO_FORMAT)).alias("settlementDate"),
         unless_null(period).alias("settlementPeriod"),
     )
@@ -110,14 +128,14 @@ _PSR_BY_PART_TYPE = {
 
 
 def capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Capacity publications: parts with k % 3 <> 0, versions 0..k % 3."""
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 3 != 0)
+    """Capacity publications: versions 0..k % 3; units of parts with k % 3 = 0 have no facts."""
+    p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     versions = p.select("*", F.explode(F.sequence(F.lit(0), (k % 3).cast("int"))).alias("v"))
     at = F.lit("1996-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days=F.col("v") * 700)
     psr = F.create_map(*[F.lit(x) for kv in _PSR_BY_PART_TYPE.items() for x in kv])
     return versions.select(
-        unit_id(k).alias("bm_unit"),
+        absent(k, k % 3 != 0, unit_id(k)).alias("bm_unit"),
         at.alias("publish_time"),
         at.alias("effective_from"),
         F.try_element_at(psr, F.col("p_type")).alias("psr_type"),
@@ -146,16 +164,16 @@ def capacity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plant_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plant id dictionary (already one unit per row): parts with k % 5 <> 0."""
+    """Plant id dictionary (already one unit per row); units of parts with k % 5 = 0 have no facts."""
     n_suppliers = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 5 != 0)
+    p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     dict_id = (k % n_suppliers).cast("long")
     return p.select(
         dict_id.alias("dictionary_id"),
         F.concat(F.lit("Plant "), dict_id.cast("string")).alias("name"),
         F.concat(F.lit("NG_"), k.cast("string")).alias("national_grid_bm_unit_id"),
-        unit_id(k).alias("bm_unit"),
+        absent(k, k % 5 != 0, unit_id(k)).alias("bm_unit"),
     )
 
 
@@ -178,13 +196,13 @@ def plant_id_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plant_location_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plant coordinates over supplier (k % 11 <> 0); k % 17 = 0 has no latitude."""
-    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 11 != 0)
+    """Plant coordinates over supplier; k % 17 = 0 has no latitude, k % 11 = 0 no plant of its id."""
+    s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     lat = _d(50.0) + ((k * 37) % 900).cast("double") / _d(100.0)
     lon = _d(-6.0) + ((k * 53) % 780).cast("double") / _d(100.0)
     return s.select(
-        k.alias("dictionary_id"),
+        F.when(k % 11 != 0, k).otherwise(k + 1_000_000_000).alias("dictionary_id"),
         F.when(k % 17 != 0, lat).alias("latitude"),
         lon.alias("longitude"),
         F.col("s_nationkey").alias("nation_key"),
@@ -241,11 +259,12 @@ def city_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def official_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Official city list over even suppliers."""
-    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 2 == 0)
+    """Official city list; names over odd suppliers are of no city in the file."""
+    s = table(spark, sf_dir, "supplier")
     m = F.col("s_suppkey") % 50
     city = (
-        F.when(m == 0, F.lit("Newcastle upon Tyne"))
+        F.when(m % 2 == 1, F.concat(F.lit("Elsewhere-"), m.cast("string")))
+        .when(m == 0, F.lit("Newcastle upon Tyne"))
         .when(m == 2, F.lit("Caerdydd"))
         .when(m == 4, F.lit("Swansea"))
         .otherwise(F.concat(F.lit("Town-"), m.cast("string")))
@@ -255,7 +274,7 @@ def official_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def city_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = city_reference(city_file(spark, sf_dir), official_cities(spark, sf_dir))
-    return region_points(ref, "city")
+    return region_points(ref, "city", ("source_rank", "ord"))
 
 
 def plant_location(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +290,8 @@ def plant_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unit_info_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 4 != 0)
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
     m = F.col("p_size") % 5
     fuel = (
         F.when(m == 0, F.lit("CCGT"))
@@ -280,7 +300,7 @@ def unit_info_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(m == 3, F.lit("PS"))
     )
     return p.select(
-        unit_id(F.col("p_partkey")).alias("elexonBmUnit"),
+        absent(k, k % 4 != 0, unit_id(k)).alias("elexonBmUnit"),
         fuel.alias("fuelType"),
         F.col("p_name").alias("leadPartyName"),
     )
@@ -293,12 +313,12 @@ def unit_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 7 == 0)
+    p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     m = k % 3
     psr = F.when(m == 0, F.lit("Battery Storage")).when(m == 1, F.lit("Wind Offshore")).otherwise(F.lit("Fossil Gas"))
     return p.select(
-        F.concat(F.lit("T_"), k.cast("string")).alias("bm_unit"),
+        absent(k, k % 7 == 0, F.concat(F.lit("T_"), k.cast("string"))).alias("bm_unit"),
         psr.alias("psr_type"),
         _d(51.5).alias("latitude"),
         _d(-1.0).alias("longitude"),

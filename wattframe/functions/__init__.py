@@ -2,7 +2,7 @@
 
 from wattframe.functions.fuel import is_interconnector, resolve_fuel_attribute
 from wattframe.functions.geo import haversine_km
-from wattframe.functions.numeric import exact_avg, exact_sum, to_fixed
+from wattframe.functions.numeric import mean, total
 from wattframe.functions.text import (
     clean_city,
     explode_list,
@@ -14,8 +14,7 @@ from wattframe.functions.time import parse_timestamp, settlement_day
 
 __all__ = [
     "clean_city",
-    "exact_avg",
-    "exact_sum",
+    "mean",
     "explode_list",
     "haversine_km",
     "is_interconnector",
@@ -25,5 +24,5 @@ __all__ = [
     "settlement_day",
     "snake_case",
     "strip_whitespace",
-    "to_fixed",
+    "total",
 ]

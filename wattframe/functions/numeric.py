@@ -1,9 +1,8 @@
-"""Exact sums of MWh values.
+"""Sums and averages of MWh values.
 
-Floating-point sums depend on the order of addition, which depends on the
-physical plan. MWh values are carried as fixed-point ``bigint`` (scale
-``QUANTITY_SCALE``) while summing: the result is exact, independent of
-partitioning, and the aggregation stays a plain long add inside codegen.
+Plain double sums, as the original statements have them: no value is cut to a fixed scale, and a
+NaN in the feed makes the totals it belongs to NaN instead of ending the query. The last bits of
+a double sum depend on the order of addition, so results are to be compared after rounding.
 """
 
 from __future__ import annotations
@@ -11,23 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wattframe.constants import QUANTITY_SCALE
 
+def total(c: Column) -> Column:
+    """Aggregate: sum of the non-null values."""
+    return F.sum(c)
 
-def to_fixed(c: Column) -> Column:
-    """double -> bigint units of 1/QUANTITY_SCALE."""
-    return F.round(c * F.lit(float(QUANTITY_SCALE))).cast("bigint")
 
-
-def from_fixed(c: Column) -> Column:
-    return c.cast("double") / F.lit(float(QUANTITY_SCALE))
-
-
-def exact_sum(c: Column) -> Column:
-    """Aggregate: exact sum of a double column, returned as double."""
-    return from_fixed(F.sum(to_fixed(c)))
-
-
-def exact_avg(c: Column, digits: int = 6) -> Column:
-    """Aggregate: exact sum / count of non-null values, rounded."""
-    return F.round(F.sum(to_fixed(c)).cast("double") / F.lit(float(QUANTITY_SCALE)) / F.count(c), digits)
+def mean(c: Column) -> Column:
+    """Aggregate: average of the non-null values."""
+    return F.avg(c)

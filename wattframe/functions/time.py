@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A zone or offset after the time of day.
+_ZONED = r":\d{2}(\.\d+)?\s*(Z|UTC|GMT|UT|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]+/[A-Za-z_]+)\s*$"
 
-def parse_timestamp(c: Column, fmt: str | None = None) -> Column:
-    """Text -> timestamp; unparseable text gives NULL instead of an error.
 
-    The text is read as an instant (an offset such as 'Z' is honoured) and
-    stored as wall-clock time without zone (``timestamp_ntz``) in the session
-    time zone, which :func:`wattframe.session.build_session` pins to UTC: all
-    domain timestamps are UTC wall clock and compare without conversion.
+def parse_timestamp(c: Column) -> Column:
+    """Text -> UTC wall-clock time without zone (``timestamp_ntz``); unparseable text gives NULL.
+
+    Text with a zone or offset ('Z') is an instant and is expressed in UTC; text without one is
+    UTC wall clock already. The session time zone plays no part, so a partition day is the same
+    in every session.
     """
-    ts = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
-    return ts.cast("timestamp_ntz")
+    instant = F.try_to_timestamp(c)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    in_utc = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+    return F.when(c.rlike(_ZONED), in_utc).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def settlement_day(ts: Column) -> Column:

@@ -1,57 +1,35 @@
-"""Size-checked broadcast."""
+"""Size-checked broadcast.
+
+A derived side (several joins deep) is written to the shared folder first. Its size in bytes is
+then known, nothing is cached, a lost executor does not lose it, and neither the size check nor
+the broadcast computes it again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattframe.session import scratch_dir
 
-# Default bound on rows for a broadcast side. Dimension rows here are narrow
-# (a few strings and doubles), so this keeps a broadcast well under ~100 MB.
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A plain distributed count: each task counts its rows and only one number
-    per task moves. (``limit(n + 1).count()`` would instead funnel up to n
-    rows from every task through a single-partition exchange.)
-    """
-    return df.count() <= max_rows
+# Bytes of Parquet. Dimension rows are narrow, so this is some 100 MB in memory at most.
+DEFAULT_MAX_BROADCAST_BYTES = 16 << 20
 
 
-def row_counts_at_most(dfs: list[DataFrame], max_rows: int) -> list[bool]:
-    """:func:`row_count_at_most` for several frames in a single job."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, df in enumerate(dfs)]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    counts = {r["i"]: r["n"] for r in union.collect()}
-    return [counts[i] <= max_rows for i in range(len(dfs))]
+def materialised(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
+    """``df`` as a table in the shared folder, and its bytes (from the file listing alone)."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    size = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return spark.read.schema(df.schema).parquet(path), int(size)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                         materialize: bool = False) -> DataFrame:
-    """Mark ``df`` for broadcast only if its row count is proven small.
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, name: str = "side") -> tuple[DataFrame, bool]:
+    """``df`` as a written table, marked for broadcast if its bytes are proven small; whether it is.
 
-    Otherwise the join is left to the planner (sort-merge / shuffled hash,
-    with AQE skew splitting of hot keys). ``materialize`` is for a derived
-    side (several joins deep): it is cached and fully counted in one job, so
-    the size check and the broadcast build do not both recompute it; a side
-    over the bound is uncached again.
+    Otherwise the join is left to the planner: sort-merge, where adaptive execution splits the
+    partition of a hot key.
     """
-    if materialize:
-        df = df.cache()
-        if df.count() <= max_rows:
-            return F.broadcast(df)
-        df.unpersist()
-        return df
-    if row_count_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
-
-
-def broadcast_all_if_bounded(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[DataFrame]:
-    """:func:`broadcast_if_bounded` for several sides with one counting job."""
-    return [F.broadcast(d) if ok else d for d, ok in zip(dfs, row_counts_at_most(dfs, max_rows))]
+    table, size = materialised(df, name)
+    return (F.broadcast(table), True) if size <= max_bytes else (table, False)

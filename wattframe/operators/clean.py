@@ -14,16 +14,16 @@ from wattframe.operators.dedup import keep_first
 from wattframe.sources.inline import inline_table
 
 
-def clean_generation(raw: DataFrame) -> DataFrame:
+def clean_generation(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw generation feed -> typed generation table.
 
     Timestamps are parsed (bad text -> NULL), the partition day is derived,
     names become snake_case. Rows with every feed field NULL (a ``null``
-    response body) are dropped.
+    response body) are dropped. ``keep`` names bookkeeping columns to carry along.
     """
     feed_cols = schemas.GENERATION_FEED.names
     df = (
-        raw.select(*feed_cols)
+        raw.select(*feed_cols, *keep)
         .na.drop(how="all", subset=feed_cols)
         .withColumn("halfHourEndTime", parse_timestamp(F.col("halfHourEndTime")))
         .withColumn("settlementDate", parse_timestamp(F.col("settlementDate")))
@@ -110,6 +110,9 @@ def official_city_filter(cities: DataFrame, official: DataFrame) -> DataFrame:
 
 
 def city_reference(city_file: DataFrame, official: DataFrame) -> DataFrame:
-    """Clean -> add manual cities -> keep first per city -> official only."""
+    """Clean -> add manual cities -> keep first per city -> official only.
+
+    (source_rank, ord) stays with the city: it decides ties of the nearest city.
+    """
     first = keep_first_city(city_union_manual(city_file))
-    return official_city_filter(first, official).select("city", "latitude", "longitude")
+    return official_city_filter(first, official).select("city", "latitude", "longitude", "source_rank", "ord")

@@ -1,8 +1,8 @@
 """Keep-one-row-per-key operators.
 
-Both are hash aggregates over a struct: partial aggregation runs before the
-shuffle, so a hot key never sends all of its rows to a single task (a window
-``row_number`` would sort the whole hot group in one task).
+Both are aggregates over a struct. With strings in the struct Spark sorts on both sides of the
+shuffle; a hot key still leaves one row per task, where a window ``row_number`` would sort its
+whole group in one task.
 """
 
 from __future__ import annotations

@@ -4,15 +4,16 @@ The enrichment query joins the fact table to eight dimension roles, all
 keyed (directly or through another dimension) by ``bm_unit``. Instead of
 eight joins over the fact table, :func:`unit_dim` joins the dimensions
 to each other once, keeping every fan-out row, so the fact table needs a
-single join. Because the result keeps the multiplicity of the original left
-joins, ``fact LEFT JOIN unit_dim`` has exactly the rows of the eight-join form.
+single join. Equal rows are folded into one with their number (``COPIES``): a unit with a long
+publication history has as many rows as it has different attribute values. Repeating each joined
+fact ``COPIES`` times gives exactly the rows of the eight-join form; totals are multiplied by it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.functions.fuel import is_interconnector, resolve_fuel_attribute
@@ -42,6 +43,8 @@ class UnitDims:
         return replace(self, capacity=capacity)
 
 
+COPIES = "_copies"
+
 RESOLVED_ATTRIBUTES = ("inferred_fuel_type", "new_psr_type", "fuel_category", "source_category")
 
 UNIT_DIM_COLUMNS = (
@@ -71,7 +74,7 @@ def _mapping_role(mapping: DataFrame, key: str, key_alias: str, prefix: str) ->
 
 
 def unit_dim(dims: UnitDims, columns: tuple[str, ...] = UNIT_DIM_COLUMNS) -> DataFrame:
-    """One row per (unit, fan-out combination) with resolved attributes.
+    """One row per unit and distinct combination of ``columns``, with its number (``COPIES``).
 
     Units that appear in no dimension are absent; callers left-join and then
     apply :func:`fill_unmatched` for the interconnector rule.
@@ -89,25 +92,25 @@ def unit_dim(dims: UnitDims, columns: tuple[str, ...] = UNIT_DIM_COLUMNS) -> Dat
         "bm_unit",
         F.col("psr_type").alias("bmrs_capacity_psr_type"),
         "installed_capacity",
-    ).join(_mapping_role(mapping, "psr_type", "bmrs_capacity_psr_type", "pfc"), "bmrs_capacity_psr_type", "left")
+    ).join(_mapping_role(mapping, "psr_type", "bmrs_capacity_psr_type", "by_capacity"), "bmrs_capacity_psr_type", "left")
     loc = dims.plant_location.select(
         "dictionary_id",
-        F.col("latitude").alias("ploc_latitude"),
-        F.col("longitude").alias("ploc_longitude"),
+        F.col("latitude").alias("site_latitude"),
+        F.col("longitude").alias("site_longitude"),
         "city",
         "county",
         "gsp_name",
     )
     pid = dims.plant_id.select("bm_unit", "dictionary_id", "name").join(loc, "dictionary_id", "left")
     info = dims.unit_info.select("bm_unit", F.col("fuel_type").alias("bmrs_unit_fuel_type")).join(
-        _mapping_role(mapping, "bm_fuel_type", "bmrs_unit_fuel_type", "pfbpi"), "bmrs_unit_fuel_type", "left"
+        _mapping_role(mapping, "bm_fuel_type", "bmrs_unit_fuel_type", "by_info"), "bmrs_unit_fuel_type", "left"
     )
     ovl = dims.overlay.select(
         "bm_unit",
-        F.col("psr_type").alias("bo_psr_type"),
-        F.col("latitude").alias("bo_latitude"),
-        F.col("longitude").alias("bo_longitude"),
-    ).join(_mapping_role(mapping, "psr_type", "bo_psr_type", "pfbo"), "bo_psr_type", "left")
+        F.col("psr_type").alias("overlay_psr_type"),
+        F.col("latitude").alias("overlay_latitude"),
+        F.col("longitude").alias("overlay_longitude"),
+    ).join(_mapping_role(mapping, "psr_type", "overlay_psr_type", "by_overlay"), "overlay_psr_type", "left")
 
     ud = keys.join(cap, "bm_unit", "left").join(pid, "bm_unit", "left").join(info, "bm_unit", "left").join(ovl, "bm_unit", "left")
 
@@ -115,19 +118,25 @@ def unit_dim(dims: UnitDims, columns: tuple[str, ...] = UNIT_DIM_COLUMNS) -> Dat
     info_fuel = F.col("bmrs_unit_fuel_type")
     derived = {
         "inferred_fuel_type": resolve_fuel_attribute(
-            unit, cap_type, F.coalesce(cap_type, info_fuel), info_fuel, F.col("bo_psr_type")
+            unit, cap_type, F.coalesce(cap_type, info_fuel), info_fuel, F.col("overlay_psr_type")
         ),
-        "longitude": F.coalesce(F.col("ploc_longitude"), F.col("bo_longitude")),
-        "latitude": F.coalesce(F.col("ploc_latitude"), F.col("bo_latitude")),
+        "longitude": F.coalesce(F.col("site_longitude"), F.col("overlay_longitude")),
+        "latitude": F.coalesce(F.col("site_latitude"), F.col("overlay_latitude")),
     }
     for attr in ("new_psr_type", "fuel_category", "source_category"):
         derived[attr] = resolve_fuel_attribute(
-            unit, cap_type, F.col(f"pfc_{attr}"), F.col(f"pfbpi_{attr}"), F.col(f"pfbo_{attr}")
+            unit, cap_type, F.col(f"by_capacity_{attr}"), F.col(f"by_info_{attr}"), F.col(f"by_overlay_{attr}")
         )
     out = [F.col("bm_unit")]
     for c in columns:
         out.append(derived[c].alias(c) if c in derived else F.col(c))
-    return ud.select(*out)
+    return ud.select(*out).groupBy("bm_unit", *columns).agg(F.count("*").alias(COPIES))
+
+
+def repeated(joined: DataFrame) -> DataFrame:
+    """Each row ``COPIES`` times (once without a match), the column dropped."""
+    times = F.coalesce(F.col(COPIES), F.lit(1)).cast("int")
+    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).drop("_copy", COPIES)
 
 
 def fill_unmatched(df: DataFrame, unit_col: str = "bm_unit") -> DataFrame:
@@ -141,10 +150,11 @@ def fill_unmatched(df: DataFrame, unit_col: str = "bm_unit") -> DataFrame:
 
 
 def capacity_latest(capacity: DataFrame) -> DataFrame:
-    """Latest publication per unit (a hash aggregate, safe for hot units).
+    """Latest publication per unit.
 
-    Order: publish_time, then effective_from, installed_capacity, psr_type,
-    all descending with NULL lowest.
+    Order: publish_time, then effective_from, installed_capacity, psr_type, all descending with
+    NULL lowest. An aggregate (sorted, as the struct holds a string): a unit with a very long
+    history is one row per task after the partial step.
     """
     best = F.max(F.struct("publish_time", "effective_from", "installed_capacity", "psr_type")).alias("best")
     return capacity.groupBy("bm_unit").agg(best).select(
@@ -152,25 +162,28 @@ def capacity_latest(capacity: DataFrame) -> DataFrame:
     )
 
 
+def capacity_intervals(capacity: DataFrame) -> DataFrame:
+    """Capacity versions with the time until which each is in force (NULL: still).
+
+    Of versions with one ``effective_from`` the later publication counts, then the larger
+    capacity, then the greater type. Versions without ``effective_from`` are never in force.
+    """
+    best = F.max(F.struct("publish_time", "installed_capacity", "psr_type")).alias("v")
+    versions = capacity.where(F.col("effective_from").isNotNull()).groupBy("bm_unit", "effective_from").agg(best)
+    until = F.lead("effective_from").over(Window.partitionBy("bm_unit").orderBy("effective_from"))
+    return versions.select("bm_unit", "effective_from", "v.publish_time", "v.psr_type", "v.installed_capacity", until.alias("until"))
+
+
 def capacity_as_of(unit_days: DataFrame, capacity: DataFrame, day_col: str = "settlement_date") -> DataFrame:
-    """For each (bm_unit, day) the capacity version in force: the greatest
-    ``effective_from <= day`` (ties: later publish_time, larger capacity).
+    """For each (bm_unit, day) the capacity version in force: the greatest ``effective_from <= day``
+    (ties: later publish_time, larger capacity).
 
-    ``unit_days`` should be distinct (bm_unit, day) pairs; capacity versions
-    per unit are few, so the range condition only fans out by that count.
+    ``unit_days`` should be distinct (bm_unit, day) pairs. Validity intervals do not overlap, so a
+    unit-day meets one version at most and nothing is aggregated after the join.
     """
-    cap = capacity.select(
-        "bm_unit",
-        F.col("effective_from").alias("_eff"),
-        F.struct("effective_from", "publish_time", "installed_capacity", "psr_type").alias("_version"),
-    )
-    joined = unit_days.alias("u").join(
-        cap.alias("c"),
-        (F.col("u.bm_unit") == F.col("c.bm_unit")) & (F.col("c._eff") <= F.col(f"u.{day_col}")),
-        "left",
-    )
-    return (
-        joined.groupBy(F.col("u.bm_unit").alias("bm_unit"), F.col(f"u.{day_col}").alias(day_col))
-        .agg(F.max("_version").alias("v"))
-        .select("bm_unit", day_col, "v.effective_from", "v.publish_time", "v.psr_type", "v.installed_capacity")
-    )
+    u, c = unit_days.alias("u"), capacity_intervals(capacity).alias("c")
+    day = F.col(f"u.{day_col}")
+    joined = u.join(c, (F.col("u.bm_unit") == F.col("c.bm_unit")) & (F.col("c.effective_from") <= day)
+                    & (F.col("c.until").isNull() | (day < F.col("c.until"))), "left")
+    return joined.select(F.col("u.bm_unit").alias("bm_unit"), day.alias(day_col), "c.effective_from", "c.publish_time",
+                         "c.psr_type", "c.installed_capacity")

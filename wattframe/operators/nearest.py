@@ -1,10 +1,10 @@
 """Nearest-region assignment (arg-min of haversine distance).
 
-Regions (cities, counties, supply points) are a bounded reference set: they
-are packed into one array, evaluated once as a scalar subquery and scanned
-per point inside a native ``transform``/``array_min`` expression. Points are
-never shuffled. If the region set is larger than the broadcast bound, it is
-processed in bounded chunks and the per-chunk winners are reduced by key.
+Up to ``PACKED_REGIONS`` regions (counties, supply points, official cities) are packed into one
+array, evaluated once as a scalar subquery and scanned for each point inside a native
+``transform`` / ``array_min`` expression; points are not shuffled. Larger sets are searched by
+grid cells of growing size. Both give the same rows: the region with the smallest (distance, ord,
+name), looked up by a point's coordinates, so points need no key.
 """
 
 from __future__ import annotations
@@ -12,40 +12,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattframe.constants import EARTH_RADIUS_KM
 from wattframe.functions.geo import haversine_km, is_valid_coordinate
-from wattframe.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from wattframe.operators.broadcast import materialised
 
+PACKED_REGIONS = 2048
+FIRST_CELL, GROWTH = 1.0 / 256, 4  # of the unit sphere: about 25 km, then four times as much
 
-def region_points(df: DataFrame, name_col: str, order_col: str | None = None,
+
+def region_points(df: DataFrame, name_col: str, order_cols: str | tuple[str, ...],
                   lat_col: str = "latitude", lon_col: str = "longitude") -> DataFrame:
     """Normalise a region table to (ord, name, lat, lon).
 
-    ``order_col`` fixes the tie order (first region wins on equal distance);
-    without it ``ord`` is constant and ties go to the smallest name (the
-    candidate struct compares distance, ord, then name), so no global sort
-    is needed.
+    ``order_cols`` fix the tie order (the first region wins on equal distance), compared one after
+    the other, e.g. (source_rank, ord) for file rows before rows added by hand.
     """
-    order = F.col(order_col).cast("long") if order_col else F.lit(0).cast("long")
+    cols = (order_cols,) if isinstance(order_cols, str) else tuple(order_cols)
     return df.select(
-        order.alias("ord"),
+        F.struct(*[F.col(c).cast("long").alias(f"k{i}") for i, c in enumerate(cols)]).alias("ord"),
         F.col(name_col).cast("string").alias("name"),
         F.col(lat_col).cast("double").alias("lat"),
         F.col(lon_col).cast("double").alias("lon"),
     )
 
 
-def _best_in(regions_array: Column, lat: Column, lon: Column) -> Column:
-    """struct(d, ord, name) of the closest region in ``regions_array``."""
-    return F.array_min(
-        F.transform(
-            regions_array,
-            lambda r: F.struct(
-                haversine_km(lat, lon, r["lat"], r["lon"]).alias("d"),
-                r["ord"].alias("ord"),
-                r["name"].alias("name"),
-            ),
-        )
-    )
+def _candidate(lat: Column, lon: Column, r) -> Column:
+    return F.struct(haversine_km(lat, lon, r("lat"), r("lon")).alias("d"), r("ord").alias("ord"), r("name").alias("name"))
 
 
 def nearest_region(
@@ -55,55 +47,66 @@ def nearest_region(
     lat_col: str = "latitude",
     lon_col: str = "longitude",
     distance_col: str | None = None,
-    key_cols: list[str] | None = None,
-    max_broadcast_regions: int = DEFAULT_MAX_BROADCAST_ROWS,
-    regions_bounded: bool | None = None,
+    packed_regions: int = PACKED_REGIONS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = name of the nearest region (and optionally its distance).
 
-    ``regions`` must be in the shape of :func:`region_points`. Points with a
-    NULL or NaN coordinate get NULL. Exact ties go to the lowest ``ord``.
-    ``key_cols`` (a unique key of ``points``) is only needed when the region
-    set exceeds ``max_broadcast_regions``. ``regions_bounded`` passes the
-    result of a size check already made by the caller.
+    ``regions`` must be in the shape of :func:`region_points`. Points with a NULL or NaN
+    coordinate get NULL, as do all points if there is no region. Exact ties go to the lowest
+    ``ord``, then the smallest name. Rows of ``points`` may repeat and need no key. ``small``
+    passes on a size check that the caller has made already.
     """
     lat, lon = F.col(lat_col), F.col(lon_col)
     valid = is_valid_coordinate(lat, lon)
     regions = regions.where(is_valid_coordinate(F.col("lat"), F.col("lon")))
-
-    if regions_bounded is None:
-        regions_bounded = row_count_at_most(regions, max_broadcast_regions)
-    if regions_bounded:
+    if small is None:
+        small = regions.count() <= packed_regions
+    if small:
         packed = regions.select(F.sort_array(F.collect_list(F.struct("ord", "name", "lat", "lon"))).alias("r")).scalar()
-        # The array is bound to a column first: subqueries may not sit inside
-        # a lambda. It is one value per query, evaluated once.
-        out = points.withColumn("_regions", packed)
-        out = out.withColumn("_best", F.when(valid, _best_in(F.col("_regions"), lat, lon))).drop("_regions")
+        # Bound to a column first: subqueries may not sit inside a lambda. One value per query.
+        best = F.array_min(F.transform("_regions", lambda r: _candidate(lat, lon, lambda c: r[c])))
+        out = points.withColumn("_regions", packed).withColumn("_best", F.when(valid, best)).drop("_regions")
     else:
-        if not key_cols:
-            raise ValueError("key_cols is required when the region set exceeds the broadcast bound")
-        out = _nearest_chunked(points, regions, lat, lon, valid, key_cols, max_broadcast_regions)
-
+        found = _nearest_in_cells(points.where(valid).select(lat.alias("_lat"), lon.alias("_lon")).distinct(), regions)
+        out = points.join(found, (lat == F.col("_lat")) & (lon == F.col("_lon")), "left").drop("_lat", "_lon")
     out = out.withColumn(out_col, F.col("_best.name"))
     if distance_col:
         out = out.withColumn(distance_col, F.col("_best.d"))
     return out.drop("_best")
 
 
-def _nearest_chunked(points, regions, lat, lon, valid, key_cols, chunk_rows):
-    """Exact fallback for large region sets: bounded chunks, min by key."""
-    # Hash chunks: no global ordering (which would pull every region into one task).
-    n_chunks = -(-regions.count() // chunk_rows) * 2
-    ranked = regions.withColumn("_chunk", F.pmod(F.xxhash64("ord"), F.lit(n_chunks)))
-    parts = []
-    for i in range(int(n_chunks)):
-        packed = ranked.where(F.col("_chunk") == i).select(
-            F.collect_list(F.struct("ord", "name", "lat", "lon")).alias("r")
-        ).scalar()
-        part = points.withColumn("_regions", packed)
-        parts.append(part.select(*key_cols, F.when(valid, _best_in(F.col("_regions"), lat, lon)).alias("_best")))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    winners = cand.groupBy(*key_cols).agg(F.min("_best").alias("_best"))
-    return points.join(winners, key_cols, "left")
+def _with_unit_vector(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    p, q = F.radians(lat), F.radians(lon)
+    return df.withColumn("_x", F.cos(p) * F.cos(q)).withColumn("_y", F.cos(p) * F.sin(q)).withColumn("_z", F.sin(p))
+
+
+def _nearest_in_cells(coords: DataFrame, regions: DataFrame) -> DataFrame:
+    """(_lat, _lon, _best) of distinct coordinates.
+
+    Points and regions lie on the unit sphere, cut into cubes. Every region nearer than one cube
+    edge lies in the 27 cubes around a point, so a best region within an edge is final; the other
+    points go on to cubes four times as large. Cubes of edge 2 hold the whole sphere.
+    """
+    cube = ("_x", "_y", "_z")
+    left, _ = materialised(_with_unit_vector(coords, "_lat", "_lon"), "points")
+    regions, _ = materialised(_with_unit_vector(regions, "lat", "lon"), "regions")
+    done, edge = None, FIRST_CELL
+    while True:
+        cells = [F.floor(F.col(c) / edge) for c in cube]
+        around = left
+        for c, cell in zip(cube, cells):
+            around = around.withColumn(f"{c}c", F.explode(F.array(*[cell + k for k in (-1, 0, 1)])))
+        placed = regions.select("ord", "name", "lat", "lon", *[cell.alias(f"{c}c") for c, cell in zip(cube, cells)])
+        pairs = around.join(placed, [f"{c}c" for c in cube])
+        best = pairs.groupBy("_lat", "_lon").agg(F.min(_candidate(F.col("_lat"), F.col("_lon"), F.col)).alias("_best"))
+        last = edge >= 2
+        within = F.lit(True) if last else (2 * F.sin(F.col("_best.d") / (2 * EARTH_RADIUS_KM)) < edge * (1 - 1e-9))
+        final, _ = materialised(best.where(within), "nearest")
+        done = final if done is None else done.unionByName(final)
+        if last:
+            return done
+        left, _ = materialised(left.join(final.select("_lat", "_lon"), ["_lat", "_lon"], "left_anti"), "points")
+        if not left.head(1):
+            return done
+        edge = min(edge * GROWTH, 2.0)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from wattframe.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_counts_at_most
-from wattframe.operators.nearest import nearest_region
+from wattframe.operators.nearest import PACKED_REGIONS, nearest_region
 
 
 def plant_locations(
@@ -15,19 +17,18 @@ def plant_locations(
     gsps: DataFrame,
     lat_col: str = "latitude",
     lon_col: str = "longitude",
-    key_cols: list[str] | None = None,
-    max_broadcast_regions: int = DEFAULT_MAX_BROADCAST_ROWS,
+    packed_regions: int = PACKED_REGIONS,
 ) -> DataFrame:
     """Every raw location column plus ``city``, ``county`` and ``gsp_name``.
 
-    Region tables are in :func:`wattframe.operators.nearest.region_points`
-    shape. Plants are never shuffled while regions fit the broadcast bound.
+    Region tables are in :func:`wattframe.operators.nearest.region_points` shape; one job counts
+    the three.
     """
-    key_cols = key_cols or ["dictionary_id"]
     sets = (("city", cities), ("county", counties), ("gsp_name", gsps))
-    bounded = row_counts_at_most([r for _, r in sets], max_broadcast_regions)  # one job for the three checks
+    counts = reduce(DataFrame.unionAll, [r.select(F.lit(name).alias("name")) for name, r in sets]).groupBy("name").count()
+    sizes = {r["name"]: r["count"] for r in counts.collect()}
     out = locations
-    for (name, regions), ok in zip(sets, bounded):
-        out = nearest_region(out, regions, name, lat_col, lon_col, key_cols=key_cols,
-                             max_broadcast_regions=max_broadcast_regions, regions_bounded=ok)
+    for name, regions in sets:
+        out = nearest_region(out, regions, name, lat_col, lon_col, packed_regions=packed_regions,
+                             small=sizes.get(name, 0) <= packed_regions)
     return out

@@ -4,7 +4,7 @@
 * high-water mark / catch-up: resume after missed runs;
 * gap report: every day missing between the first and last loaded day;
 * de-duplication of re-published rows;
-* merge: dynamic partition overwrite, so re-running a day replaces it;
+* merge: by key into the touched days, so a re-run or a partial day loses and duplicates nothing;
 * refresh: recompute derived daily totals for the touched days only.
 """
 
@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattframe.constants import CAPACITY_HISTORY_START, INITIAL_LOAD_DAYS, PUBLISH_DELAY_DAYS
-from wattframe.functions.numeric import exact_sum
+from wattframe.functions.numeric import total
+from wattframe.operators.broadcast import materialised
 from wattframe.operators.dedup import keep_last
 from wattframe.plans.views import daily_generation_by_unit
 from wattframe.schemas import GENERATION_KEY, PARTITION_COLUMN
-from wattframe.sources.sinks import write_days
+from wattframe.sources import sinks
+from wattframe.sources.files import table_exists, table_files
 
 DateLike = dt.date | str | Column
 
@@ -79,16 +81,30 @@ def ingest_window_report(generation: DataFrame, today: DateLike | None = None,
     picked = generation.where(part.between(w["initial_from"], w["batch_day"]))
     label = F.when(part == w["batch_day"], F.lit("batch")).otherwise(F.lit("initial"))
     return picked.groupBy(part.alias(PARTITION_COLUMN), label.alias("ingest_window")).agg(
-        F.count(F.lit(1)).alias("n_rows"), exact_sum(F.col("quantity")).alias("total_quantity_mwh")
+        F.count(F.lit(1)).alias("n_rows"), total(F.col("quantity")).alias("total_quantity_mwh")
     )
 
 
 def high_water_mark(table: DataFrame, partition_col: str = PARTITION_COLUMN) -> Column:
-    """Last day present, as a scalar subquery. On a partitioned Parquet table
-    only partition values are read (no data columns)."""
+    """Last day present, as a scalar subquery. For a stored table pass its
+    :func:`settlement_dates_in_files`, which opens no data file."""
     return table.agg(F.max(partition_col)).scalar()
 
 
+def generation_window(spark, table_path: str, today: DateLike) -> tuple[str, str]:
+    """First and last settlement day that a run on ``today`` asks for: the initial window if
+    nothing is stored, else the batch day, or from the day after the last one stored if runs were
+    missed. Days come from the file listing."""
+    present = settlement_dates_in_files(spark, table_path) if table_exists(spark, table_path) else None
+    w = ingest_windows(today)
+    one = spark.range(1)
+    if present is None:
+        row = one.select(w["initial_from"].alias("a"), w["initial_to"].alias("b")).first()
+    else:
+        row = catch_up(present, w["batch_day"]).select(F.col("request_from").alias("a"), F.col("scheduled_from").alias("b")).first()
+    return str(row["a"]), str(row["b"])
+
+
 def catch_up(table: DataFrame, scheduled_from: DateLike, partition_col: str = PARTITION_COLUMN) -> DataFrame:
     """One row: high-water mark, scheduled start and the start to request.
 
@@ -111,12 +127,10 @@ def settlement_dates_present(table: DataFrame, partition_col: str = PARTITION_CO
 
 
 def settlement_dates_in_files(spark, path: str, partition_col: str = PARTITION_COLUMN) -> DataFrame:
-    """Days present in a landed Parquet dataset, taken from the file paths
-    (``.../<partition_col>=YYYY-MM-DD/...``) rather than from data columns.
-    Works for loose files whose directories were not discovered as partitions."""
-    files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("_path")).distinct()
-    day = F.regexp_extract("_path", rf"{partition_col}=(\d{{4}}-\d{{2}}-\d{{2}})", 1)
-    return files.select(F.to_date(day).alias(partition_col)).where(F.col(partition_col).isNotNull()).distinct()
+    """Days present in a stored or landed Parquet dataset, from the listing of its files
+    (``.../<partition_col>=YYYY-MM-DD/...``): one row per file, and no data file is opened."""
+    day = F.regexp_extract("path", rf"{partition_col}=(\d{{4}}-\d{{2}}-\d{{2}})", 1)
+    return table_files(spark, path).select(F.try_to_date(day).alias(partition_col)).where(F.col(partition_col).isNotNull()).distinct()
 
 
 def missing_settlement_dates(table: DataFrame, partition_col: str = PARTITION_COLUMN) -> DataFrame:
@@ -125,7 +139,7 @@ def missing_settlement_dates(table: DataFrame, partition_col: str = PARTITION_CO
     The calendar has one row per day of the span (bounded by the date range,
     not by the data volume); the anti join is against distinct days.
     """
-    present = settlement_dates_present(table, partition_col)
+    present, _ = materialised(settlement_dates_present(table, partition_col), "days")  # used twice below
     span = present.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"))
     calendar = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias(partition_col))
     return calendar.join(present, partition_col, "left_anti")
@@ -140,23 +154,17 @@ def dedup_generation(loads: DataFrame, order: tuple[str, ...] = ("load_id", "qua
     return picked.drop(*drop)
 
 
-def merge_days(batch: DataFrame, table_path: str) -> None:
-    """Write ``batch`` into the day-partitioned table at ``table_path``,
-    replacing exactly the days it contains (idempotent re-runs)."""
-    write_days(batch, table_path)
-
+def merge_days(batch: DataFrame, table_path: str, order: tuple[str, ...] = (), drop: tuple[str, ...] = ()) -> list:
+    """Merge generation rows into the day-partitioned table by (unit, date, period): rows of a
+    touched day that the batch does not hold stay, re-published ones are replaced
+    (:func:`wattframe.sources.sinks.merge_days`). Returns the touched days."""
+    return sinks.merge_days(batch, table_path, list(GENERATION_KEY), order, drop)
 
-def touched_days(batch: DataFrame) -> DataFrame:
-    return batch.select(PARTITION_COLUMN).distinct()
 
-
-def refresh_daily(daily_path: str, batch: DataFrame) -> None:
-    """Recompute daily totals for the days of ``batch`` and overwrite only them.
-
-    A merge replaces every day of the batch wholesale (dynamic partition
-    overwrite), so after :func:`merge_days` the facts of a touched day are
-    exactly the batch rows of that day: the refresh needs no read of the
-    fact table, and untouched days are not recomputed.
-    """
-    daily = daily_generation_by_unit(batch).withColumn(PARTITION_COLUMN, F.to_date("settlement_date"))
-    write_days(daily, daily_path)
+def refresh_daily(daily_path: str, table_path: str, spark, days: list) -> None:
+    """Recompute the daily totals of the touched ``days`` from the stored facts and overwrite only them."""
+    if not days:
+        return
+    facts = spark.read.parquet(table_path).where(F.col(PARTITION_COLUMN).isin(days))
+    daily = daily_generation_by_unit(facts).withColumn(PARTITION_COLUMN, F.to_date("settlement_date"))
+    sinks.write_days(daily, daily_path)

@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CORRUPT = "_corrupt_record"
+
 
 def read_feed_json(spark: SparkSession, path: str | list[str], schema: T.StructType,
-                   multiline: bool = False) -> DataFrame:
+                   multiline: bool = False, keep_corrupt: bool = False) -> DataFrame:
     """Read feed records with a fixed schema.
 
     Landing files should be JSON lines (splittable, many tasks per file).
     A response saved as one JSON array needs ``multiline=True``, which reads
     each file in a single task. Extra fields are ignored; values of the wrong
-    type become NULL (PERMISSIVE mode).
+    type become NULL (PERMISSIVE mode). ``keep_corrupt`` adds the text of records
+    that cannot be read as ``_corrupt_record`` (NULL for the others).
     """
-    return spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE").json(path)
+    if keep_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return (spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
              blank_as_null: bool = True, with_file_order: str | None = None) -> DataFrame:
-    """Read a headed CSV with a fixed schema.
+    """Read a headed CSV with a fixed schema; columns are taken by name.
 
     ``blank_as_null=True`` (default) reads blank string cells as NULL;
     ``False`` keeps them as '' so that blank keys join each other, as a
@@ -29,35 +36,22 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
     ``with_file_order`` adds a column increasing in file order (for
     keep-first de-duplication); splits of one file keep their order.
     """
-    df = spark.read.option("header", True).schema(schema).csv(path)
-    strings = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
-    if blank_as_null:
-        df = df.select(*[
-            F.when(F.col(c) != "", F.col(c)).alias(c) if c in strings else F.col(c) for c in df.columns
-        ])
-    elif strings:
-        df = df.na.fill("", subset=strings)
+    df = read_csv_columns(spark, path, {f.name: f.dataType for f in schema.fields}, blank_as_null)
     if with_file_order:
         df = df.withColumn(with_file_order, F.monotonically_increasing_id())
     return df
 
 
-def read_parquet_table(spark: SparkSession, path: str, days: tuple[str, str] | None = None,
-                       partition_col: str = "settlement_date_partition") -> DataFrame:
-    """Read a (Hive-partitioned) Parquet table; ``days`` prunes partitions."""
-    df = spark.read.parquet(path)
-    if days is not None:
-        part = F.col(partition_col)
-        df = df.where((part >= F.lit(days[0]).cast("date")) & (part <= F.lit(days[1]).cast("date")))
-    return df
-
-
-def read_csv_columns(spark: SparkSession, path: str | list[str], columns: dict[str, T.DataType],
-                     blank_as_null: bool = True) -> DataFrame:
+def read_csv_columns(spark: SparkSession, path: str | list[str], columns: dict[str, T.DataType] | None = None,
+                     blank_as_null: bool = True, others: bool = False) -> DataFrame:
     """Read a headed CSV that may carry extra columns in any order: every
     cell is read as text, then the named columns are selected and cast
-    (ANSI-safe: values that do not parse become NULL)."""
+    (ANSI-safe: values that do not parse become NULL). ``others`` keeps the
+    file's other columns after them, as text."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    columns = dict(columns or {})
+    if others:
+        columns |= {c: T.StringType() for c in raw.columns if c not in columns}
     out = []
     for name, dtype in columns.items():
         c = F.col(f"`{name}`")
@@ -67,3 +61,27 @@ def read_csv_columns(spark: SparkSession, path: str | list[str], columns: dict[s
             c = F.coalesce(c, F.lit(""))
         out.append((c if isinstance(dtype, T.StringType) else c.try_cast(dtype)).alias(name))
     return raw.select(*out)
+
+
+def read_parquet_table(spark: SparkSession, path: str, days: tuple[str, str] | None = None,
+                       partition_col: str = "settlement_date_partition") -> DataFrame:
+    """Read a (Hive-partitioned) Parquet table; ``days`` prunes partitions."""
+    df = spark.read.parquet(path)
+    if days is not None:
+        part = F.col(partition_col)
+        df = df.where((part >= F.lit(days[0]).cast("date")) & (part <= F.lit(days[1]).cast("date")))
+    return df
+
+
+def table_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of a dataset's Parquet files, one row per file; no file is opened."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+            .load(path).select("path", "length"))
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset has been written at ``path``."""
+    try:
+        return bool(table_files(spark, path).head(1))
+    except AnalysisException:
+        return False

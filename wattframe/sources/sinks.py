@@ -1,15 +1,18 @@
 """Sinks.
 
-Day-partitioned tables are written with dynamic partition overwrite: a
-re-run of a day replaces exactly that day, so ingest is idempotent (a
-second write of the same day never duplicates it).
+Day-partitioned tables are written with dynamic partition overwrite. :func:`merge_days` keeps the
+stored rows of a touched day that the batch does not replace; :func:`write_days` replaces days.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from wattframe.operators.broadcast import materialised
+from wattframe.operators.dedup import keep_last
 from wattframe.schemas import PARTITION_COLUMN
+from wattframe.sources.files import table_exists
 
 
 def write_days(
@@ -19,28 +22,53 @@ def write_days(
     cluster_by: tuple[str, ...] = ("bm_unit",),
     rebalance: bool = True,
 ) -> None:
-    """Write ``df`` into ``path`` partitioned by day, replacing only the days present.
-
-    ``rebalance`` hashes days over one task per core, so a day is normally
-    written by one task into one file, and AQE splits a hot day (one holding
-    much more than the advisory partition size) over several tasks. No
-    sampling pass is needed. Pass ``rebalance=False`` when ``df`` is already
-    day-aligned (e.g. a row-wise transform of a scan of a day-partitioned
-    table): each task then writes the day it read, with no shuffle. Within a
-    file rows are sorted by unit so Parquet min/max statistics prune unit
-    filters.
+    """Write ``df`` into ``path`` partitioned by day, replacing the days present as a whole.
+
+    ``rebalance`` hashes days over the shuffle partitions, so a day is normally written by one
+    task into one file, and adaptive execution splits a hot day over several tasks. Small
+    partitions are not put together again: creating a day's file costs more than a task. Pass
+    ``rebalance=False`` when ``df`` is already day-aligned (a row-wise transform of a scan of a
+    day-partitioned table): each task then writes the day it read, with no shuffle. Within a
+    file rows are sorted by unit so Parquet min/max statistics prune unit filters.
     """
     keys = [c for c in cluster_by if c in df.columns and c != partition_col]
     if rebalance:
-        tasks = max(df.sparkSession.sparkContext.defaultParallelism, 1)
-        df = df.hint("rebalance", tasks, partition_col)
+        df = df.hint("rebalance", partition_col)
     out = df.sortWithinPartitions(partition_col, *keys)
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
+    conf, setting = df.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.enabled"
+    before = conf.get(setting)
+    conf.set(setting, "false")
+    try:
+        writer.parquet(path)
+    finally:
+        conf.set(setting, before)
+
+
+def merge_days(batch: DataFrame, path: str, key: list[str], order: tuple[str, ...] = (),
+               drop: tuple[str, ...] = (), partition_col: str = PARTITION_COLUMN) -> list:
+    """Merge ``batch`` into the day-partitioned table at ``path`` by ``key``; returns the touched days.
+
+    Rows of a touched day that the batch does not hold stay. A key in both takes the batch's row;
+    within the batch the largest ``order`` columns win, then the other columns break ties.
+    ``drop`` names bookkeeping columns that are not stored. The stored side is pruned to the touched
+    days. The merged days are written to the shared folder before they
+    replace the stored ones, so a failed run can be repeated. Running a batch twice changes nothing.
+    """
+    spark = batch.sparkSession
+    stored_cols = [c for c in batch.columns if c not in drop]
+    batch, _ = materialised(batch, "batch")
+    days = [r[0] for r in batch.select(partition_col).distinct().collect()]  # one value per calendar day
+    if not days:
+        return []
+    rows = batch.withColumn("_load", F.lit(1))
+    if table_exists(spark, path):
+        old = spark.read.parquet(path).where(F.col(partition_col).isin(days)).withColumn("_load", F.lit(0))
+        rows = rows.unionByName(old, allowMissingColumns=True)
+    merged = keep_last(rows, key, ["_load", *order]).select(*stored_cols)
+    merged, _ = materialised(merged, "merged-days")
+    write_days(merged, path, partition_col=partition_col)
+    return days
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -48,6 +76,10 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def append_table(df: DataFrame, path: str) -> None:
+    df.write.mode("append").parquet(path)
+
+
 def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

@@ -1,49 +1,41 @@
 """Landing directory -> day-partitioned generation table, as a stream.
 
-Each landed file is processed exactly once (the checkpoint records it).
-Re-published rows (same unit, day and period) arriving within the watermark
-are dropped; the watermark bounds disorder between days, not the constant
-publication lag, so old-day backfills go through the batch merge
-(:func:`wattframe.plans.incremental.merge_days`).
+Each landed file is processed once (the checkpoint records it). Every micro-batch goes through
+the same keyed merge as the batch job: a late row of an old day is added to that day, a
+correction replaces the row it corrects, and a repeated micro-batch changes nothing. There is no
+watermark, so no row is too late.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wattframe.operators.clean import clean_generation
-from wattframe.schemas import GENERATION_FEED, GENERATION_KEY, PARTITION_COLUMN
+from wattframe.plans.ingest import merge_generation
+from wattframe.schemas import GENERATION_FEED
+from wattframe.sources.files import CORRUPT
 
 
-def generation_stream(spark: SparkSession, landing_dir: str, watermark: str = "3 days",
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """Cleaned, de-duplicated generation rows from JSON-lines files."""
-    reader = spark.readStream.schema(GENERATION_FEED)
+def generation_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Raw generation records of landed JSON-lines files, unreadable ones included."""
+    schema = T.StructType([*GENERATION_FEED.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.json(landing_dir)
-    cleaned = clean_generation(raw).where("settlement_date IS NOT NULL")
-    # Watermarks need a zoned timestamp; domain timestamps are UTC wall clock.
-    with_time = cleaned.withColumn("_event_time", F.col("settlement_date").cast("timestamp"))
-    deduped = with_time.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark(list(GENERATION_KEY))
-    return deduped.drop("_event_time")
+    return reader.json(landing_dir).withColumn("landed_at", F.col("_metadata.file_modification_time"))
 
 
 def start_generation_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_path: str,
-                            available_now: bool = True, watermark: str = "3 days",
-                            partition_by: str | None = PARTITION_COLUMN) -> StreamingQuery:
-    """Append new rows into the table (partitioned by day unless
-    ``partition_by`` is None); ``available_now`` processes whatever has
-    landed and stops (a scheduled daily run)."""
-    writer = (
-        generation_stream(spark, landing_dir, watermark)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint_path)
-        .outputMode("append")
-    )
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
+                            available_now: bool = True, quarantine_path: str | None = None,
+                            max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Merge what lands into the table; ``available_now`` processes whatever has landed and stops
+    (a scheduled daily run). Records that cannot be used go to ``quarantine_path`` if it is given."""
+    def merge(batch: DataFrame, _batch_id: int) -> None:
+        merge_generation(batch, table_path, quarantine_path)
+
+    writer = (generation_stream(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(merge)
+              .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start(table_path)
+    return writer.start()
