@@ -95,19 +95,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     near_next is 0. Shingles do not depend on the kind or the number of white-space characters
     between words; texts of fewer than five words are one shingle.
     """
-    t = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    light = written(t.select("doc_id", F.length("text").alias("n_chars"), F.sha2(F.encode("text", "UTF-8"), 256).alias("sha")), "lengths")
-    ids = written(light.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("n_chars").alias("n_chars"), F.min("sha").alias("sha")), "ids")
+    # (Another name than doc_id: an alias of the same name is dropped on one side only, and the two
+    # exchanges of the texts would not be recognised as one.)
+    t = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    named = t.where(F.col("id").isNotNull())
+    ids = written(named.groupBy("id").agg(F.max(F.length("text")).alias("n_chars")).withColumnRenamed("id", "doc_id"), "ids")
     order = written(neighbours(ids), "neighbours")
     # What each document gives to the one before it: a beginning of its text, and its own sketch.
     asked = order.join(ids.select("doc_id", F.floor(F.col("n_chars") / 4).cast("int").alias("need")), "doc_id") \
-        .select(F.col("doc_id").alias("before_id"), F.col("next_id").alias("doc_id"), "need")
-    asked = written(asked.join(ids.select("doc_id", "sha"), "doc_id"), "asked")
-    gives = t.join(asked, "doc_id").where(F.sha2(F.encode("text", "UTF-8"), 256) == F.col("sha"))
-    gives = with_sketch(gives, "text", "next_scale", "next_sketch").select(
-        F.col("before_id").alias("doc_id"), F.expr("left(text, need)").alias("beginning"), "next_scale", "next_sketch") \
-        .dropDuplicates(["doc_id"])
-    both = t.join(gives, "doc_id", "left").withColumn("n_chars", F.length("text").cast("long"))
+        .select(F.col("doc_id").alias("before_id"), F.col("next_id").alias("id"), "need")
+    gives = with_sketch(named.join(written(asked, "asked"), "id"), "text", "next_scale", "next_sketch")
+    gives = gives.select(F.col("before_id").alias("id"), F.sha2(F.encode("text", "UTF-8"), 256).alias("sha"), F.struct(
+        F.expr("left(text, need)").alias("beginning"), "next_scale", "next_sketch").alias("given"))
+    gives = gives.groupBy("id").agg(F.min_by("given", "sha").alias("given")).select("id", "given.*")
+    # Both joins deal the texts out by id: they are shuffled once and the exchange is used again.
+    alone = t.where(F.col("id").isNull()).select(
+        "id", "text", F.lit(None).cast("string").alias("beginning"), F.lit(None).cast("int").alias("next_scale"),
+        F.lit(None).cast("array<long>").alias("next_sketch"))
+    both = named.join(gives, "id", "left").unionByName(alone).withColumn("n_chars", F.length("text").cast("long"))
     quarter = "cast(floor(n_chars / 4) as int)"
     both = both.withColumn("edited", F.expr(
         f"concat(left(text, cast(n_chars as int) - {quarter}), left(coalesce(beginning, ''), {quarter}))")).drop("beginning")
@@ -115,7 +120,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     both = with_sketch(with_sketch(both, "text", "scale", "sketch"), "edited", "edited_scale", "edited_sketch")
     c = F.col
     return both.select(
-        "doc_id", "n_chars", "edited_sha256",
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
         as_text(c("scale"), c("sketch")).alias("fingerprint"),
         as_text(c("edited_scale"), c("edited_sketch")).alias("edited_fingerprint"),
         likeness(c("scale"), c("sketch"), c("edited_scale"), c("edited_sketch")).alias("near_edited"),
