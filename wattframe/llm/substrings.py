@@ -65,8 +65,13 @@ def level_one(docs: DataFrame, window: int) -> DataFrame:
     return _texts(docs).mapInArrow(scan, "doc_id long, key long, n_words long, seeds array<long>")
 
 
+def _place(key, start):
+    """A start and part of the text's key in one long: rows that repeat a doc_id have other keys."""
+    return ((key & ((1 << 23) - 1)) << 40) | start
+
+
 def level_two(docs: DataFrame, window: int, wanted) -> DataFrame:
-    """(doc_id, key, start, hash) of the full windows whose short window passes the filter."""
+    """(doc_id, place, hash) of the full windows whose short window passes the filter."""
     def scan(batches):
         bits = np.frombuffer(wanted.value, dtype=np.uint8)
         for batch in batches:
@@ -81,38 +86,38 @@ def level_two(docs: DataFrame, window: int, wanted) -> DataFrame:
                 for k in np.unique(i):
                     keys[k] = _key(w, k)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(i)), pa.array(keys[i]), pa.array(at - w.bounds[i], pa.int64()),
-                     pa.array(signed(full[at]))], ["doc_id", "key", "start", "hash"])
+                    [part.column(0).take(pa.array(i)), pa.array(_place(keys[i], at - w.bounds[i])), pa.array(signed(full[at]))],
+                    ["doc_id", "place", "hash"])
 
-    return _texts(docs).mapInArrow(scan, "doc_id long, key long, start long, hash long")
+    return _texts(docs).mapInArrow(scan, "doc_id long, place long, hash long")
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(one row per document: doc_id, key, n_words; the windows that different texts share).
+    """(one row per document: doc_id, key, n_words; the windows that different documents share).
 
-    The windows have doc_id, key, start, hash and first (the smallest doc_id they start in).
-    Documents with equal word sequences share a key; windows that only such copies share are left
-    out, as those follow from the key.
+    The windows have doc_id, place, hash and first (the smallest doc_id they start in). Documents
+    with equal word sequences share a key. A short window that only such copies hold is not put
+    forward: what goes of copies follows from the key.
     """
     rows = written(level_one(docs, window), "level-one")
     short = rows.select("key", F.explode("seeds").alias("seed")).groupBy("seed").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
     short = written(short.where("lo != hi").select("seed"), "short-repeats")
     full = written(level_two(docs, window, bloom(short, "seed", BLOOM_BITS)), "level-two")
-    per = full.groupBy("hash").agg(F.min("doc_id").alias("first"), F.min("key").alias("lo"), F.max("key").alias("hi"))
-    firsts = written(per.where("lo != hi").select("hash", "first"), "full-repeats")
+    per = full.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    firsts = written(per.where("first != last").select("hash", "first"), "full-repeats")
     # Both sides come from tables: adaptive execution splits the partition of a frequent window.
     return rows.select("doc_id", "key", "n_words"), full.join(firsts, "hash")
 
 
 def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id and what goes of it: entries (key, starts of removed windows; [-1]: the whole text)."""
+    """doc_id, places of removed windows, keys of texts that go as a whole."""
     rows, shared = repeated_windows(docs, window)
-    hits = shared.where(F.col("first") < F.col("doc_id")).groupBy("doc_id", "key").agg(F.collect_list("start").alias("starts"))
+    hits = shared.where(F.col("first") < F.col("doc_id")).groupBy("doc_id").agg(F.collect_list("place").alias("places"))
     of_key = written(rows.where(F.col("n_words") >= window).groupBy("key").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first != last"), "copies")
     whole = rows.where(F.col("n_words") >= window).join(of_key, "key").where(F.col("doc_id") > F.col("first")) \
-        .select("doc_id", "key", F.array(F.lit(-1).cast("long")).alias("starts")).distinct()
-    return hits.unionAll(whole).groupBy("doc_id").agg(F.collect_list(F.struct("key", "starts")).alias("gone"))
+        .groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    return hits.join(whole, "doc_id", "full")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -125,26 +130,39 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     its own text. Kept words are joined by one space.
     """
     gone = written(removals(docs, window), "removals")
+    touched = bloom(gone, "doc_id", BLOOM_BITS - 2)
+
+    def only(touched_ones):
+        def scan(batches):
+            bits = np.frombuffer(touched.value, dtype=np.uint8)
+            for batch in batches:
+                ids = batch.column(0)
+                hit = bloom_has(bits, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U))
+                hit &= ids.is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(hit if touched_ones else ~hit))
+        return scan
 
     def apply(batches):
         for batch in batches:
             out = []
-            for doc_id, text, entries in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            if batch.num_columns == 2:
+                batch = batch.append_column("places", pa.nulls(batch.num_rows)).append_column("keys", pa.nulls(batch.num_rows))
+            for doc_id, text, places, keys in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist()):
                 data = (text.as_py() or "").encode()
                 words = data.split()
                 n, removed = len(words), 0
-                if entries:
+                if keys or places.is_valid:
                     key = _key(Words(np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)]), lower=False), 0)
-                    drop = np.zeros(n + 1, dtype=np.int64)
-                    for e in entries:
-                        if e["key"] == key:
-                            starts = np.asarray(e["starts"], dtype=np.int64)
-                            if starts[0] < 0:
-                                drop[0] += 1
-                            else:
-                                np.add.at(drop, starts, 1)
-                                np.subtract.at(drop, starts + window, 1)
-                    stay = np.cumsum(drop[:n]) == 0
+                    stay = np.ones(n, dtype=bool)
+                    if keys and key in keys:
+                        stay[:] = False
+                    elif places.is_valid:
+                        places = places.values.to_numpy()
+                        starts = places[places >> 40 == _place(key, 0) >> 40] & ((1 << 40) - 1)
+                        drop = np.zeros(n + 1, dtype=np.int64)
+                        np.add.at(drop, starts, 1)
+                        np.subtract.at(drop, starts + window, 1)
+                        stay = np.cumsum(drop[:n]) == 0
                     removed = int(n - stay.sum())
                     if removed:
                         words = [words[i] for i in np.flatnonzero(stay)]
@@ -155,25 +173,29 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                              ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"])
 
-    return _texts(docs).join(gone, "doc_id", "left").mapInArrow(
-        apply, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")
+    # Texts of which nothing goes are finished where they are read, the others meet their removals.
+    result = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
+    texts = "doc_id long, text string"
+    whole = _texts(docs).mapInArrow(only(False), texts).mapInArrow(apply, result)
+    return whole.unionAll(_texts(docs).mapInArrow(only(True), texts).join(gone, "doc_id", "left").mapInArrow(apply, result))
 
 
 def repeat_levels(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, longest: the longest of window, 2 * window, 4 * window, ... at which a window of the
-    document also starts in a document with another word sequence. Documents without one are left out.
+    document also starts in another document. Documents without one are left out, and so are those
+    that only share windows with their own copies.
 
     A window of twice the length is two windows that repeat and follow each other; whether the
     longer one repeats is counted again, until no window does.
     """
     _, shared = repeated_windows(docs, window)
-    level = written(shared.where(F.col("doc_id").isNotNull()).select("doc_id", "key", "start", "hash").distinct(), "level")
+    level = written(shared.where(F.col("doc_id").isNotNull()).select("doc_id", "place", "hash").distinct(), "level")
     found, length = level.select("doc_id", F.lit(window).cast("long").alias("longest")).distinct(), window
     while level.head(1):
-        nxt = level.select("doc_id", "key", (F.col("start") - length).alias("start"), F.col("hash").alias("after"))
-        longer = level.join(nxt, ["doc_id", "key", "start"]).select("doc_id", "key", "start", F.xxhash64("hash", "after").alias("hash"))
+        nxt = level.select("doc_id", (F.col("place") - length).alias("place"), F.col("hash").alias("after"))
+        longer = level.join(nxt, ["doc_id", "place"]).select("doc_id", "place", F.xxhash64("hash", "after").alias("hash"))
         longer = written(longer, "longer")
-        per = written(longer.groupBy("hash").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo != hi").select("hash"), "longer-repeats")
+        per = written(longer.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo != hi").select("hash"), "longer-repeats")
         length *= 2
         level = written(longer.join(per, "hash"), "level")
         found = found.unionAll(level.select("doc_id", F.lit(length).cast("long").alias("longest")).distinct())
