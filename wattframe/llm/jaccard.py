@@ -31,7 +31,8 @@ from wattframe.llm.textops import mix, signed, words_of
 U = np.uint64
 BLOCK_DOCS = 256          # members of a block, about
 BLOCK_TOKENS = 1 << 18    # tokens of a block, about (one longer document is a block of its own)
-QUERY_DOCS = 1024         # queries that one task holds against a block, about
+QUERY_DOCS = 256          # queries that one task holds against a block, about
+PART_BITS = 27            # of the Bloom filter of shared parts: 16 MB, whatever the input
 CLASS_RATIO = 1.6         # growth of the set sizes that share one way of cutting
 
 
@@ -89,25 +90,40 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def set_table(docs: DataFrame, words: int, cuts: Cuts) -> DataFrame:
-    """doc_id, n_shingles, key (128-bit hash of the set; null if empty), signatures."""
+def set_table(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, n_shingles, key (128-bit hash of the set; null if empty)."""
     def scan(batches):
         for batch in batches:
             for part, w in words_of(batch, lower=True):
-                n, lo, hi, sig = [], [], [], []
+                n, key = [], []
                 for s in w.shingle_sets(words):
                     n.append(len(s))
-                    lo.append(int(np.sum(mix(s), dtype=U)) if len(s) else None)
-                    hi.append(int(np.sum(mix(s ^ U(0x5851F42D4C957F2D)), dtype=U)) if len(s) else None)
-                    sig.append(signed(cuts.signatures(s)) if len(s) else np.empty(0, np.int64))
-                key = [None if a is None else f"{a:016x}{b:016x}" for a, b in zip(lo, hi)]
-                ends = np.cumsum([0, *map(len, sig)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(key, pa.string()),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sig) if sig else [], pa.int64()))],
-                    ["doc_id", "n_shingles", "key", "signatures"])
+                    lo, hi = np.sum(mix(s), dtype=U), np.sum(mix(s ^ U(0x5851F42D4C957F2D)), dtype=U)
+                    key.append(f"{int(lo):016x}{int(hi):016x}" if len(s) else None)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(key, pa.string())],
+                                                 ["doc_id", "n_shingles", "key"])
+
+    return _texts(docs).mapInArrow(scan, "doc_id long, n_shingles long, key string")
+
+
+def signature_rows(docs: DataFrame, words: int, cuts: Cuts, wanted=None) -> DataFrame:
+    """(doc_id, signature) of all parts, or of those that the Bloom filter ``wanted`` lets pass.
+
+    Signatures are made again rather than stored: they are as large as the texts.
+    """
+    def scan(batches):
+        bits = None if wanted is None else np.frombuffer(wanted.value, dtype=np.uint8)
+        for batch in batches:
+            for part, w in words_of(batch, lower=True):
+                own = [cuts.signatures(s) if len(s) else np.empty(0, U) for s in w.shingle_sets(words)]
+                row = np.repeat(np.arange(len(own)), [len(x) for x in own])
+                sig = np.concatenate(own)
+                if bits is not None:
+                    hit = bloom_has(bits, sig)
+                    row, sig = row[hit], sig[hit]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(signed(sig))], ["doc_id", "signature"])
 
-    return _texts(docs).mapInArrow(scan, "doc_id long, n_shingles long, key string, signatures array<long>")
+    return _texts(docs).mapInArrow(scan, "doc_id long, signature long")
 
 
 def token_table(docs: DataFrame, words: int, wanted) -> DataFrame:
@@ -228,15 +244,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 4, den: int =
     another text count as one node and share a component. Shingles are compared by 64-bit hashes. Columns of ``docs`` other than doc_id and text are not read.
     """
     cuts = Cuts(num, den)
-    sets = written(set_table(docs, words, cuts), "sets")
-    light = sets.select("doc_id", "n_shingles", "key")
+    light = written(set_table(docs, words), "sets")
     reps = written(light.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("node")), "representatives")
 
-    # Parts that more than one representative holds. The copies of a text leave with their key.
-    of_rep = sets.where(F.col("key").isNotNull()).select("doc_id", "n_shingles", F.explode("signatures").alias("signature"))
-    shared = written(of_rep.groupBy("signature").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"))
-                     .where(F.col("pivot") != F.col("last")).select("signature", "pivot"), "shared-parts")
-    held = of_rep.select("doc_id", "signature").join(shared, "signature")
+    # Parts that more than one document holds; only rows that can be of these are dealt out again.
+    per = signature_rows(docs, words, cuts).groupBy("signature").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"))
+    shared = written(per.where(F.col("pivot") != F.col("last")).select("signature"), "shared-parts")
+    held = signature_rows(docs, words, cuts, bloom(shared, "signature", PART_BITS)).join(shared, "signature")
     only = reps.select(F.col("node").alias("doc_id"))
     held = written(held.join(only, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "signature"), "held-parts")
     # Again without the copies: parts of two representatives at least, the smallest is the pivot.
