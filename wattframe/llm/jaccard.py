@@ -4,8 +4,9 @@ A document is its set of n-word shingles (the tokens). The join
 
 1. collapses documents with equal sets (copies) to one representative,
 2. proposes documents that can be similar: a set is cut into more parts than two similar sets
-   can differ in tokens, so that similar sets share a whole part; parts held by one
-   representative alone are dropped,
+   can differ in tokens, so that similar sets share a whole part, and as many more as the one has
+   parts beyond the difference; parts held by one representative alone are dropped, and so are
+   sets with too few shared parts,
 3. partitions the proposed documents into groups around a shared part, in blocks of bounded
    size, and stores the tokens of each,
 4. builds each block's token-group matrix (the union of its tokens by member), bounds the overlap
@@ -34,6 +35,9 @@ BLOCK_TOKENS = 1 << 18    # tokens of a block, about (one longer document is a b
 QUERY_DOCS = 256          # queries that one task holds against a block, about
 PART_BITS = 27            # of the Bloom filter of shared parts: 16 MB, whatever the input
 CLASS_RATIO = 1.6         # growth of the set sizes that share one way of cutting
+SIGNATURE_BITS = 48       # of a part's hash; parts that meet by chance are told apart by the exact overlap
+RANGE_TOKENS = 1 << 19    # tokens for each range of signatures, about
+FLUSH = 1 << 21           # signatures that a task sorts and reduces at a time
 
 
 def similar(overlap, a, b, num: int, den: int):
@@ -65,8 +69,12 @@ class Cuts:
         least = self.differ(self.hi[k], self.hi[k]) + 1
         return least if least == 1 else least + 2 + least // 16
 
-    def signatures(self, tokens: np.ndarray) -> np.ndarray:
-        """Hashes of the parts of a sorted token set, for every class its partner can be in."""
+    def signatures(self, tokens: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+        """(class, need, hashes of the parts) of a sorted token set, for every class its partner can be in.
+
+        A similar partner in the class agrees in ``need`` of these parts at least: of the filled
+        parts no more than the sets' difference can disagree.
+        """
         n = len(tokens)
         most = n * self.den // self.num
         first, last = (int(np.searchsorted(self.hi_array, x)) for x in (n, most))
@@ -79,11 +87,13 @@ class Cuts:
             part = (high * U(m)) >> U(32)
             edges = np.searchsorted(part, np.arange(m + 1, dtype=U))
             filled = edges[1:] > edges[:-1]
-            which = np.arange(m, dtype=np.int64)
-            if filled.sum() > self.differ(n, min(self.hi[k], most)):
-                which = which[filled]
-            out.append(mix((sums[edges[1:]] - sums[edges[:-1]])[which] ^ mix((which + (k << 32)).astype(U))))
-        return np.concatenate(out)
+            which, need = np.arange(m, dtype=np.int64), 1
+            spare = int(filled.sum()) - self.differ(n, min(self.hi[k], most))
+            if spare > 0:
+                which, need = which[filled], spare
+            hashes = mix((sums[edges[1:]] - sums[edges[:-1]])[which] ^ mix((which + (k << 32)).astype(U)))
+            out.append((k, need, hashes >> U(64 - SIGNATURE_BITS)))
+        return out
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -106,24 +116,82 @@ def set_table(docs: DataFrame, words: int) -> DataFrame:
     return _texts(docs).mapInArrow(scan, "doc_id long, n_shingles long, key string")
 
 
-def signature_rows(docs: DataFrame, words: int, cuts: Cuts, wanted=None) -> DataFrame:
-    """(doc_id, signature) of all parts, or of those that the Bloom filter ``wanted`` lets pass.
+def _shared_signatures(docs: DataFrame, words: int, cuts: Cuts, n_tokens: int) -> DataFrame:
+    """(signature) of the parts that two rows of ``docs`` hold at least.
+
+    Tasks sort and reduce what they read a few million signatures at a time and deal it out packed
+    in SIGNATURE_BITS / 8 bytes each, by ranges of the signature. The number of ranges grows with
+    ``n_tokens``, so that one holds about RANGE_TOKENS of them; a frequent part is one entry per flush.
+    """
+    range_bits = max(6, (n_tokens // RANGE_TOKENS).bit_length())
+    width = SIGNATURE_BITS // 8
+
+    def packed(sig: np.ndarray) -> pa.RecordBatch:
+        value, n = np.unique(sig, return_counts=True)
+        value = np.repeat(value, np.minimum(n, 2))  # twice is all that matters
+        which = (value >> U(SIGNATURE_BITS - range_bits)).astype(np.int64)
+        at = np.flatnonzero(np.diff(which, prepend=-1))
+        ends = (np.append(at, len(value)) * width).astype(np.int32)
+        raw = np.ascontiguousarray(value.view(np.uint8).reshape(-1, 8)[:, :width])
+        blobs = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+        return pa.RecordBatch.from_arrays([pa.array(which[at]), blobs], ["range", "packed"])
 
+    def scan(batches):
+        got, n = [], 0
+        for batch in batches:
+            for _, w in words_of(batch, lower=True):
+                for s in w.shingle_sets(words):
+                    if len(s):
+                        own = [x for _, _, x in cuts.signatures(s)]
+                        got += own
+                        n += sum(map(len, own))
+                        if n >= FLUSH:
+                            yield packed(np.concatenate(got))
+                            got, n = [], 0
+        if n:
+            yield packed(np.concatenate(got))
+
+    def repeated(table: pa.Table) -> pa.Table:
+        raw = np.frombuffer(b"".join(x.as_py() for x in table.column("packed")), dtype=np.uint8).reshape(-1, width)
+        wide = np.zeros((len(raw), 8), dtype=np.uint8)
+        wide[:, :width] = raw
+        value = np.sort(wide.view(U).ravel())
+        again = value[1:][value[1:] == value[:-1]]
+        return pa.table({"signature": pa.array(signed(np.unique(again)))})
+
+    parts = _texts(docs).mapInArrow(scan, "range long, packed binary")
+    return parts.groupBy("range").applyInArrow(repeated, "signature long")
+
+
+def signature_rows(docs: DataFrame, words: int, cuts: Cuts, wanted) -> DataFrame:
+    """(doc_id, class, need, signature) of the parts that the Bloom filter ``wanted`` lets pass.
+
+    Only of rows and classes with as many such parts as a similar partner shares at least.
     Signatures are made again rather than stored: they are as large as the texts.
     """
     def scan(batches):
-        bits = None if wanted is None else np.frombuffer(wanted.value, dtype=np.uint8)
+        bits = np.frombuffer(wanted.value, dtype=np.uint8)
         for batch in batches:
             for part, w in words_of(batch, lower=True):
-                own = [cuts.signatures(s) if len(s) else np.empty(0, U) for s in w.shingle_sets(words)]
-                row = np.repeat(np.arange(len(own)), [len(x) for x in own])
-                sig = np.concatenate(own)
-                if bits is not None:
-                    hit = bloom_has(bits, sig)
-                    row, sig = row[hit], sig[hit]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(signed(sig))], ["doc_id", "signature"])
+                row, kind, need, parts = [], [], [], []
+                for i, s in enumerate(w.shingle_sets(words)):
+                    for k, least, x in cuts.signatures(s) if len(s) else ():
+                        row.append(i)
+                        kind.append(k)
+                        need.append(least)
+                        parts.append(x)
+                if not parts:
+                    continue
+                length, sig = np.array([len(x) for x in parts]), np.concatenate(parts)
+                hit = bloom_has(bits, sig)
+                enough = np.add.reduceat(hit.astype(np.int64), np.cumsum(length) - length) >= need
+                hit &= np.repeat(enough, length)
+                row, kind, need = (np.repeat(np.array(x), length)[hit] for x in (row, kind, need))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(row)), pa.array(kind, pa.int64()), pa.array(need, pa.int64()), pa.array(signed(sig[hit]))],
+                    ["doc_id", "class", "need", "signature"])
 
-    return _texts(docs).mapInArrow(scan, "doc_id long, signature long")
+    return _texts(docs).mapInArrow(scan, "doc_id long, class long, need long, signature long")
 
 
 def token_table(docs: DataFrame, words: int, wanted) -> DataFrame:
@@ -248,15 +316,17 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 4, den: int =
     reps = written(light.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("node")), "representatives")
 
     # Parts that more than one document holds; only rows that can be of these are dealt out again.
-    per = signature_rows(docs, words, cuts).groupBy("signature").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"))
-    shared = written(per.where(F.col("pivot") != F.col("last")).select("signature"), "shared-parts")
+    n_tokens = light.agg(F.sum("n_shingles")).first()[0] or 0
+    shared = written(_shared_signatures(docs, words, cuts, n_tokens), "shared-parts")
     held = signature_rows(docs, words, cuts, bloom(shared, "signature", PART_BITS)).join(shared, "signature")
     only = reps.select(F.col("node").alias("doc_id"))
-    held = written(held.join(only, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "signature"), "held-parts")
+    held = written(held.join(only, "doc_id", "left_semi").withColumnRenamed("doc_id", "node"), "held-parts")
     # Again without the copies: parts of two representatives at least, the smallest is the pivot.
     pivots = written(held.groupBy("signature").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
                      .where(F.col("pivot") != F.col("last")).select("signature", "pivot"), "pivots")
-    held = written(held.join(pivots, "signature").select("node", "signature", "pivot"), "held-parts")
+    held = written(held.join(pivots, "signature"), "held-parts")
+    enough = held.groupBy("node", "class").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need")
+    held = written(held.join(written(enough.select("node", "class"), "enough-parts"), ["node", "class"]).select("node", "signature", "pivot"), "held-parts")
 
     # Groups around a pivot, in blocks of bounded size.
     groups = written(held.groupBy("node").agg(F.min("pivot").alias("grp")), "groups")
