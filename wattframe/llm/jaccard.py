@@ -37,7 +37,7 @@ PART_BITS = 27            # of the Bloom filter of shared parts: 16 MB, whatever
 CLASS_RATIO = 1.6         # growth of the set sizes that share one way of cutting
 SIGNATURE_BITS = 48       # of a part's hash; parts that meet by chance are told apart by the exact overlap
 RANGE_TOKENS = 1 << 19    # tokens for each range of signatures, about
-FLUSH = 1 << 21           # signatures that a task sorts and reduces at a time
+FLUSH = 1 << 19           # signatures that a task sorts and reduces at a time
 
 
 def similar(overlap, a, b, num: int, den: int):
@@ -119,7 +119,7 @@ def set_table(docs: DataFrame, words: int) -> DataFrame:
 def _shared_signatures(docs: DataFrame, words: int, cuts: Cuts, n_tokens: int) -> DataFrame:
     """(signature) of the parts that two rows of ``docs`` hold at least.
 
-    Tasks sort and reduce what they read a few million signatures at a time and deal it out packed
+    Tasks sort and reduce what they read, FLUSH signatures at a time, and deal it out packed
     in SIGNATURE_BITS / 8 bytes each, by ranges of the signature. The number of ranges grows with
     ``n_tokens``, so that one holds about RANGE_TOKENS of them; a frequent part is one entry per flush.
     """

@@ -25,7 +25,7 @@ from wattframe.llm.common import written
 
 SEQUENCE = 2048
 END_ID = 0
-CACHE = 800_000  # words a worker remembers, some 200 MB
+CACHE = 300_000  # words a worker remembers, some 75 MB
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, number long"
 
