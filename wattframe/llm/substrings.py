@@ -132,21 +132,22 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     gone = written(removals(docs, window), "removals")
     touched = bloom(gone, "doc_id", BLOOM_BITS - 2)
 
-    def only(touched_ones):
-        def scan(batches):
-            bits = np.frombuffer(touched.value, dtype=np.uint8)
-            for batch in batches:
-                ids = batch.column(0)
-                hit = bloom_has(bits, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U))
-                hit &= ids.is_valid().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(hit if touched_ones else ~hit))
-        return scan
+    def split(batches, touched_ones):
+        bits = np.frombuffer(touched.value, dtype=np.uint8)
+        for batch in batches:
+            ids = batch.column(0)
+            hit = bloom_has(bits, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U))
+            hit &= ids.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit if touched_ones else ~hit))
+
+    def without_removals(batches):
+        for batch in split(batches, False):
+            yield batch.append_column("places", pa.nulls(batch.num_rows)).append_column("keys", pa.nulls(batch.num_rows))
 
     def apply(batches):
-        for batch in batches:
+        # About a megabyte of text at a time: a batch of Spark's is 10,000 rows, however long.
+        for batch in (part for whole_batch in batches for part, _, _ in chunks(whole_batch)):
             out = []
-            if batch.num_columns == 2:
-                batch = batch.append_column("places", pa.nulls(batch.num_rows)).append_column("keys", pa.nulls(batch.num_rows))
             for doc_id, text, places, keys in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist()):
                 data = (text.as_py() or "").encode()
                 words = data.split()
@@ -176,8 +177,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # Texts of which nothing goes are finished where they are read, the others meet their removals.
     result = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
     texts = "doc_id long, text string"
-    whole = _texts(docs).mapInArrow(only(False), texts).mapInArrow(apply, result)
-    return whole.unionAll(_texts(docs).mapInArrow(only(True), texts).join(gone, "doc_id", "left").mapInArrow(apply, result))
+    whole = _texts(docs).mapInArrow(lambda batches: apply(without_removals(batches)), result)
+    rest = _texts(docs).mapInArrow(lambda batches: split(batches, True), texts)
+    return whole.unionAll(rest.join(gone, "doc_id", "left").mapInArrow(apply, result))
 
 
 def repeat_levels(docs: DataFrame, window: int = WINDOW) -> DataFrame:
