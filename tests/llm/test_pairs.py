@@ -88,6 +88,14 @@ def test_substring_dedup_null_and_repeated_ids(spark):
     assert substrings.without_repeats(df.limit(0)).count() == 0
 
 
+def test_substring_dedup_chunks_of_few_words(spark):
+    long = " ".join(f"w{i}" for i in range(200_000))  # over 1 MB: the texts beside it are chunks of their own
+    for texts in (["a b c"], ["one two", long, "a b c d e"]):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substrings.without_repeats(df).collect()}
+        assert got == H.without_repeats(enumerate(texts))
+
+
 def test_repeat_levels_double_until_none_survives(spark):
     shared = " ".join(f"w{i}" for i in range(60))
     df = spark.createDataFrame([(1, shared + " a"), (2, "b " + shared), (3, " ".join(f"x{i}" for i in range(50)))], "doc_id long, text string")

@@ -35,7 +35,7 @@ def _seeds(w: Words, window: int):
     full, room = w.shingles(window)
     n, reach = len(short), window - half + 1
     least = short.copy()
-    for j in range(1, reach):
+    for j in range(1, min(reach, n)):  # a chunk may have fewer words than a window
         np.minimum(least[:n - j], short[j:], out=least[:n - j])
     return full, room, least
 
