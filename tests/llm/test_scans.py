@@ -55,6 +55,19 @@ def test_sketches_merge_and_contain(spark):
     assert len(set(r.both_sketch) - set(r.merged)) <= 4 and set(r.merged) <= set(r.both_sketch)
 
 
+def test_fingerprints_of_repetitive_texts(spark):
+    texts = ["", *(f"{w} " * 1000 for w in "abcdefgh"), "\n".join(["one line of a few words"] * 300)]
+    got = fp.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    by_id = {r.doc_id: r for r in got}
+    assert len({r.fingerprint for r in got}) == len(texts) and by_id[0].fingerprint == "1:"
+    for d, t in enumerate(texts):
+        nxt = texts[(d + 1) % len(texts)]
+        a, b, e = (set(map(tuple, _shingles(x))) for x in (t, nxt, t[:len(t) - len(t) // 4] + nxt[:len(t) // 4]))
+        assert by_id[d].near_next == 0
+        assert abs(by_id[d].near_edited - (len(a & e) / len(a | e) if a | e else 1)) < 1e-9
+        assert by_id[d].fingerprint.count(",") == max(len(a) - 1, 0)
+
+
 def test_fingerprints_null_and_repeated_ids_empty_table(spark):
     df = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (1, "z z z z z"), (None, "abcdefgh"), (2, None)], "doc_id long, text string")
     out = fp.fingerprints(df).collect()

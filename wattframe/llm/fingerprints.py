@@ -15,23 +15,23 @@ from wattframe.llm.common import WORD_BREAK, written
 
 SHINGLE = 5
 FRACTION = 8      # one hash in FRACTION is retained
-SMALL = 64        # documents with at most so many shingles retain all
+SMALL = 64        # documents with at most so many distinct shingles retain all
 LOWEST = -(1 << 63)
 
 
 def with_sketch(df: DataFrame, text: str, scale: str, sketch: str) -> DataFrame:
     """Adds the fraction (1 in ``scale``) and the sorted distinct hashes of a text column."""
-    words, n = f"{sketch}_words", f"{sketch}_n"
+    words, every = f"{sketch}_words", f"{sketch}_every"
     squeezed = F.btrim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), WORD_BREAK + "+", " "))
     df = df.withColumn(words, F.when(squeezed == "", F.array().cast("array<string>")).otherwise(F.split(squeezed, " ")))
-    df = df.withColumn(n, F.when(F.size(words) >= SHINGLE, F.size(words) - (SHINGLE - 1)).otherwise(F.least(F.size(words), F.lit(1))))
-    df = df.withColumn(scale, F.when(F.col(n) <= SMALL, 1).otherwise(FRACTION))
     w = F.col(words)
     hashes = F.when(F.size(w) >= SHINGLE, F.transform(
         F.sequence(F.lit(0), F.size(w) - SHINGLE), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))) \
         .when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<long>"))
-    kept = F.filter(hashes, lambda h: (F.col(scale) == 1) | _below(h))
-    return df.withColumn(sketch, F.array_sort(F.array_distinct(kept))).drop(words, n)
+    # The number of distinct hashes decides, not the length: a repetitive text has few.
+    df = df.withColumn(every, F.sort_array(F.array_distinct(hashes)))
+    df = df.withColumn(scale, F.when(F.size(every) <= SMALL, 1).otherwise(FRACTION))
+    return df.withColumn(sketch, F.when(F.col(scale) == 1, F.col(every)).otherwise(F.filter(every, _below))).drop(words, every)
 
 
 def _below(h: Column) -> Column:
@@ -44,12 +44,16 @@ def at_scale(scale: Column, sketch: Column, common: Column) -> Column:
 
 
 def likeness(scale_a: Column, a: Column, scale_b: Column, b: Column) -> Column:
-    """Jaccard estimate of two sketches; 1 if both are of texts without words, 0 if nothing is left to compare."""
+    """Jaccard estimate of two sketches; 1 if both are of texts without words, 0 if nothing is left to compare.
+
+    A text has no words if its sketch is empty although all hashes are retained.
+    """
     common = F.greatest(scale_a, scale_b)
     x, y = at_scale(scale_a, a, common), at_scale(scale_b, b, common)
     both = F.size(F.array_intersect(x, y))
     union = F.size(x) + F.size(y) - both
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when(union > 0, both / union).otherwise(F.lit(0.0))
+    wordless = (common == 1) & (F.size(a) == 0) & (F.size(b) == 0)
+    return F.when(wordless, F.lit(1.0)).when(union > 0, both / union).otherwise(F.lit(0.0))
 
 
 def containment(scale_a: Column, a: Column, scale_b: Column, b: Column) -> Column:
