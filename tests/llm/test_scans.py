@@ -1,6 +1,7 @@
 """Fingerprints, licenses, personal data: native operators against plain re-statements."""
 
 import hashlib
+import random
 import re
 
 from wattframe.llm import fingerprints as fp
@@ -68,6 +69,21 @@ def test_fingerprints_of_repetitive_texts(spark):
         assert by_id[d].fingerprint.count(",") == max(len(a) - 1, 0)
 
 
+def test_fingerprints_estimates_of_middle_and_long_texts(spark):
+    rng = random.Random(8)
+    prose = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    texts = []
+    for n in (65, 70, 90, 130, 200, 300, 500, 750, 1000, 5000, 9000):
+        w = prose(n + 4).split()
+        texts += [" ".join(w), " ".join(w[:n // 2] + prose(n // 3).split())]
+    got = {r.doc_id: r for r in fp.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for d, t in enumerate(texts):
+        nxt = texts[(d + 1) % len(texts)]
+        a, b, e = (set(map(tuple, _shingles(x))) for x in (t, nxt, t[:len(t) - len(t) // 4] + nxt[:len(t) // 4]))
+        for told, x in ((got[d].near_edited, e), (got[d].near_next, b)):
+            assert abs(told - len(a & x) / len(a | x)) < (1e-9 if max(len(a), len(x)) <= 1000 else 0.1), (d, len(a))
+
+
 def test_fingerprints_null_and_repeated_ids_empty_table(spark):
     df = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (1, "z z z z z"), (None, "abcdefgh"), (2, None)], "doc_id long, text string")
     out = fp.fingerprints(df).collect()

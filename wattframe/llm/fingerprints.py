@@ -2,8 +2,9 @@
 
 A sketch retains every hash of a five-word shingle below a fixed fraction of the hash range.
 Sketches of parts of a corpus merge by union, and as the fraction is the same for short and long
-documents, containment and Jaccard estimates hold between very unequal ones. Documents of few
-shingles retain all of them; two sketches are compared at the smaller of their fractions.
+documents, containment and Jaccard estimates hold between very unequal ones. Documents of up to
+4,096 distinct shingles retain all of them, so that only longer ones are estimated, from some 500
+hashes or more; two sketches are compared at the smaller of their fractions.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from wattframe.llm.common import WORD_BREAK, written
 
 SHINGLE = 5
 FRACTION = 8      # one hash in FRACTION is retained
-SMALL = 64        # documents with at most so many distinct shingles retain all
+SMALL = 4096      # documents with at most so many distinct shingles retain all
 LOWEST = -(1 << 63)
 
 
@@ -103,29 +104,27 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     # exchanges of the texts would not be recognised as one.)
     t = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     named = t.where(F.col("id").isNotNull())
-    ids = written(named.groupBy("id").agg(F.max(F.length("text")).alias("n_chars")).withColumnRenamed("id", "doc_id"), "ids")
+    ids = written(named.select(F.col("id").alias("doc_id")).distinct(), "ids")
     order = written(neighbours(ids), "neighbours")
-    # What each document gives to the one before it: a beginning of its text, and its own sketch.
-    asked = order.join(ids.select("doc_id", F.floor(F.col("n_chars") / 4).cast("int").alias("need")), "doc_id") \
-        .select(F.col("doc_id").alias("before_id"), F.col("next_id").alias("id"), "need")
-    gives = with_sketch(named.join(written(asked, "asked"), "id"), "text", "next_scale", "next_sketch")
-    gives = gives.select(F.col("before_id").alias("id"), F.sha2(F.encode("text", "UTF-8"), 256).alias("sha"), F.struct(
-        F.expr("left(text, need)").alias("beginning"), "next_scale", "next_sketch").alias("given"))
-    gives = gives.groupBy("id").agg(F.min_by("given", "sha").alias("given")).select("id", "given.*")
+    # What each document gives to the one before it is its text: a sketch of all hashes is larger.
+    asked = order.select(F.col("doc_id").alias("before_id"), F.col("next_id").alias("id"))
+    gives = named.join(asked, "id").select(
+        F.col("before_id").alias("id"), F.sha2(F.encode("text", "UTF-8"), 256).alias("sha"), F.col("text").alias("given"))
+    gives = gives.groupBy("id").agg(F.min_by("given", "sha").alias("given"))
     # Both joins deal the texts out by id: they are shuffled once and the exchange is used again.
-    alone = t.where(F.col("id").isNull()).select(
-        "id", "text", F.lit(None).cast("string").alias("beginning"), F.lit(None).cast("int").alias("next_scale"),
-        F.lit(None).cast("array<long>").alias("next_sketch"))
+    alone = t.where(F.col("id").isNull()).select("id", "text", F.lit(None).cast("string").alias("given"))
     both = named.join(gives, "id", "left").unionByName(alone).withColumn("n_chars", F.length("text").cast("long"))
     quarter = "cast(floor(n_chars / 4) as int)"
     both = both.withColumn("edited", F.expr(
-        f"concat(left(text, cast(n_chars as int) - {quarter}), left(coalesce(beginning, ''), {quarter}))")).drop("beginning")
+        f"concat(left(text, cast(n_chars as int) - {quarter}), left(coalesce(given, ''), {quarter}))"))
     both = both.withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256))
     both = with_sketch(with_sketch(both, "text", "scale", "sketch"), "edited", "edited_scale", "edited_sketch")
+    both = with_sketch(both, "given", "next_scale", "next_sketch")
     c = F.col
     return both.select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
         as_text(c("scale"), c("sketch")).alias("fingerprint"),
         as_text(c("edited_scale"), c("edited_sketch")).alias("edited_fingerprint"),
         likeness(c("scale"), c("sketch"), c("edited_scale"), c("edited_sketch")).alias("near_edited"),
-        F.coalesce(likeness(c("scale"), c("sketch"), c("next_scale"), c("next_sketch")), F.lit(0.0)).alias("near_next"))
+        F.when(c("given").isNull(), F.lit(0.0)).otherwise(
+            likeness(c("scale"), c("sketch"), c("next_scale"), c("next_sketch"))).alias("near_next"))
