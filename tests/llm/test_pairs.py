@@ -125,3 +125,18 @@ def test_exact_dedup_hot_text(spark):
         .withColumnRenamed("id", "doc_id")
     out = exact.exact_dedup(df)
     assert out.where("kept").count() == 2001 and out.where("group_size = 1000").select("keep_id").distinct().collect()[0][0] == 0
+
+
+def test_dedup_stages_keep_one_row_of_repeated_and_null_ids(spark):
+    base = [f"w{i}" for i in range(80)]
+    near = " ".join(base[:79] + ["other"])  # 75 of 77 five-word shingles shared
+    copy, unique, lone = " ".join(base), "a text of its own that nobody else has", "x y z " * 9
+    rows = [(7, copy, "a"), (7, copy, "a"), (7, copy, "b"), (7, unique, "c"), (3, copy, "d"), (None, copy, "e"), (None, near, "f"),
+            (None, lone, "g"), (None, lone, "g"), (9, near, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    exactly = exact.kept_documents(docs)
+    assert exactly.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in exactly.collect()), key=str) == sorted([(3, copy), (7, unique), (9, near), (None, lone)], key=str)
+    nearly = jaccard.near_distinct_documents(docs)
+    assert nearly.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in nearly.collect()), key=str) == sorted([(3, copy), (7, unique), (None, lone)], key=str)

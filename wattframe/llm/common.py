@@ -35,6 +35,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_row(docs: DataFrame, stage) -> DataFrame:
+    """``stage`` (documents that stay, decided by doc_id) applied to rows instead of ids.
+
+    Where ids repeat or are missing, every row gets a key of its own in the order of doc_id (null
+    last) for the time of the stage; other tables go through it as they are.
+    """
+    if not docs.groupBy("doc_id").count().where("doc_id is null or count > 1").head(1):
+        return stage(docs)
+    ordered = docs.orderBy(F.asc_nulls_last("doc_id"), F.xxhash64("text")).withColumn("own_id", F.col("doc_id"))
+    keyed = written(ordered.withColumn("doc_id", F.monotonically_increasing_id()), "keyed-rows")
+    return stage(keyed).withColumn("doc_id", F.col("own_id")).select(*docs.columns)
+
+
 def word_count(text):
     """Column: number of white-space separated words; null counts as empty."""
     t = F.coalesce(text, F.lit(""))

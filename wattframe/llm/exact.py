@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import WORD_BREAK, written
+from wattframe.llm.common import WORD_BREAK, by_row, written
 from wattframe.session import scratch_dir
 
 INDEX_COLUMNS = "digest string, keep_id long, n_chars long"
@@ -88,6 +88,10 @@ def exact_dedup(docs: DataFrame, table: str | None = None) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that exact dedup keeps, all columns. Rows without a doc_id stay."""
+    """One row of ``docs`` for each digest, all columns; ids may repeat or be null."""
+    return by_row(docs, _kept)
+
+
+def _kept(docs: DataFrame) -> DataFrame:
     gone = exact_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"))
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

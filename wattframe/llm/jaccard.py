@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import bloom, bloom_has, written
+from wattframe.llm.common import bloom, bloom_has, by_row, written
 from wattframe.llm.components import components
 from wattframe.llm.textops import mix, signed, words_of
 
@@ -393,8 +393,13 @@ def _labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def near_distinct_documents(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component does, all columns.
 
-    The smallest doc_id of the component stays; rows without a doc_id stay.
+    The smallest doc_id of the component stays, a null one only if there is no other; of rows
+    that repeat it one stays.
     """
+    return by_row(docs, lambda rows: _near_distinct(rows, words, num, den))
+
+
+def _near_distinct(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     found = jaccard_components(docs, words, num, den)
     gone = written(found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("gone_id")).distinct(), "near-copies")
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
