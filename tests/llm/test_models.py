@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +112,40 @@ def test_lm_probabilities_sum_to_one_and_training_helps():
     assert math.isclose(total, 1.0, rel_tol=1e-4)
 
 
+def test_lm_scores_equal_a_direct_sum(spark):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.2, 60) % 4000) for _ in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.lm_scored(docs).collect()}
+    tokens = {}
+    for d, t in enumerate(texts):
+        (_, w), = lm.words_of(pa.RecordBatch.from_pydict({"text": [t]}), lower=True)
+        tokens[d] = lm.token_hashes(w)[0]
+    counts = Counter()
+    for d, t in tokens.items():
+        if not got[d].held_out:
+            counts.update(t.tolist())
+    hashes = np.array(sorted(counts), dtype=np.uint64)
+    c, n, v = np.array([counts[int(h)] for h in hashes]), sum(counts.values()), len(counts)
+    model = lm.train(docs.where(~lm.held_out(F.col("doc_id"))), lm.MaxEnt.of_counts(hashes, c, n))
+    own = dict(zip(model.vocabulary.tolist(), model.place.tolist()))
+    rest = n - sum(counts[h] for h in own) + 0.1 * (v - len(own) + 1)
+    assert 0 < len(own) < v
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    for d, t in tokens.items():
+        features, prev = lm.context_features(t, np.arange(len(t)))
+        total = 0.0
+        for i, h in enumerate(t.tolist()):
+            p = softmax(model.class_bias.astype(float) + sum(model.classes[f[i] + k * lm.BUCKETS] for k, f in enumerate(features)))
+            if h in own:
+                g, at = divmod(own[h], lm.WIDTH)
+                x = np.where(model.used[g], model.word_bias[g] + model.words[prev[i] * lm.CLASSES + g], -1e9)
+                total += math.log10(p[g + 1] * softmax(x.astype(float))[at])
+            else:
+                total += math.log10(p[0] * (counts[h] + 0.1) / rest)
+        assert math.isclose(got[d].score, total, rel_tol=1e-4), d
+
+
 def test_plan_uses_every_piece_once_near_the_bound():
     rng = np.random.default_rng(4)
     for lengths in (rng.integers(1, 2049, 4000), np.full(500, 1025), rng.integers(1, 30, 3000), np.array([2047, 1, 1024, 1024, 700, 700, 648])):
