@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattframe.llm import exact, fingerprints, jaccard, licenses, lm, mixing, packing, pii, quality, substrings
+from wattframe.llm import (exact, fingerprints, jaccard, licenses, lm, merkle, mixing, packing, pii, prefix_counts, quality, search,
+                           substrings)
 from wattframe.llm.common import documents
 
 
@@ -48,6 +49,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), top=50)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return prefix_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_fingerprints": op2_fingerprints,
@@ -59,6 +74,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_packing": op10_packing,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_token_counts": op12_token_counts,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 SQL = {
@@ -107,4 +125,62 @@ SELECT doc_id, size, source_size, target,
                              WHEN upto <= rest THEN 1
                              WHEN upto - size > rest THEN 0
                              WHEN upto - rest < rest - (upto - size) THEN 1 ELSE 0 END) AS taken FROM run""",
+    "op11_ranked_search": """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) GROUP BY doc_id, t),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+m AS (SELECT doc_id, 100 - 50 + (CAST(50 * len(w) AS BIGINT) * n) // total AS m FROM d, s WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark),
+wt AS (SELECT t, CAST(floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM df, s),
+p AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM q JOIN wt USING (t) JOIN tf USING (t) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM p WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50""",
+    "op13_merkle_manifest": """
+WITH RECURSIVE f AS (
+  SELECT doc_id, n_chars, coalesce('+' || lang, '') AS tree,
+         CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+         || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+         || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS head,
+         CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, 8 * length(CAST(doc_id AS VARCHAR))),
+             lambda i: CASE WHEN i % 8 = 0 THEN ascii(CAST(doc_id AS VARCHAR)[i // 8 + 1])::BIGINT ELSE 0::BIGINT END)),
+             lambda c, x: xor(xor(c, x) >> 1, (xor(c, x) & 1) * 3988292384::BIGINT)), 4294967295::BIGINT) AS crc FROM documents),
+leaf AS (
+  SELECT doc_id, tree, node, changed, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, node) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n
+  FROM (SELECT doc_id, tree, sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END || tail) AS node,
+               CASE WHEN crc % 7 = 0 AND n_chars IS NOT NULL
+                    THEN sha256(head || strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1) || tail) END AS changed FROM f)),
+up AS (
+  SELECT tree, 0 AS level, pos, node, n FROM leaf
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2 FROM up WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+sub AS (SELECT tree, node, level AS height, row_number() OVER (ORDER BY encode(tree)) - 1 AS place, count(*) OVER () AS trees FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS level, place AS pos, node, trees AS n FROM sub
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2 FROM top WHERE n > 1 GROUP BY level, pos // 2, n),
+root AS (SELECT node, level AS height FROM top WHERE n = 1),
+steps AS (
+  SELECT l.doc_id, s.level AS step, (l.pos >> s.level) % 2 AS side, u.node
+  FROM leaf l JOIN sub t ON t.tree = l.tree, LATERAL (SELECT unnest(range(0, t.height)) AS level) s
+  LEFT JOIN up u ON u.tree = l.tree AND u.level = s.level AND u.pos = xor(l.pos >> s.level, 1)
+  UNION ALL
+  SELECT l.doc_id, t.height + s.level, (t.place >> s.level) % 2, u.node
+  FROM leaf l JOIN sub t ON t.tree = l.tree, LATERAL (SELECT unnest(range(0, (SELECT height FROM root))) AS level) s
+  LEFT JOIN top u ON u.level = s.level AND u.pos = xor(t.place >> s.level, 1)),
+proof AS (SELECT doc_id, coalesce(string_agg(node, '' ORDER BY step), '') AS nodes, max(step) AS last FROM steps GROUP BY doc_id),
+fold AS (
+  SELECT doc_id, 0::BIGINT AS step, coalesce(changed, node) AS node FROM leaf
+  UNION ALL
+  SELECT a.doc_id, a.step + 1, sha256(CASE WHEN s.node IS NULL THEN a.node WHEN s.side = 1 THEN s.node || a.node ELSE a.node || s.node END)
+  FROM fold a JOIN steps s ON s.doc_id = a.doc_id AND s.step = a.step)
+SELECT l.doc_id, l.node AS leaf, t.node AS subroot, r.node AS root, sha256(coalesce(p.nodes, '')) AS proof_sha256,
+       e.node AS folded_root, e.node = r.node AS verified
+FROM leaf l JOIN sub t ON t.tree = l.tree CROSS JOIN root r LEFT JOIN proof p ON p.doc_id = l.doc_id
+JOIN fold e ON e.doc_id = l.doc_id AND e.step = coalesce(p.last + 1, 0)""",
 }
