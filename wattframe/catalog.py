@@ -15,20 +15,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattframe import fixtures as fx
-from wattframe.constants import FUEL_MAPPING_ROWS, MERGE_CUTOFF, MERGE_OVERLAP_DAYS, REPORT_RANGE
+from wattframe.constants import FUEL_MAPPING_ROWS, MERGE_CUTOFF, MERGE_OVERLAP_DAYS, REPORT_RANGE, REPORT_RANGES
 from wattframe.functions.geo import haversine_km
 from wattframe.functions.text import rename_snake_case
 from wattframe.functions.time import parse_timestamp, settlement_day
 from wattframe.operators import clean
 from wattframe.operators.dims import capacity_as_of, capacity_latest, unit_dim
 from wattframe.operators.nearest import nearest_region
+from wattframe.plans import cumulative as C
 from wattframe.plans import incremental as inc
+from wattframe.plans import rankings as R
 from wattframe.plans import sql as S
 from wattframe.plans import views as V
 from wattframe.schemas import CAPACITY_FEED, FUEL_MAPPING, GENERATION_COLUMNS, GENERATION_FEED, PARTITION_COLUMN, UNIT_INFO_FEED
 from wattframe.session import scratch_dir
-from wattframe.sources.files import read_csv, read_feed_json
+from wattframe.sources.files import read_csv, read_feed_json, stored_days
 from wattframe.sources.inline import inline_table
+from wattframe.sources.ledger import loaded_days
 from wattframe.sources.sinks import write_csv, write_days, write_json_lines, write_table
 from wattframe.streaming import start_generation_ingest
 
@@ -117,12 +120,15 @@ def _sql_query(statement, *sums):
 
 
 def _view360_sql(spark, sf):
-    """The statement over external tables: Parquet locations of the facts and the unit profile."""
+    """The statement over catalog tables: external locations of the facts, by day, and of the unit profile."""
     paths = {n: scratch_dir(spark, f"sql-{n}") for n in ("generation", "unit_profile")}
-    write_table(fx.generation(spark, sf), paths["generation"])
+    facts = fx.generation(spark, sf)
+    write_days(facts, paths["generation"])
     write_table(unit_dim(fx.unit_dims(spark, sf)), paths["unit_profile"])
-    S.register_parquet_views(spark, paths, prefix="wp_")
-    return spark.sql(S.generation_360_view_sql("wp_"))
+    S.create_day_table(spark, "wt_generation", paths["generation"], facts.schema, replace=True)
+    S.register_days(spark, "wt_generation", stored_days(spark, paths["generation"], PARTITION_COLUMN))
+    S.create_table(spark, "wt_unit_profile", paths["unit_profile"])
+    return spark.sql(S.generation_360_view_sql("wt_"))
 
 
 # --- cleaning and parsing -------------------------------------------------------------
@@ -141,9 +147,8 @@ def _stream_ingest(spark, sf):
     """Two available-now runs of one stream into a table: the facts, then corrections of old days."""
     landing, table, ckpt = (scratch_dir(spark, n) for n in ("stream-landing", "stream-table", "stream-ckpt"))
     loads = _loads(spark, sf)
-    for load in (1, 2):
-        landed = inc.dedup_generation(loads.where(F.col("load_id") == load))
-        fx.as_feed(landed).write.mode("append").json(landing)
+    for load in (1, 2):  # one landed file each; it may hold a key several times
+        fx.as_feed(loads.where(F.col("load_id") == load)).coalesce(1).write.mode("append").json(landing)
         start_generation_ingest(spark, landing, table, ckpt).awaitTermination()
     return spark.read.parquet(table).select(*GENERATION_COLUMNS)
 
@@ -252,10 +257,10 @@ def _ingest_window(spark, sf):
 
 
 def _stored_days(spark, sf):
-    """The gapped facts as a day-partitioned table; the days come from its file listing."""
+    """The days of the gapped facts, merged into a table, from the table's ledger."""
     path = scratch_dir(spark, "stored-days")
-    write_days(fx.gapped_generation(spark, sf), path)
-    return inc.settlement_dates_in_files(spark, path)
+    inc.merge_days(fx.gapped_generation(spark, sf), path)
+    return loaded_days(spark, path).select(PARTITION_COLUMN)
 
 
 def _high_water_mark(spark, sf):
@@ -271,6 +276,10 @@ def _missing_dates(spark, sf):
     return inc.missing_settlement_dates(fx.gapped_generation(spark, sf))
 
 
+def _missing_in_ledger(spark, sf):
+    return inc.missing_settlement_dates(_stored_days(spark, sf))
+
+
 def _loads(spark, sf):
     g = fx.generation(spark, sf)
     first = g.withColumn("load_id", F.lit(1))
@@ -305,6 +314,22 @@ def _incremental_merge(spark, sf):
     return spark.read.parquet(path).select(*GENERATION_COLUMNS)
 
 
+def _keyless(df):
+    """Some of the rows without a unit or a period, as the feed has them when a field is missing."""
+    no_unit, no_period = F.col("settlement_period") == 7, F.col("settlement_period") == 11
+    return df.withColumn("bm_unit", F.when(~no_unit, F.col("bm_unit"))).withColumn(
+        "settlement_period", F.when(~no_period, F.col("settlement_period")))
+
+
+def _incremental_merge_keyless(spark, sf):
+    """Both loads with rows that lack a part of the key, the second one merged twice."""
+    path = scratch_dir(spark, "generation-table")
+    initial, batch = _split_loads(spark, sf)
+    for load in (initial, batch, batch):
+        inc.merge_days(_keyless(load), path, order=("quantity",))
+    return spark.read.parquet(path).select(*GENERATION_COLUMNS)
+
+
 def _partitioned_roundtrip(spark, sf):
     path = scratch_dir(spark, "generation-partitioned")
     write_days(fx.generation(spark, sf), path)
@@ -319,6 +344,29 @@ def _incremental_daily_refresh(spark, sf):
     return _rounded(spark.read.parquet(daily).select("bm_unit", "settlement_date", "daily_generation_mwh"), "daily_generation_mwh")
 
 
+def _county_top_incremental(spark, sf):
+    """The ranking after two loads, the second with corrections of stored days, kept by differences."""
+    table, state, dims = scratch_dir(spark, "generation-table"), scratch_dir(spark, "ranking-state"), fx.unit_dims(spark, sf)
+    for load in _split_loads(spark, sf):
+        R.refresh(spark, state, table, dims, inc.merge_days(load, table, order=("quantity",)))
+    return _rounded(R.ranking(spark, state), "total_daily_generation_mwh")
+
+
+def _county_top_by_ranges(spark, sf):
+    """The ranking of several ranges of days from running totals, which were built for the first days and then extended."""
+    path, dims = scratch_dir(spark, "running-totals"), fx.unit_dims(spark, sf)
+    daily = V.daily_generation_by_unit(fx.generation(spark, sf))
+    cutoff = F.lit(MERGE_CUTOFF).cast("timestamp_ntz")
+    C.build(daily.where(F.col("settlement_date") < cutoff), dims, path)
+    C.refresh(daily, dims, path, [MERGE_CUTOFF])
+    out = None
+    for first, last in REPORT_RANGES:
+        top = C.county_top_source(spark, path, first, last).select(
+            F.lit(first).alias("first_day"), F.lit(last).alias("last_day"), "county", "source_category", "total_daily_generation_mwh")
+        out = top if out is None else out.unionByName(top)
+    return _rounded(out, "total_daily_generation_mwh")
+
+
 QUERIES: dict[str, Query] = {
     # aggregate / rank
     "daily_generation_by_unit": _daily,
@@ -326,6 +374,8 @@ QUERIES: dict[str, Query] = {
     "county_source_as_written": _county_as_written,
     "county_top_source": _county_top,
     "county_top_source_in_range": _county_top_in_range,
+    "county_top_source_incremental": _county_top_incremental,
+    "county_top_source_by_ranges": _county_top_by_ranges,
     "total_by_fuel_county": _fuel_county,
     "total_by_fuel_county_rollup": _fuel_county_rollup,
     "avg_by_settlement_period": _avg_period,
@@ -368,7 +418,9 @@ QUERIES: dict[str, Query] = {
     "settlement_dates_present": _dates_present,
     "missing_settlement_dates": _missing_dates,
     "dedup_generation": _dedup_generation,
+    "missing_settlement_dates_from_ledger": _missing_in_ledger,
     "incremental_merge": _incremental_merge,
+    "incremental_merge_keyless": _incremental_merge_keyless,
     "partitioned_roundtrip": _partitioned_roundtrip,
     "incremental_daily_refresh": _incremental_daily_refresh,
 }

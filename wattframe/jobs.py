@@ -11,7 +11,7 @@ Each job is a function (usable from any driver program) and a sub-command
 Table directory layout (Parquet): ``generation`` (partitioned by settlement
 day), ``capacity`` (partitioned by publish day), ``plant_id``,
 ``plant_location``, ``unit_info``, ``fuel_mapping``, ``overlay``; ``daily_generation`` (refreshed
-for the touched days), ``missing_days`` (the gap report) and ``quarantine`` (records that could not
+for the touched days), ``generation__ledger`` (days, rows and times of the loads), ``missing_days`` (the gap report) and ``quarantine`` (records that could not
 be used). Ingest jobs merge by key: a re-run, a partial day or a late row neither duplicates nor
 loses data.
 """
@@ -35,6 +35,7 @@ from wattframe.plans.ingest import CAPACITY_PARTITION, merge_capacity, merge_gen
 from wattframe.schemas import PARTITION_COLUMN
 from wattframe.session import build_session
 from wattframe.sources.files import read_csv, read_csv_columns, read_feed_json, table_exists
+from wattframe.sources.ledger import loaded_days
 from wattframe.sources.sinks import write_days, write_table
 
 # Reference file names expected in the ``--files`` folder of build-reference.
@@ -73,7 +74,7 @@ def ingest_generation(spark: SparkSession, landing: str, tables: str, multiline:
     days = merge_generation(raw, table, f"{tables}/quarantine")
     inc.refresh_daily(f"{tables}/daily_generation", table, spark, days)
     if days:
-        write_table(inc.missing_settlement_dates(inc.settlement_dates_in_files(spark, table)), f"{tables}/missing_days")
+        write_table(inc.missing_settlement_dates(loaded_days(spark, table)), f"{tables}/missing_days")
     return days
 
 
@@ -152,7 +153,7 @@ def build_reports(spark: SparkSession, tables: str, out: str, first: str | None
     """
     days = (first, last) if first or last else None
     name = f"_{first or 'start'}_{last or 'end'}" if days else ""
-    generation = spark.read.parquet(f"{tables}/generation")
+    generation = spark.read.parquet(f"{tables}/generation").select(*schemas.GENERATION_COLUMNS)
     dims = load_dims(spark, tables)
     V.write_generation_360_view(generation, dims, f"{out}/generation_capacity_360_view", days)
     daily = V.daily_generation_by_unit(generation, days).withColumn(PARTITION_COLUMN, F.to_date("settlement_date"))

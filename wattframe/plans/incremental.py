@@ -22,7 +22,8 @@ from wattframe.operators.dedup import keep_last
 from wattframe.plans.views import daily_generation_by_unit
 from wattframe.schemas import GENERATION_KEY, PARTITION_COLUMN
 from wattframe.sources import sinks
-from wattframe.sources.files import table_exists, table_files
+from wattframe.sources.files import read_days, table_files
+from wattframe.sources.ledger import loaded_days
 
 DateLike = dt.date | str | Column
 
@@ -87,18 +88,18 @@ def ingest_window_report(generation: DataFrame, today: DateLike | None = None,
 
 def high_water_mark(table: DataFrame, partition_col: str = PARTITION_COLUMN) -> Column:
     """Last day present, as a scalar subquery. For a stored table pass its
-    :func:`settlement_dates_in_files`, which opens no data file."""
+    :func:`wattframe.sources.ledger.loaded_days`, which reads no data."""
     return table.agg(F.max(partition_col)).scalar()
 
 
 def generation_window(spark, table_path: str, today: DateLike) -> tuple[str, str]:
     """First and last settlement day that a run on ``today`` asks for: the initial window if
     nothing is stored, else the batch day, or from the day after the last one stored if runs were
-    missed. Days come from the file listing."""
-    present = settlement_dates_in_files(spark, table_path) if table_exists(spark, table_path) else None
+    missed. Days come from the table's ledger."""
+    present = loaded_days(spark, table_path)
     w = ingest_windows(today)
     one = spark.range(1)
-    if present is None:
+    if not present.head(1):
         row = one.select(w["initial_from"].alias("a"), w["initial_to"].alias("b")).first()
     else:
         row = catch_up(present, w["batch_day"]).select(F.col("request_from").alias("a"), F.col("scheduled_from").alias("b")).first()
@@ -149,15 +150,17 @@ def dedup_generation(loads: DataFrame, order: tuple[str, ...] = ("load_id", "qua
                      drop: tuple[str, ...] = ("load_id",)) -> DataFrame:
     """One row per (bm_unit, settlement_date, settlement_period): the latest load
     wins (``order`` columns descending; the rest break exact ties).
-    Bookkeeping columns in ``drop`` are removed from the result."""
-    picked = keep_last(loads, list(GENERATION_KEY), list(order))
-    return picked.drop(*drop)
+    Bookkeeping columns in ``drop`` are removed from the result. Rows without a full key are
+    no versions of each other: of them only whole copies are removed."""
+    key = list(GENERATION_KEY)
+    keyed = F.col(key[0]).isNotNull() & F.col(key[1]).isNotNull() & F.col(key[2]).isNotNull()
+    return keep_last(loads.where(keyed), key, list(order)).drop(*drop).unionByName(loads.where(~keyed).drop(*drop).distinct())
 
 
 def merge_days(batch: DataFrame, table_path: str, order: tuple[str, ...] = (), drop: tuple[str, ...] = ()) -> list:
     """Merge generation rows into the day-partitioned table by (unit, date, period): rows of a
-    touched day that the batch does not hold stay, re-published ones are replaced
-    (:func:`wattframe.sources.sinks.merge_days`). Returns the touched days."""
+    touched day that the batch does not hold stay, re-published ones are replaced, rows without a
+    full key are kept as they are (:func:`wattframe.sources.sinks.merge_days`). Returns the touched days."""
     return sinks.merge_days(batch, table_path, list(GENERATION_KEY), order, drop)
 
 
@@ -165,6 +168,6 @@ def refresh_daily(daily_path: str, table_path: str, spark, days: list) -> None:
     """Recompute the daily totals of the touched ``days`` from the stored facts and overwrite only them."""
     if not days:
         return
-    facts = spark.read.parquet(table_path).where(F.col(PARTITION_COLUMN).isin(days))
+    facts = read_days(spark, table_path, sorted(str(d) for d in days if d is not None))
     daily = daily_generation_by_unit(facts).withColumn(PARTITION_COLUMN, F.to_date("settlement_date"))
     sinks.write_days(daily, daily_path)

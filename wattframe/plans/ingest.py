@@ -9,19 +9,27 @@ from wattframe import schemas
 from wattframe.operators import clean
 from wattframe.operators.broadcast import materialised
 from wattframe.schemas import GENERATION_KEY, PARTITION_COLUMN
-from wattframe.sources.files import CORRUPT
+from wattframe.sources.files import CORRUPT, table_exists
 from wattframe.sources.sinks import append_table, merge_days
 
 CAPACITY_PARTITION = "publish_date"
+#: When a record's file landed; stored with the facts, not part of the domain table.
+LANDED_AT = "landed_at"
 
 
 def _set_aside(raw: DataFrame, reason: Column, feed_cols: list[str], path: str | None) -> None:
-    """Append the records that have a ``reason`` to the quarantine table."""
-    if path:
-        text = F.to_json(F.struct(*feed_cols))
-        corrupt = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
-        append_table(raw.where(reason.isNotNull()).select(
-            reason.alias("reason"), F.coalesce(corrupt, text).alias("record")), path)
+    """Add the records that have a ``reason`` to the quarantine table, each once: a batch that is
+    run again adds nothing."""
+    if not path:
+        return
+    text = F.to_json(F.struct(*feed_cols))
+    corrupt = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
+    found = raw.where(reason.isNotNull()).select(reason.alias("reason"), F.coalesce(corrupt, text).alias("record")).distinct()
+    if table_exists(raw.sparkSession, path):
+        known = raw.sparkSession.read.schema(found.schema).parquet(path).select(F.col("reason").alias("r"), F.col("record").alias("t"))
+        found = found.join(known, F.col("reason").eqNullSafe(F.col("r")) & F.col("record").eqNullSafe(F.col("t")), "left_anti")
+        found, _ = materialised(found, "set-aside")  # the table is not read while it is added to
+    append_table(found, path)
 
 
 def _unreadable(raw: DataFrame) -> Column:
@@ -34,8 +42,9 @@ def _unreadable(raw: DataFrame) -> Column:
 def merge_generation(raw: DataFrame, table_path: str, quarantine_path: str | None = None) -> list:
     """Merge raw generation records into the day-partitioned table; returns the touched days.
 
-    The last landed record of a (unit, day, period) wins (by ``landed_at`` if the records carry
-    it). Unreadable records and records without a readable settlement date go to the quarantine
+    The last landed record of a (unit, day, period) wins. ``landed_at``, if the records carry it, is
+    stored with them, so that an older file that arrives later replaces nothing; records without a unit or period
+    are kept beside the others. Unreadable records and records without a readable settlement date go to the quarantine
     table; a ``null`` response body (every field NULL) is nothing and is dropped.
     """
     cols = schemas.GENERATION_FEED.names
@@ -45,9 +54,10 @@ def merge_generation(raw: DataFrame, table_path: str, quarantine_path: str | Non
     reason = F.when(unreadable, F.lit("unreadable record")).when(~empty & day.isNull(), F.lit("no settlement date"))
     raw, _ = materialised(raw, "landed")  # the feed is parsed once, and a micro-batch is read twice
     _set_aside(raw, reason, cols, quarantine_path)
-    order = ("landed_at",) if "landed_at" in raw.columns else ()
-    facts = clean.clean_generation(raw.where(~unreadable), keep=order).where(F.col(PARTITION_COLUMN).isNotNull())
-    return merge_days(facts, table_path, list(GENERATION_KEY), order, drop=order)
+    if LANDED_AT not in raw.columns:
+        raw = raw.withColumn(LANDED_AT, F.lit(None).cast("timestamp"))
+    facts = clean.clean_generation(raw.where(~unreadable), keep=(LANDED_AT,)).where(F.col(PARTITION_COLUMN).isNotNull())
+    return merge_days(facts, table_path, list(GENERATION_KEY), version=LANDED_AT)
 
 
 def merge_capacity(raw: DataFrame, table_path: str, quarantine_path: str | None = None) -> list:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,9 +78,40 @@ def table_files(spark: SparkSession, path: str) -> DataFrame:
             .load(path).select("path", "length"))
 
 
+def _children(spark: SparkSession, path: str) -> list[str] | None:
+    """Names directly below ``path`` (one listing of that folder), None if it does not exist."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else None
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a dataset has been written at ``path``."""
-    try:
-        return bool(table_files(spark, path).head(1))
-    except AnalysisException:
-        return False
+    """Whether a dataset has been written at ``path``; only that folder itself is listed."""
+    return any(not n.startswith(("_", ".")) for n in _children(spark, path) or [])
+
+
+def stored_days(spark: SparkSession, path: str, partition_col: str) -> set[str]:
+    """Values of ``partition_col`` that have a folder, from one listing of the table's own folder."""
+    head = f"{partition_col}="
+    return {n[len(head):] for n in _children(spark, path) or [] if n.startswith(head)}
+
+
+#: Folder name of a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def read_days(spark: SparkSession, path: str, days: list[str], schema: T.StructType | None = None,
+              partition_col: str = "settlement_date_partition") -> DataFrame:
+    """The rows of some stored days, from their folders alone: no other day is listed.
+
+    ``schema`` adds the columns that older files may lack (they read as NULL).
+    """
+    folders = [f"{path.rstrip('/')}/{partition_col}={d}" for d in days]
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        first = reader.parquet(folders[-1]).schema
+        known = set(schema.names)
+        schema = T.StructType([*schema.fields, *[f for f in first.fields if f.name not in known]])
+        reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*folders)

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wattframe.operators.broadcast import materialised
 from wattframe.operators.dedup import keep_last
 from wattframe.schemas import PARTITION_COLUMN
-from wattframe.sources.files import table_exists
+from wattframe.session import scratch_dir
+from wattframe.sources import ledger
+from wattframe.sources.files import NULL_PARTITION, read_days, stored_days
 
 
 def write_days(
@@ -45,29 +47,48 @@ def write_days(
         conf.set(setting, before)
 
 
-def merge_days(batch: DataFrame, path: str, key: list[str], order: tuple[str, ...] = (),
-               drop: tuple[str, ...] = (), partition_col: str = PARTITION_COLUMN) -> list:
+def merge_days(batch: DataFrame, path: str, key: list[str], order: tuple[str, ...] = (), drop: tuple[str, ...] = (),
+               partition_col: str = PARTITION_COLUMN, version: str | None = None) -> list:
     """Merge ``batch`` into the day-partitioned table at ``path`` by ``key``; returns the touched days.
 
-    Rows of a touched day that the batch does not hold stay. A key in both takes the batch's row;
-    within the batch the largest ``order`` columns win, then the other columns break ties.
-    ``drop`` names bookkeeping columns that are not stored. The stored side is pruned to the touched
-    days. The merged days are written to the shared folder before they
-    replace the stored ones, so a failed run can be repeated. Running a batch twice changes nothing.
+    Rows of a touched day that the batch does not hold stay. Of the rows with one key the largest
+    ``version`` wins, stored or new (a column that is stored, such as the time of landing; NULL is
+    oldest); without it, or with equal ones, the batch's row replaces the stored one. Within the batch the largest
+    ``order`` columns come next, then the other columns break ties. ``drop`` names bookkeeping columns
+    that are not stored. A row with NULL in a key column has no key: it is kept beside the others, and
+    only a row equal to it in every column but ``version`` is the same row.
+
+    Only the folders of the touched days are read. The merged days are written to the shared
+    folder before they replace the stored ones, so a failed run can be repeated, and their
+    numbers of rows are appended to the table's ledger. Running a batch twice changes nothing.
+    ``batch`` is evaluated twice: write it first if that is dear.
     """
     spark = batch.sparkSession
-    stored_cols = [c for c in batch.columns if c not in drop]
-    batch, _ = materialised(batch, "batch")
     days = [r[0] for r in batch.select(partition_col).distinct().collect()]  # one value per calendar day
     if not days:
         return []
+    stored = T.StructType([f for f in batch.schema.fields if f.name not in drop])
     rows = batch.withColumn("_load", F.lit(1))
-    if table_exists(spark, path):
-        old = spark.read.parquet(path).where(F.col(partition_col).isin(days)).withColumn("_load", F.lit(0))
+    folders = sorted({NULL_PARTITION if d is None else str(d) for d in days} & stored_days(spark, path, partition_col))
+    if folders:
+        old = read_days(spark, path, folders, stored, partition_col).withColumn("_load", F.lit(0))
         rows = rows.unionByName(old, allowMissingColumns=True)
-    merged = keep_last(rows, key, ["_load", *order]).select(*stored_cols)
-    merged, _ = materialised(merged, "merged-days")
+    columns = [c for c in rows.columns if c not in drop and c != "_load"]
+    newest = [version] if version else []
+    whole = [c for c in columns if c != version]
+    keyed, others = rows, rows.where("false")
+    if set(whole) != set(key):  # else the whole row is the key, NULLs included
+        has_key = F.lit(True)
+        for c in key:
+            has_key = has_key & F.col(c).isNotNull()
+        keyed, others = rows.where(has_key), rows.where(~has_key)
+    merged = keep_last(keyed, key, [*newest, "_load", *order]).select(*columns).unionByName(
+        keep_last(others.select(*columns), whole, newest) if version else others.select(*columns).distinct())
+    stage = scratch_dir(spark, "merged-days")
+    merged.write.parquet(stage)
+    merged = spark.read.schema(merged.schema).parquet(stage)
     write_days(merged, path, partition_col=partition_col)
+    ledger.record(path, merged.groupBy(F.col(partition_col).alias("day")).agg(F.count("*").alias("n_rows")))
     return days
 
 

@@ -3,7 +3,8 @@
 Each landed file is processed once (the checkpoint records it). Every micro-batch goes through
 the same keyed merge as the batch job: a late row of an old day is added to that day, a
 correction replaces the row it corrects, and a repeated micro-batch changes nothing. There is no
-watermark, so no row is too late.
+watermark, so no row is too late; files are taken however old they are (the source would skip those
+a week older than the newest one), and an older file that arrives later replaces nothing.
 """
 
 from __future__ import annotations
@@ -18,10 +19,15 @@ from wattframe.schemas import GENERATION_FEED
 from wattframe.sources.files import CORRUPT
 
 
+#: How much older than the newest landed file a file may be.
+MAX_FILE_AGE = "36500d"
+
+
 def generation_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Raw generation records of landed JSON-lines files, unreadable ones included."""
     schema = T.StructType([*GENERATION_FEED.fields, T.StructField(CORRUPT, T.StringType())])
     reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    reader = reader.option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(landing_dir).withColumn("landed_at", F.col("_metadata.file_modification_time"))
