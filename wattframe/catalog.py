@@ -31,6 +31,7 @@ from wattframe.schemas import CAPACITY_FEED, FUEL_MAPPING, GENERATION_COLUMNS, G
 from wattframe.session import scratch_dir
 from wattframe.sources.files import read_csv, read_feed_json, stored_days
 from wattframe.sources.inline import inline_table
+from wattframe.sources.json_arrays import read_json_array
 from wattframe.sources.ledger import loaded_days
 from wattframe.sources.sinks import write_csv, write_days, write_json_lines, write_table
 from wattframe.streaming import start_generation_ingest
@@ -143,6 +144,16 @@ def _json_roundtrip(spark, sf):
     return clean.clean_generation(read_feed_json(spark, path, GENERATION_FEED))
 
 
+def _json_array(spark, sf):
+    """The feed landed as a single file: one line that holds one JSON array."""
+    path = scratch_dir(spark, "landing-array")
+    records = fx.generation_feed(spark, sf).select(F.concat(F.lit(","), F.to_json(F.struct("*"))).alias("value"))
+    part = lambda text: spark.range(1).select(F.lit(text).alias("value"))
+    whole = part("[{}").unionAll(records).unionAll(part("]"))
+    whole.coalesce(1).write.option("lineSep", " ").text(path)
+    return clean.clean_generation(read_json_array(spark, path, GENERATION_FEED))
+
+
 def _stream_ingest(spark, sf):
     """Two available-now runs of one stream into a table: the facts, then corrections of old days."""
     landing, table, ckpt = (scratch_dir(spark, n) for n in ("stream-landing", "stream-table", "stream-ckpt"))
@@ -395,6 +406,7 @@ QUERIES: dict[str, Query] = {
     # clean / parse
     "clean_generation": _clean_generation,
     "json_roundtrip_generation": _json_roundtrip,
+    "json_array_generation": _json_array,
     "stream_ingest_generation": _stream_ingest,
     "capacity_clean": _capacity_clean,
     "capacity_publish_windows": _capacity_publish_windows,

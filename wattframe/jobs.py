@@ -35,6 +35,7 @@ from wattframe.plans.ingest import CAPACITY_PARTITION, merge_capacity, merge_gen
 from wattframe.schemas import PARTITION_COLUMN
 from wattframe.session import build_session
 from wattframe.sources.files import read_csv, read_csv_columns, read_feed_json, table_exists
+from wattframe.sources.json_arrays import read_json_array
 from wattframe.sources.ledger import loaded_days
 from wattframe.sources.sinks import write_days, write_table
 
@@ -53,7 +54,9 @@ REFERENCE_FILES = {
 
 
 def _landed(spark: SparkSession, landing: str, schema: T.StructType, multiline: bool) -> DataFrame:
-    raw = read_feed_json(spark, landing, schema, multiline=multiline, keep_corrupt=True)
+    if multiline:
+        return read_json_array(spark, landing, schema, keep_corrupt=True)
+    raw = read_feed_json(spark, landing, schema, keep_corrupt=True)
     return raw.select("*", F.col("_metadata.file_modification_time").alias("landed_at"))
 
 
@@ -107,8 +110,7 @@ def build_reference(spark: SparkSession, files: str, tables: str) -> None:
         "sett_bmu_id": T.StringType(), "ngc_bmu_id": T.StringType()})
     write_table(clean.plant_ids(ids), f"{tables}/plant_id")
 
-    unit_raw = read_feed_json(spark, f["unit_info"], schemas.UNIT_INFO_FEED, multiline=True)
-    write_table(clean.unit_info(unit_raw), f"{tables}/unit_info")
+    write_table(clean.unit_info(read_json_array(spark, f["unit_info"], schemas.UNIT_INFO_FEED)), f"{tables}/unit_info")
 
     write_table(read_csv(spark, f["fuel_mapping"], schemas.FUEL_MAPPING), f"{tables}/fuel_mapping")
     write_table(read_csv(spark, f["overlay"], schemas.UNIT_OVERLAY), f"{tables}/overlay")

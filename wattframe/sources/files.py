@@ -13,9 +13,9 @@ def read_feed_json(spark: SparkSession, path: str | list[str], schema: T.StructT
                    multiline: bool = False, keep_corrupt: bool = False) -> DataFrame:
     """Read feed records with a fixed schema.
 
-    Landing files should be JSON lines (splittable, many tasks per file).
-    A response saved as one JSON array needs ``multiline=True``, which reads
-    each file in a single task. Extra fields are ignored; values of the wrong
+    Landing files should be JSON lines (splittable, many tasks per file); responses saved as one JSON
+    array are read by many tasks with :func:`wattframe.sources.json_arrays.read_json_array`
+    (``multiline=True`` reads each file in a single task). Extra fields are ignored; values of the wrong
     type become NULL (PERMISSIVE mode). ``keep_corrupt`` adds the text of records
     that cannot be read as ``_corrupt_record`` (NULL for the others).
     """
