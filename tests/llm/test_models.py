@@ -90,62 +90,86 @@ def test_lm_base_scores_and_normalisation(spark):
     assert lm.lm_scored(H.documents(spark).limit(0)).count() == 0
 
 
-def test_lm_probabilities_sum_to_one_and_training_helps():
+def _counts(spark, tokens):
+    """A table of counts of hashes, as ``lm.token_counts`` gives it."""
+    kinds, n = np.unique(tokens, return_counts=True)
+    return spark.createDataFrame(list(zip(kinds.view(np.int64).tolist(), n.tolist())), "hash long, c long")
+
+
+def _probability(model, counts, hashes, token):
+    """Of one token given the (up to three) before it, by a plain walk down the tree."""
+    def row(feature, node):
+        x = (int(feature) ^ (node * 0x9E3779B97F4A7C15 % 2**64)) * 0xD6E8FEB86659FD93 % 2**64
+        return x >> (64 - int(math.log2(len(model.weights))))
+
+    own = dict(zip(model.vocabulary.tolist(), model.leaf.tolist()))
+    features = [f[-1] for f in lm.context_features(np.append(hashes, np.uint64(token)), np.arange(len(hashes) + 1))]
+    p, leaf = 1.0, own.get(token)
+    if leaf is None:
+        k = token >> (64 - model.rare_bits)
+        leaf = int(model.rare_leaf[k])
+        p = (counts.get(token, 0) + 0.1) / 10 ** model.rare_log[k]
+    node, slot = divmod(leaf, lm.FAN)
+    while True:
+        x = model.bias[node].astype(float) + sum(model.weights[row(f, node)].astype(float) for f in features)
+        p *= np.exp(x[slot] - x.max()) / np.exp(x - x.max()).sum()
+        if node == 0:
+            return p
+        node, slot = (node - 1) // lm.FAN, lm.FAN + (node - 1) % lm.FAN
+
+
+@pytest.mark.parametrize("frequent", [1 << 18, 60])
+def test_lm_probabilities_sum_to_one_and_training_helps(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
     rng = np.random.default_rng(2)
-    hashes = np.sort(rng.integers(1, 1 << 62, 300).astype(np.uint64))
-    text = hashes[np.cumsum(rng.integers(0, 3, 4000)) % 300]  # the next word follows from the last one
-    kinds, counts = np.unique(text, return_counts=True)
-    model = lm.MaxEnt.of_counts(kinds, counts, len(text) + 5)
+    hashes = np.sort(rng.integers(1, 1 << 63, 300).astype(np.uint64) * np.uint64(2))
+    text = hashes[np.cumsum(rng.integers(0, 3, 6000)) % 300]  # the next word follows from the last one
+    text = np.append(text, hashes[:5].repeat(400))
+    model, _, _, n, v = lm.fitted(_counts(spark, text))
+    assert n == len(text) and v == 300 and (len(model.vocabulary) == 300) == (frequent > 60)
     place = np.arange(len(text))
     before = model.logs(text, place)[0].mean()
-    seen = [np.zeros(model.classes.shape), np.zeros(model.words.shape)]
+    seen, met = np.zeros_like(model.weights), np.zeros(len(model.weights), np.float32)
     for _ in range(8):
-        g = [np.zeros(model.classes.shape), np.zeros(model.words.shape)]
-        model.gradient(text, place, *g)
-        for x, s, w in zip(g, seen, (model.classes, model.words)):
-            s += x ** 2
-            w += (lm.RATE * x / (np.sqrt(s) + 10)).astype(np.float32)
-    assert model.logs(text, place)[0].mean() > before + 0.1
-    context = np.tile(text[:3], len(kinds) + 1).reshape(-1, 3)
-    candidates = np.concatenate([kinds, [np.uint64(77)]])
-    total = sum(np.exp(model.logs(np.append(c, w), np.arange(4))[0][3]) for c, w in zip(context, candidates))
-    assert math.isclose(total, 1.0, rel_tol=1e-4)
-
-
-def test_lm_scores_equal_a_direct_sum(spark):
+        model.learn(text, place, seen, met)
+    assert model.logs(text, place)[0].mean() > before + 0.2 and met.sum() > 4 * len(text)
+    counts = Counter(text.tolist())
+    unknown = [(k << (64 - model.rare_bits)) + 1 for k in range(1 << model.rare_bits)]  # one unseen word of every hashed class
+    for i in (3, 100, 5000):
+        total = sum(_probability(model, counts, text[i - 3:i], t) for t in [*hashes.tolist(), *unknown])
+        assert math.isclose(total, 1.0, rel_tol=1e-4)
+
+
+@pytest.mark.parametrize("frequent", [1 << 18, 1 << 9])
+def test_lm_scores_equal_a_direct_sum(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
     rng = np.random.default_rng(6)
-    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.2, 60) % 4000) for _ in range(120)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.2, 60) % 4000) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
     got = {r.doc_id: r for r in lm.lm_scored(docs).collect()}
     tokens = {}
     for d, t in enumerate(texts):
         (_, w), = lm.words_of(pa.RecordBatch.from_pydict({"text": [t]}), lower=True)
         tokens[d] = lm.token_hashes(w)[0]
-    counts = Counter()
-    for d, t in tokens.items():
-        if not got[d].held_out:
-            counts.update(t.tolist())
-    hashes = np.array(sorted(counts), dtype=np.uint64)
-    c, n, v = np.array([counts[int(h)] for h in hashes]), sum(counts.values()), len(counts)
-    model = lm.train(docs.where(~lm.held_out(F.col("doc_id"))), lm.MaxEnt.of_counts(hashes, c, n))
-    own = dict(zip(model.vocabulary.tolist(), model.place.tolist()))
-    rest = n - sum(counts[h] for h in own) + 0.1 * (v - len(own) + 1)
-    assert 0 < len(own) < v
-    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    learnt = np.concatenate([t for d, t in tokens.items() if not got[d].held_out])
+    counts = Counter(learnt.tolist())
+    model = lm.fitted(_counts(spark, learnt))[0]
+    assert (len(model.vocabulary) < len(counts)) == (frequent == 1 << 9)
+    model = lm.train(docs.where(~lm.held_out(F.col("doc_id"))), model)
+    assert np.abs(model.weights).max() > 0
     for d, t in tokens.items():
-        features, prev = lm.context_features(t, np.arange(len(t)))
-        total = 0.0
-        for i, h in enumerate(t.tolist()):
-            p = softmax(model.class_bias.astype(float) + sum(model.classes[f[i] + k * lm.BUCKETS] for k, f in enumerate(features)))
-            if h in own:
-                g, at = divmod(own[h], lm.WIDTH)
-                x = np.where(model.used[g], model.word_bias[g] + model.words[prev[i] * lm.CLASSES + g], -1e9)
-                total += math.log10(p[g + 1] * softmax(x.astype(float))[at])
-            else:
-                total += math.log10(p[0] * (counts[h] + 0.1) / rest)
+        total = sum(math.log10(_probability(model, counts, t[:i], h)) for i, h in enumerate(t.tolist()))
         assert math.isclose(got[d].score, total, rel_tol=1e-4), d
 
 
+def test_lm_grows_with_the_corpus_and_beats_its_base_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sizes = [lm.fitted(lm.token_counts(d))[0] for d in (docs.where("doc_id < 100"), docs)]
+    assert len(sizes[0].vocabulary) < len(sizes[1].vocabulary) and len(sizes[0].weights) < len(sizes[1].weights)
+    r = lm.lm_scored(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).first()
+    assert r.s / r.n > r.b / r.n + 0.02
+
+
 def test_plan_uses_every_piece_once_near_the_bound():
     rng = np.random.default_rng(4)
     for lengths in (rng.integers(1, 2049, 4000), np.full(500, 1025), rng.integers(1, 30, 3000), np.array([2047, 1, 1024, 1024, 700, 700, 648])):

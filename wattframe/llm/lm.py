@@ -1,17 +1,25 @@
 """LM scoring with a hashed maximum-entropy model and a class-factored softmax.
 
-p(word | context) = p(class | context) * p(word | class, context). Features of a context are the
-previous word, the two previous words, and skips to the second and third word back, each hashed
-into a table of weights. The most frequent words have classes of their own; all other words are
-one class, in which a word has its smoothed unigram share. The model has a fixed size; counts of
-words cover all training documents and stay in a table.
-
-Training goes once over the training documents, in rounds. In each round the tasks sum the
-gradient over their documents and one update is made to the model. Scoring is one scan.
+p(word | context) is a product of softmaxes down a tree of word classes: a node holds 16 words and
+16 classes, which are nodes again, and words are dealt out by frequency, so that a frequent word takes
+one or two steps. Features of a context are the previous word, the two previous words, and skips to
+the second and third word back; together with the node each is hashed to a row of weights, so
+that all of them act on every step.
+
+Every training word is in the tree: those with a share of 1 / 262,144 or more by themselves, all
+others through one of several classes by their hash, in which a word has its smoothed unigram share.
+Depth, number of hashed classes and rows of weights follow from the number of distinct words. Counts
+cover all training documents and stay in a table; rare words meet theirs in a join.
+
+Training goes once over the training documents, in rounds. In each round a task starts from the
+model, makes an Adagrad step for every 65,536 softmaxes of its own documents, and hands over how far
+each row has moved and how often it was met; the rows' moves are averaged by these weights, in a tree of
+groups of 32 tasks. Scoring is one scan in batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,13 +34,15 @@ from wattframe.llm.textops import mix, signed, words_of
 
 U = np.uint64
 END, START = U(0x0123456789ABCDEF), U(0x7EDCBA9876543210)  # neither is a word's hash, but by chance
-FREQUENT = 1 << 18       # words with a share of more than 1 / FREQUENT: at most so many
-CLASSES, WIDTH = 32, 32  # classes of frequent words, words in each
-BUCKETS, WORD_BUCKETS = 1 << 12, 1 << 9
+FREQUENT = 1 << 18   # words with a share of more than 1 / FREQUENT: at most so many
+FAN = 16             # words of a node, and classes
 FEATURES = 4
-ROUNDS = 6
-RATE = 0.3
+AT_ONCE = 1 << 16    # softmaxes of a step
+ROUNDS = 2
+RATE = 0.8
+DAMP = 10.0          # a row that few tokens speak for moves little, as with a prior around 0
 PSEUDO = 0.1
+SLICES = 64
 
 
 def token_hashes(w):
@@ -45,96 +55,119 @@ def token_hashes(w):
     return tokens, doc, place
 
 
-def context_features(tokens: np.ndarray, place: np.ndarray):
-    """Bucket of each of the FEATURES of every token's context, and of its previous word alone."""
+def context_features(tokens: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the FEATURES of every token's context."""
     back = []
     for k in (1, 2, 3):
         b = np.full(len(tokens), START, dtype=U)
         b[k:] = tokens[:-k] if k < len(tokens) else tokens[:0]
         b[place < k] = START
         back.append(b)
-    raw = (mix(back[0]), mix(back[1] + U(1)), mix(mix(back[0]) ^ (back[1] * U(3))), mix(back[2] + U(2)))
-    return [(x >> U(64 - 12)).astype(np.int64) for x in raw], (raw[0] & U(WORD_BUCKETS - 1)).astype(np.int64)
+    return [mix(back[0]), mix(back[1] + U(1)), mix(mix(back[0]) ^ (back[1] * U(3))), mix(back[2] + U(2))]
+
+
+def bits_for(distinct: int) -> tuple[int, int]:
+    """log2 of the number of hashed classes and of the rows of weights, for so many distinct words."""
+    return max(1, -(-int(distinct).bit_length() // 2)), min(max(int(distinct).bit_length() - 2, 10), 16)
 
 
 @dataclass
 class MaxEnt:
-    """Weights. Class 0 holds all words outside ``vocabulary``."""
+    """The tree and its weights. Leaf i is word i % FAN of node i // FAN; class j of node n is node n * FAN + j + 1."""
 
-    vocabulary: np.ndarray          # sorted hashes of the words with classes of their own
-    place: np.ndarray               # class * WIDTH + place in it, from 0, of each
-    class_bias: np.ndarray
-    word_bias: np.ndarray           # (CLASSES, WIDTH)
-    used: np.ndarray                # (CLASSES, WIDTH): whether a word is there
-    classes: np.ndarray = field(default_factory=lambda: np.zeros((BUCKETS * FEATURES, CLASSES + 1), np.float32))
-    words: np.ndarray = field(default_factory=lambda: np.zeros((WORD_BUCKETS * CLASSES, WIDTH), np.float32))
+    vocabulary: np.ndarray          # sorted hashes of the words with leaves of their own
+    leaf: np.ndarray                # their leaves
+    rare_bits: int
+    rare_leaf: np.ndarray           # leaves of the hashed classes
+    rare_log: np.ndarray            # log10 of their smoothed counts
+    bias: np.ndarray                # (nodes, 2 * FAN): log share of each word and class in its node
+    weights: np.ndarray = field(repr=False)  # (rows, 2 * FAN)
 
     @classmethod
-    def of_counts(cls, hashes: np.ndarray, counts: np.ndarray, total: int) -> "MaxEnt":
-        """Classes of words of like frequency; biases such that the untrained model is the unigram one."""
-        order = np.lexsort((hashes, -counts))[:CLASSES * WIDTH]
-        per = np.zeros(CLASSES * WIDTH)
-        per[:len(order)] = counts[order]
-        by_hash = np.argsort(hashes[order])
-        rest = total - per.sum()
-        mass = np.concatenate([[rest + PSEUDO], per.reshape(CLASSES, WIDTH).sum(axis=1)])
-        bias = np.where(mass > 0, np.log(np.maximum(mass, PSEUDO) / mass.sum()), -1e9)  # no class without a word
-        words = np.log(np.maximum(per.reshape(CLASSES, WIDTH), PSEUDO))
-        return cls(hashes[order][by_hash], by_hash, bias.astype(np.float32), words.astype(np.float32),
-                   (per > 0).reshape(CLASSES, WIDTH))
+    def of_counts(cls, hashes: np.ndarray, counts: np.ndarray, rare_counts: np.ndarray, rare_kinds: np.ndarray, row_bits: int) -> "MaxEnt":
+        """The untrained model: that of the smoothed counts of frequent words and of the hashed classes of the others."""
+        rare = rare_counts + PSEUDO * (rare_kinds + 1)
+        mass = np.concatenate([counts, rare]).astype(float)
+        order = np.lexsort((np.concatenate([hashes, np.arange(len(rare)).astype(U)]), -mass))
+        leaf = np.empty(len(mass), dtype=np.int64)
+        leaf[order] = np.arange(len(mass))
+        nodes = -(-len(mass) // FAN)
+        slots = np.zeros((nodes, 2 * FAN))
+        own = np.zeros(nodes * FAN)
+        own[:len(mass)] = mass[order]
+        slots[:, :FAN] = own.reshape(nodes, FAN)
+        for n in range(nodes - 1, 0, -1):  # at most a 16th of the leaves
+            slots[(n - 1) // FAN, FAN + (n - 1) % FAN] = slots[n].sum()
+        bias = np.where(slots > 0, np.log(np.maximum(slots, 1e-300) / slots.sum(axis=1, keepdims=True)), -1e9)
+        by_hash = np.argsort(hashes)
+        return cls(hashes[by_hash], leaf[:len(hashes)][by_hash], int(len(rare)).bit_length() - 1, leaf[len(hashes):], np.log10(rare),
+                   bias.astype(np.float32), np.zeros((1 << row_bits, 2 * FAN), np.float32))
 
     def find(self, tokens: np.ndarray):
-        """Place of each token in the classes, -1 for words of class 0."""
+        """Leaf of each token, and the hashed class of those without one of their own (-1 for the others)."""
+        rare = (tokens >> U(64 - self.rare_bits)).astype(np.int64)
         if not len(self.vocabulary):
-            return np.full(len(tokens), -1)
+            return self.rare_leaf[rare], rare
         k = np.minimum(np.searchsorted(self.vocabulary, tokens), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[k] == tokens, self.place[k], -1)
-
-    def class_logs(self, features):
-        """log p(class | context) for every class."""
-        x = np.broadcast_to(self.class_bias, (len(features[0]), CLASSES + 1)).copy()
-        for k, f in enumerate(features):
-            x += self.classes[f + k * BUCKETS]
-        x -= x.max(axis=1, keepdims=True)
-        x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-        return x
-
-    def word_logs(self, rows, group):
-        """log p(word | class, context) for the words of the given class."""
-        x = self.words[rows] + self.word_bias[group]
-        x[~self.used[group]] = -1e9
+        own = self.vocabulary[k] == tokens
+        return np.where(own, self.leaf[k], self.rare_leaf[rare]), np.where(own, -1, rare)
+
+    def steps(self, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(token, node, slot) of every softmax on the way to the leaves, from below, about AT_ONCE at a time."""
+        at, node, slot = np.arange(len(leaf)), leaf // FAN, leaf % FAN
+        while len(at):
+            for i in range(0, len(at), AT_ONCE):
+                yield at[i:i + AT_ONCE], node[i:i + AT_ONCE], slot[i:i + AT_ONCE]
+            inner = node > 0
+            at, child = at[inner], node[inner] - 1
+            node, slot = child // FAN, FAN + child % FAN
+
+    def rows(self, features: list[np.ndarray], at: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """(FEATURES, steps): row of weights of each feature at each node."""
+        shift = U(64 - (len(self.weights).bit_length() - 1))
+        turned = node.astype(U) * U(0x9E3779B97F4A7C15)
+        return np.stack([(((f[at] ^ turned) * U(0xD6E8FEB86659FD93)) >> shift).astype(np.uint16) for f in features])
+
+    def step_logs(self, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """log softmax of each step."""
+        x = self.bias[node]
+        for r in rows:
+            x += self.weights[r]
         x -= x.max(axis=1, keepdims=True)
         x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
         return x
 
-    def logs(self, tokens, place):
-        """Natural log of what the model gives to each token (for class 0: to the class), its place."""
-        found = self.find(tokens)
-        features, prev = context_features(tokens, place)
-        own = found >= 0
-        klass = np.where(own, found // WIDTH + 1, 0)
-        out = self.class_logs(features)[np.arange(len(tokens)), klass].astype(np.float64)
-        group, at = found[own] // WIDTH, found[own] % WIDTH
-        out[own] += self.word_logs(prev[own] * CLASSES + group, group)[np.arange(len(at)), at]
-        return out, found
-
-    def gradient(self, tokens, place, g_class, g_word):
-        """Adds the gradient of the log-likelihood of the tokens to the two tables."""
-        found = self.find(tokens)
-        features, prev = context_features(tokens, place)
-        own = found >= 0
-        klass = np.where(own, found // WIDTH + 1, 0)
-        err = -np.exp(self.class_logs(features))
-        err[np.arange(len(tokens)), klass] += 1
-        for k, f in enumerate(features):
-            for c in range(CLASSES + 1):
-                g_class[k * BUCKETS:(k + 1) * BUCKETS, c] += np.bincount(f, weights=err[:, c], minlength=BUCKETS)
-        group, at = found[own] // WIDTH, found[own] % WIDTH
-        rows = prev[own] * CLASSES + group
-        err = -np.exp(self.word_logs(rows, group))
-        err[np.arange(len(at)), at] += 1
-        for c in range(WIDTH):
-            g_word[:, c] += np.bincount(rows, weights=err[:, c], minlength=len(g_word))
+    def logs(self, tokens: np.ndarray, place: np.ndarray):
+        """Natural log of what the tree gives to each token (for a rare one: to its class), and that class or -1."""
+        leaf, rare = self.find(tokens)
+        features = context_features(tokens, place)
+        out = np.zeros(len(tokens))
+        for at, node, slot in self.steps(leaf):
+            out[at] += self.step_logs(self.rows(features, at, node), node)[np.arange(len(at)), slot]
+        return out, rare
+
+    def learn(self, tokens: np.ndarray, place: np.ndarray, seen: np.ndarray, met: np.ndarray, rate: float = RATE) -> None:
+        """One Adagrad step of the weights for every AT_ONCE softmaxes of the tokens.
+
+        ``seen`` has the squares of the gradients so far, ``met`` how often each row was met.
+        """
+        leaf, _ = self.find(tokens)
+        features = context_features(tokens, place)
+        for at, node, slot in self.steps(leaf):
+            rows = self.rows(features, at, node)
+            err = np.exp(self.step_logs(rows, node))
+            np.negative(err, out=err)
+            err[np.arange(len(at)), slot] += 1
+            rows = rows.ravel()
+            order = np.argsort(rows, kind="stable")
+            ordered = rows[order]
+            first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+            g = np.add.reduceat(err[order % len(at)], first, axis=0)
+            row = ordered[first]
+            met[row] += np.diff(np.append(first, len(ordered)))
+            s = seen[row] + g * g
+            seen[row] = s
+            self.weights[row] += rate * g / (np.sqrt(s) + DAMP)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -163,76 +196,91 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return written(_texts(docs).mapInArrow(scan, "hash long, c long").groupBy("hash").agg(F.sum("c").alias("c")), "token-counts")
 
 
-def gradient_sum(docs: DataFrame, model: MaxEnt) -> tuple[np.ndarray, np.ndarray, int]:
-    """Gradient over all ``docs``: summed in every task, then by slices of the tables."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
-    slices = 8
+def _averaged(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The moves of a slice of rows, averaged by how often each row was met."""
+    total, weight = 0.0, 0.0
+    for move, met in zip(pdf["move"], pdf["met"]):
+        m = np.frombuffer(met, np.float32)
+        weight = weight + m
+        total = total + np.frombuffer(move, np.float16).astype(np.float32).reshape(len(m), -1) * m[:, None]
+    mean = total / np.maximum(weight, 1)[:, None]
+    return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "part": pdf["part"].iloc[:1], "move": [mean.astype(np.float16).tobytes()],
+                         "met": [weight.astype(np.float32).tobytes()]})
+
+
+_MOVES = "slice int, part long, move binary, met binary"
+
+
+def moved(docs: DataFrame, model: MaxEnt, rate: float) -> np.ndarray | None:
+    """How far the rows of weights move on ``docs``: in every task from ``model`` on, averaged over the tasks."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches):
         m = sent.value
-        g_class, g_word, n = np.zeros(m.classes.shape), np.zeros(m.words.shape), 0
+        start = m.weights
+        m.weights = start.copy()  # the worker may serve another task of this round
+        seen, met, any_token = np.zeros_like(start), np.zeros(len(start), np.float32), False
         for batch in batches:
             for _, w in words_of(batch, lower=True):
                 tokens, _, place = token_hashes(w)
-                m.gradient(tokens, place, g_class, g_word)
-                n += len(tokens)
-        if n:
-            flat = np.concatenate([g_class.ravel(), g_word.ravel()]).astype(np.float32)
-            parts = np.array_split(flat, slices)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(slices), pa.int32()), pa.array([n] * slices, pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())],
-                ["slice", "n", "g"])
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(len(pdf["g"].iloc[0]) // 4)
-        for g in pdf["g"]:
-            total += np.frombuffer(g, dtype=np.float32)
-        return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "n": [int(pdf["n"].sum())], "g": [total.astype(np.float32).tobytes()]})
-
-    rows = _texts(docs).mapInArrow(scan, "slice int, n long, g binary").groupBy("slice").applyInPandas(add, "slice int, n long, g binary").collect()
+                m.learn(tokens, place, seen, met, rate)
+                any_token = True
+        move, m.weights = (m.weights - start).astype(np.float16), start
+        if any_token:
+            part = TaskContext.get().partitionId()
+            for k, (a, b) in enumerate(zip(np.array_split(move, SLICES), np.array_split(met, SLICES))):
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.int64()), pa.array([a.tobytes()], pa.binary()),
+                                                  pa.array([b.tobytes()], pa.binary())], ["slice", "part", "move", "met"])
+
+    rows = _texts(docs).mapInArrow(scan, _MOVES)
+    for shift in (5, 5, 40):
+        rows = rows.withColumn("part", F.shiftright("part", shift)).groupBy("slice", "part").applyInPandas(_averaged, _MOVES)
+    got = sorted(rows.select("slice", "move").collect())  # SLICES rows, the size of the model
     sent.unpersist()
-    if not rows:
-        return np.zeros(model.classes.shape), np.zeros(model.words.shape), 0
-    flat = np.concatenate([np.frombuffer(r["g"], dtype=np.float32) for r in sorted(rows, key=lambda r: r["slice"])]).astype(np.float64)
-    return flat[:model.classes.size].reshape(model.classes.shape), flat[model.classes.size:].reshape(model.words.shape), rows[0]["n"]
+    return np.concatenate([np.frombuffer(r["move"], np.float16) for r in got]).reshape(model.weights.shape) if got else None
 
 
 def train(docs: DataFrame, model: MaxEnt, rounds: int = ROUNDS, rate: float = RATE) -> MaxEnt:
-    """One pass over ``docs``: each round sums the gradient of its share and makes one Adagrad step.
-
-    A step is damped where few tokens speak for a weight, as a prior of weight 0 would do.
-    """
-    seen = [np.zeros(model.classes.shape), np.zeros(model.words.shape)]
+    """One pass over ``docs``: each round learns from its share and adds the averaged moves."""
     share = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(rounds))
     for r in range(rounds):
-        g_class, g_word, n = gradient_sum(docs.where(share == r), model)
-        if n:
-            for g, s, w in ((g_class, seen[0], model.classes), (g_word, seen[1], model.words)):
-                s += g ** 2
-                w += (rate * g / (np.sqrt(s) + 10)).astype(np.float32)
+        move = moved(docs.where(share == r), model, rate)
+        if move is not None:
+            model.weights = model.weights + move.astype(np.float32)
     return model
 
 
+def fitted(counts: DataFrame) -> tuple[MaxEnt, np.ndarray, np.ndarray, int, int]:
+    """The untrained model of a table of counts, the frequent words and their counts, tokens and distinct words."""
+    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    # The counts sum to n, so at most FREQUENT words can have a share of 1 / FREQUENT.
+    frequent = F.col("c") * FREQUENT >= n
+    top = counts.where(frequent).toArrow()
+    hashes, c = top.column(0).to_numpy().view(U), top.column(1).to_numpy()
+    rare_bits, row_bits = bits_for(v)
+    rare = np.zeros((2, 1 << rare_bits))
+    of_class = F.shiftrightunsigned("hash", 64 - rare_bits)
+    for r in counts.where(~frequent).groupBy(of_class.alias("k")).agg(F.sum("c").alias("c"), F.count("*").alias("d")).collect():
+        rare[:, r["k"]] = r["c"], r["d"]
+    order = np.argsort(hashes)
+    hashes, c = hashes[order], c[order]
+    return MaxEnt.of_counts(hashes, c, rare[0], rare[1], row_bits), hashes, c, n, v
+
+
 def lm_scored(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     base_score is the smoothed unigram log10 probability, score the model's. Learns from the rows
-    that are not held out; null text counts as empty and has one token, the end. Without training
-    rows every token is unknown and both scores are those of a uniform word.
+    that are not held out; null text counts as empty and has one token, the end. Rows that repeat
+    a doc_id are scored, and learnt from, one by one. Very long texts are scored whole. Without
+    training rows every token is unknown and both scores are those of a uniform word; an empty table
+    gives no rows. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
     train_docs = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text")
     counts = token_counts(train_docs)
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # The counts sum to n, so at most FREQUENT words can have a share of 1 / FREQUENT.
-    top = counts.where(F.col("c") * FREQUENT >= n).toArrow()
-    hashes, c = top.column(0).to_numpy().view(U), top.column(1).to_numpy()
-    order = np.argsort(hashes)
-    hashes, c = hashes[order], c[order]
-    model = train(train_docs, MaxEnt.of_counts(hashes, c, n), rounds)
-    rest_n = int(n - c[np.isin(hashes, model.vocabulary)].sum())
-    rest_log = float(np.log10(rest_n + PSEUDO * (v - len(model.vocabulary) + 1)))
+    model, hashes, c, n, v = fitted(counts)
+    model = train(train_docs, model, rounds)
     base_log = float(np.log10(n + PSEUDO * (v + 1)))
     sent = spark.sparkContext.broadcast((model, hashes, c))
 
@@ -244,11 +292,11 @@ def lm_scored(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             for part, w in words_of(batch, lower=True):
                 tokens, doc, place = token_hashes(w)
                 k = len(w.bounds) - 1
-                nat, found = m.logs(tokens, place)
+                nat, rare_class = m.logs(tokens, place)
                 at = np.minimum(np.searchsorted(hashes, tokens), max(len(hashes) - 1, 0))
                 known = (hashes[at] == tokens) if len(hashes) else np.zeros(len(tokens), dtype=bool)
                 word = np.where(known, logs[at] if len(hashes) else 0.0, 0.0)
-                score = nat / np.log(10) + np.where(found < 0, word - rest_log, 0.0)
+                score = nat / np.log(10) - np.where(rare_class < 0, 0.0, m.rare_log[rare_class])
                 per = lambda x: np.bincount(doc, weights=x, minlength=k)
                 rare = np.flatnonzero(~known)
                 rare = rare[np.lexsort((tokens[rare], doc[rare]))]

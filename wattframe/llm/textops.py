@@ -1,8 +1,9 @@
 """Vectorised words, shingles and hashes of Arrow text batches (numpy, no per-word Python).
 
-Words are runs of bytes other than space and \\t \\n \\v \\f \\r of the UTF-8 text. A word's
-hash is a polynomial over its bytes modulo 2**64, taken from one running sum over the whole
-chunk, and then mixed.
+Words are runs of bytes other than space and \\t \\n \\v \\f \\r of the UTF-8 text. Each byte stands for
+a random number that depends on its place in the word; up to 64 of them are summed (from running
+sums over about a megabyte of text), and the sums of a longer word are mixed with their number
+before they are added up. Nothing is a polynomial of the bytes, whose collisions can be built.
 """
 
 from __future__ import annotations
@@ -13,13 +14,12 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _STEP = U(0xD6E8FEB86659FD93)
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
-_POWERS: dict[str, np.ndarray] = {}
+_SEGMENT, _AT_ONCE = 64, 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,14 +34,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        for key, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            x = np.full(size, U(base), dtype=U)
-            x[0] = U(1)
-            _POWERS[key] = np.multiply.accumulate(x)
-    return _POWERS["up"], _POWERS["down"]
+_BYTES = mix(np.arange(_SEGMENT * 256, dtype=U) * U(3) + U(0x5851F42D4C957F2D)).reshape(_SEGMENT, 256)
+_TABLES = {False: _BYTES.ravel(), True: _BYTES[:, _LOWER].ravel()}  # True: upper-case ASCII counts as lower case
+
+
+def _sums(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sum of the bytes' numbers of every segment (at most 64 bytes each), about a megabyte at a time."""
+    out = np.empty(len(start), dtype=U)
+    i = 0
+    while i < len(start):
+        j = max(int(np.searchsorted(end, start[i] + _AT_ONCE, side="right")), i + 1)
+        lo, hi = start[i], end[j - 1]
+        first = (start[i:j] - lo).astype(np.int32)
+        place = np.arange(hi - lo, dtype=np.int32)
+        place -= np.repeat(first, np.diff(np.append(first, np.int32(hi - lo))))
+        place &= _SEGMENT - 1
+        place <<= 8
+        place |= data[lo:hi]
+        sums = np.zeros(hi - lo + 1, dtype=U)
+        np.cumsum(table[place], out=sums[1:])
+        out[i:j] = sums[end[i:j] - lo] - sums[first]
+        i = j
+    return out
 
 
 class Words:
@@ -50,23 +64,28 @@ class Words:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool):
         n = len(data)
         flag = _IS_WORD[data]
-        before = np.empty(n, dtype=bool)
-        before[1:] = flag[:-1]
-        edges = offsets[:-1][offsets[:-1] < n]
-        before[edges] = False
-        after = np.empty(n, dtype=bool)
-        after[:-1] = flag[1:]
-        lasts = offsets[1:][offsets[1:] > 0] - 1
-        after[lasts] = False
-        self.start = np.flatnonzero(flag & ~before)
-        self.end = np.flatnonzero(flag & ~after) + 1
+        edge = np.empty(n, dtype=bool)
+        edge[1:] = flag[:-1]
+        edge[offsets[:-1][offsets[:-1] < n]] = False
+        self.start = np.flatnonzero(flag & ~edge)
+        edge[:-1] = flag[1:]
+        edge[offsets[1:][offsets[1:] > 0] - 1] = False
+        self.end = np.flatnonzero(flag & ~edge) + 1
+        del flag, edge
         self.bounds = np.searchsorted(self.start, offsets)
         self.data = data
-        up, down = _powers(n + 1)
-        sums = np.zeros(n + 1, dtype=U)
-        np.cumsum(((_LOWER[data] if lower else data).astype(U) + U(1)) * up[:n], out=sums[1:])
-        h = (sums[self.end] - sums[self.start]) * down[self.start]
-        self.hash = mix(h ^ ((self.end - self.start).astype(U) * _STEP))
+        length = self.end - self.start
+        if len(length) and length.max() > _SEGMENT:
+            count = -(-length // _SEGMENT)
+            begin = np.cumsum(count) - count
+            number = np.arange(count.sum()) - np.repeat(begin, count)
+            at = np.repeat(self.start, count) + number * _SEGMENT
+            sums = _sums(data, at, np.minimum(at + _SEGMENT, np.repeat(self.end, count)), _TABLES[lower])
+            mixed = mix(sums + (number.astype(U) + U(1)) * _STEP)
+            total = np.where(count > 1, np.add.reduceat(mixed, begin), sums[begin])
+        else:
+            total = _sums(data, self.start, self.end, _TABLES[lower])
+        self.hash = mix(total ^ (length.astype(U) * _STEP))
 
     def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the n words from every position, and which positions have n words in their text."""
@@ -103,8 +122,7 @@ class Words:
 
 def sequence_hash(h: np.ndarray) -> np.uint64:
     """Order-sensitive hash of a sequence of hashes, its length included."""
-    up, _ = _powers(len(h) + 1)
-    total = np.sum(h * up[:len(h)], dtype=U, keepdims=True)
+    total = np.sum(mix(h + np.arange(1, len(h) + 1, dtype=U) * _STEP), dtype=U, keepdims=True)
     return mix(total + np.array([len(h)], dtype=U) * _STEP)[0]
 
 
