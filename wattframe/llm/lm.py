@@ -1,25 +1,24 @@
 """LM scoring with a hashed maximum-entropy model and a class-factored softmax.
 
-p(word | context) is a product of softmaxes down a tree of word classes: a node holds 16 words and
-16 classes, which are nodes again, and words are dealt out by frequency, so that a frequent word takes
-one or two steps. Features of a context are the previous word, the two previous words, and skips to
-the second and third word back; together with the node each is hashed to a row of weights, so
-that all of them act on every step.
+p(word | context) is a product of two-way softmaxes down a Huffman tree of word classes: a class
+splits in two until a word is left, so that a frequent word takes few steps. Features of a context are
+the previous word, the two previous words, and a skip to the second word back; together
+with the class each is hashed to a weight, so that all of them act on every step.
 
 Every training word is in the tree: those with a share of 1 / 262,144 or more by themselves, all
 others through one of several classes by their hash, in which a word has its smoothed unigram share.
-Depth, number of hashed classes and rows of weights follow from the number of distinct words. Counts
+Depth, number of hashed classes and of weights follow from the number of distinct words. Counts
 cover all training documents and stay in a table; rare words meet theirs in a join.
 
 Training goes once over the training documents, in rounds. In each round a task starts from the
-model, makes an Adagrad step for every 65,536 softmaxes of its own documents, and hands over how far
-each row has moved and how often it was met; the rows' moves are averaged by these weights, in a tree of
-groups of 32 tasks. Scoring is one scan in batches.
+model, makes an Adagrad step for every 32,768 tokens of its own documents, and hands over how far each
+weight has moved and the squares of its gradients; the moves are averaged by these, in a tree of groups
+of 32 tasks. Scoring is one scan in batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -35,9 +34,8 @@ from wattframe.llm.textops import mix, signed, words_of
 U = np.uint64
 END, START = U(0x0123456789ABCDEF), U(0x7EDCBA9876543210)  # neither is a word's hash, but by chance
 FREQUENT = 1 << 18   # words with a share of more than 1 / FREQUENT: at most so many
-FAN = 16             # words of a node, and classes
-FEATURES = 4
-AT_ONCE = 1 << 16    # softmaxes of a step
+FEATURES = 3
+AT_ONCE, CACHED = 1 << 15, 1 << 12  # tokens of a step, and of what is worked on at a time
 ROUNDS = 2
 RATE = 0.8
 DAMP = 10.0          # a row that few tokens speak for moves little, as with a prior around 0
@@ -58,50 +56,76 @@ def token_hashes(w):
 def context_features(tokens: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
     """Hashes of the FEATURES of every token's context."""
     back = []
-    for k in (1, 2, 3):
+    for k in (1, 2):
         b = np.full(len(tokens), START, dtype=U)
         b[k:] = tokens[:-k] if k < len(tokens) else tokens[:0]
         b[place < k] = START
         back.append(b)
-    return [mix(back[0]), mix(back[1] + U(1)), mix(mix(back[0]) ^ (back[1] * U(3))), mix(back[2] + U(2))]
+    raw = (mix(back[0]), mix(back[1] + U(1)), mix(mix(back[0]) ^ (back[1] * U(3))))
+    return [(x >> U(32)).astype(np.uint32) for x in raw]
 
 
 def bits_for(distinct: int) -> tuple[int, int]:
-    """log2 of the number of hashed classes and of the rows of weights, for so many distinct words."""
-    return max(1, -(-int(distinct).bit_length() // 2)), min(max(int(distinct).bit_length() - 2, 10), 16)
+    """log2 of the number of hashed classes and of weights, for so many distinct words."""
+    return max(1, -(-int(distinct).bit_length() // 2)), min(max(int(distinct).bit_length() + 2, 12), 20)
+
+
+def huffman(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(parent, side, bias) of a tree over leaves of these masses (at least one).
+
+    Class k, with number ``len(mass) + k``, is made k-th; ``bias`` is the log odds of its right side.
+    """
+    n = len(mass)
+    parent, side = np.full(2 * n - 1, -1), np.zeros(2 * n - 1, dtype=bool)
+    bias = np.zeros(n - 1, dtype=np.float32)
+    heap = sorted(zip(mass.tolist(), range(n)))
+    for k in range(n - 1):
+        a, i = heapq.heappop(heap)
+        b, j = heap[0]
+        parent[i] = parent[j] = n + k
+        side[j] = True
+        bias[k] = np.log(b / a)
+        heapq.heapreplace(heap, (a + b, n + k))
+    return parent, side, bias
 
 
 @dataclass
 class MaxEnt:
-    """The tree and its weights. Leaf i is word i % FAN of node i // FAN; class j of node n is node n * FAN + j + 1."""
+    """The tree, as the way from the root to every leaf, and its weights."""
 
     vocabulary: np.ndarray          # sorted hashes of the words with leaves of their own
     leaf: np.ndarray                # their leaves
     rare_bits: int
     rare_leaf: np.ndarray           # leaves of the hashed classes
     rare_log: np.ndarray            # log10 of their smoothed counts
-    bias: np.ndarray                # (nodes, 2 * FAN): log share of each word and class in its node
-    weights: np.ndarray = field(repr=False)  # (rows, 2 * FAN)
+    start: np.ndarray               # leaf i: classes way[start[i]:start[i + 1]] and the sides taken there
+    way: np.ndarray
+    right: np.ndarray               # 1 or -1
+    bias: np.ndarray                # of every class: log odds of its right side
+    weights: np.ndarray = field(repr=False)
 
     @classmethod
-    def of_counts(cls, hashes: np.ndarray, counts: np.ndarray, rare_counts: np.ndarray, rare_kinds: np.ndarray, row_bits: int) -> "MaxEnt":
+    def of_counts(cls, hashes: np.ndarray, counts: np.ndarray, rare_counts: np.ndarray, rare_kinds: np.ndarray, weight_bits: int) -> "MaxEnt":
         """The untrained model: that of the smoothed counts of frequent words and of the hashed classes of the others."""
         rare = rare_counts + PSEUDO * (rare_kinds + 1)
         mass = np.concatenate([counts, rare]).astype(float)
-        order = np.lexsort((np.concatenate([hashes, np.arange(len(rare)).astype(U)]), -mass))
-        leaf = np.empty(len(mass), dtype=np.int64)
-        leaf[order] = np.arange(len(mass))
-        nodes = -(-len(mass) // FAN)
-        slots = np.zeros((nodes, 2 * FAN))
-        own = np.zeros(nodes * FAN)
-        own[:len(mass)] = mass[order]
-        slots[:, :FAN] = own.reshape(nodes, FAN)
-        for n in range(nodes - 1, 0, -1):  # at most a 16th of the leaves
-            slots[(n - 1) // FAN, FAN + (n - 1) % FAN] = slots[n].sum()
-        bias = np.where(slots > 0, np.log(np.maximum(slots, 1e-300) / slots.sum(axis=1, keepdims=True)), -1e9)
+        n = len(mass)
+        parent, side, bias = huffman(mass)
+        at, depth = np.arange(n), np.zeros(n, dtype=np.int64)
+        while (up := parent[at] >= 0).any():
+            depth += up
+            at = np.where(up, parent[at], at)
+        start = np.append(0, np.cumsum(depth))
+        way, right = np.empty(start[-1], dtype=np.int32), np.empty(start[-1], dtype=np.float32)
+        at, leaf, place = np.arange(n), np.arange(n), start[:-1].copy()
+        while len(at := at[keep := parent[at] >= 0]):
+            leaf = leaf[keep]
+            way[place[leaf]], right[place[leaf]] = parent[at] - n, np.where(side[at], 1, -1)
+            place[leaf] += 1
+            at = parent[at]
         by_hash = np.argsort(hashes)
-        return cls(hashes[by_hash], leaf[:len(hashes)][by_hash], int(len(rare)).bit_length() - 1, leaf[len(hashes):], np.log10(rare),
-                   bias.astype(np.float32), np.zeros((1 << row_bits, 2 * FAN), np.float32))
+        return cls(hashes[by_hash], by_hash, int(len(rare)).bit_length() - 1, np.arange(len(hashes), n), np.log10(rare),
+                   start, way, right, bias, np.zeros(1 << weight_bits, np.float32))
 
     def find(self, tokens: np.ndarray):
         """Leaf of each token, and the hashed class of those without one of their own (-1 for the others)."""
@@ -112,62 +136,64 @@ class MaxEnt:
         own = self.vocabulary[k] == tokens
         return np.where(own, self.leaf[k], self.rare_leaf[rare]), np.where(own, -1, rare)
 
-    def steps(self, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(token, node, slot) of every softmax on the way to the leaves, from below, about AT_ONCE at a time."""
-        at, node, slot = np.arange(len(leaf)), leaf // FAN, leaf % FAN
-        while len(at):
-            for i in range(0, len(at), AT_ONCE):
-                yield at[i:i + AT_ONCE], node[i:i + AT_ONCE], slot[i:i + AT_ONCE]
-            inner = node > 0
-            at, child = at[inner], node[inner] - 1
-            node, slot = child // FAN, FAN + child % FAN
-
-    def rows(self, features: list[np.ndarray], at: np.ndarray, node: np.ndarray) -> np.ndarray:
-        """(FEATURES, steps): row of weights of each feature at each node."""
-        shift = U(64 - (len(self.weights).bit_length() - 1))
-        turned = node.astype(U) * U(0x9E3779B97F4A7C15)
-        return np.stack([(((f[at] ^ turned) * U(0xD6E8FEB86659FD93)) >> shift).astype(np.uint16) for f in features])
-
-    def step_logs(self, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
-        """log softmax of each step."""
-        x = self.bias[node]
-        for r in rows:
-            x += self.weights[r]
-        x -= x.max(axis=1, keepdims=True)
-        x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-        return x
+    def steps(self, leaf: np.ndarray, features: list[np.ndarray]):
+        """For some tokens: each one's first step, and per step the weights' places (FEATURES x steps), log odds of the
+        side taken, its sign."""
+        count = self.start[leaf + 1] - self.start[leaf]
+        first = np.cumsum(count) - count
+        on_way = np.arange(count.sum())
+        on_way += np.repeat(self.start[leaf] - first, count)
+        klass = self.way[on_way]
+        sign = self.right[on_way]
+        turned = klass.astype(np.uint32)
+        turned *= np.uint32(0x9E3779B1)
+        shift = np.uint32(32 - (len(self.weights).bit_length() - 1))
+        places = np.empty((FEATURES, len(klass)), dtype=np.intp)
+        odds = self.bias[klass]
+        for k, f in enumerate(features):
+            x = np.repeat(f, count)
+            x ^= turned
+            x *= np.uint32(0x85EBCA6B)
+            x ^= x >> np.uint32(15)
+            x *= np.uint32(0xC2B2AE35)
+            x >>= shift
+            places[k] = x
+            odds += self.weights[places[k]]
+        odds *= sign
+        return first, places, odds, sign
 
     def logs(self, tokens: np.ndarray, place: np.ndarray):
         """Natural log of what the tree gives to each token (for a rare one: to its class), and that class or -1."""
         leaf, rare = self.find(tokens)
         features = context_features(tokens, place)
         out = np.zeros(len(tokens))
-        for at, node, slot in self.steps(leaf):
-            out[at] += self.step_logs(self.rows(features, at, node), node)[np.arange(len(at)), slot]
+        for i in range(0, len(tokens), CACHED):
+            part = slice(i, i + CACHED)
+            first, _, odds, _ = self.steps(leaf[part], [f[part] for f in features])
+            if len(odds):
+                x = np.minimum(odds, 0)
+                x -= np.log1p(np.exp(-np.abs(odds)))
+                out[part] = np.add.reduceat(x, first)
         return out, rare
 
-    def learn(self, tokens: np.ndarray, place: np.ndarray, seen: np.ndarray, met: np.ndarray, rate: float = RATE) -> None:
-        """One Adagrad step of the weights for every AT_ONCE softmaxes of the tokens.
-
-        ``seen`` has the squares of the gradients so far, ``met`` how often each row was met.
-        """
+    def learn(self, tokens: np.ndarray, place: np.ndarray, seen: np.ndarray, rate: float = RATE) -> None:
+        """One Adagrad step of the weights for every AT_ONCE tokens; ``seen`` has the squares of the gradients so far."""
         leaf, _ = self.find(tokens)
         features = context_features(tokens, place)
-        for at, node, slot in self.steps(leaf):
-            rows = self.rows(features, at, node)
-            err = np.exp(self.step_logs(rows, node))
-            np.negative(err, out=err)
-            err[np.arange(len(at)), slot] += 1
-            rows = rows.ravel()
-            order = np.argsort(rows, kind="stable")
-            ordered = rows[order]
-            first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-            g = np.add.reduceat(err[order % len(at)], first, axis=0)
-            row = ordered[first]
-            met[row] += np.diff(np.append(first, len(ordered)))
-            s = seen[row] + g * g
-            seen[row] = s
-            self.weights[row] += rate * g / (np.sqrt(s) + DAMP)
+        for i in range(0, len(tokens), AT_ONCE):
+            met, errs = [], []
+            for j in range(i, min(i + AT_ONCE, len(tokens)), CACHED):
+                part = slice(j, min(j + CACHED, i + AT_ONCE))
+                _, places, odds, sign = self.steps(leaf[part], [f[part] for f in features])
+                np.exp(np.minimum(odds, 80, out=odds), out=odds)
+                odds += 1
+                met.append(places.ravel())
+                errs.append(np.tile(sign / odds, FEATURES))  # towards the side taken, by what was missing to certainty
+            g = np.bincount(np.concatenate(met), weights=np.concatenate(errs), minlength=len(seen)).astype(np.float32)
+            seen += g * g
+            g *= np.float32(rate)
+            g /= np.sqrt(seen) + np.float32(DAMP)
+            self.weights += g
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -197,47 +223,50 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
 
 def _averaged(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The moves of a slice of rows, averaged by how often each row was met."""
+    """The moves of a slice of the weights, averaged by the squares of their gradients."""
     total, weight = 0.0, 0.0
-    for move, met in zip(pdf["move"], pdf["met"]):
-        m = np.frombuffer(met, np.float32)
-        weight = weight + m
-        total = total + np.frombuffer(move, np.float16).astype(np.float32).reshape(len(m), -1) * m[:, None]
-    mean = total / np.maximum(weight, 1)[:, None]
-    return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "part": pdf["part"].iloc[:1], "move": [mean.astype(np.float16).tobytes()],
-                         "met": [weight.astype(np.float32).tobytes()]})
+    for move, seen in zip(pdf["move"], pdf["seen"]):
+        w = np.frombuffer(seen, np.float16).astype(np.float32)
+        weight = weight + w
+        total = total + np.frombuffer(move, np.float16).astype(np.float32) * w
+    return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "part": pdf["part"].iloc[:1],
+                         "move": [(total / np.maximum(weight, 1e-12)).astype(np.float16).tobytes()], "seen": [_half(weight)]})
+
+
+def _half(x: np.ndarray) -> bytes:
+    return np.minimum(x, 6e4).astype(np.float16).tobytes()
 
 
-_MOVES = "slice int, part long, move binary, met binary"
+_MOVES = "slice int, part long, move binary, seen binary"
 
 
 def moved(docs: DataFrame, model: MaxEnt, rate: float) -> np.ndarray | None:
-    """How far the rows of weights move on ``docs``: in every task from ``model`` on, averaged over the tasks."""
+    """How far the weights move on ``docs``: in every task from ``model`` on, averaged over the tasks."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches):
         m = sent.value
         start = m.weights
         m.weights = start.copy()  # the worker may serve another task of this round
-        seen, met, any_token = np.zeros_like(start), np.zeros(len(start), np.float32), False
+        seen, any_token = np.zeros_like(start), False
         for batch in batches:
             for _, w in words_of(batch, lower=True):
                 tokens, _, place = token_hashes(w)
-                m.learn(tokens, place, seen, met, rate)
+                m.learn(tokens, place, seen, rate)
                 any_token = True
         move, m.weights = (m.weights - start).astype(np.float16), start
         if any_token:
             part = TaskContext.get().partitionId()
-            for k, (a, b) in enumerate(zip(np.array_split(move, SLICES), np.array_split(met, SLICES))):
+            for k, (a, b) in enumerate(zip(np.array_split(move, SLICES), np.array_split(seen, SLICES))):
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.int64()), pa.array([a.tobytes()], pa.binary()),
-                                                  pa.array([b.tobytes()], pa.binary())], ["slice", "part", "move", "met"])
+                                                  pa.array([_half(b)], pa.binary())], ["slice", "part", "move", "seen"])
 
     rows = _texts(docs).mapInArrow(scan, _MOVES)
     for shift in (5, 5, 40):
         rows = rows.withColumn("part", F.shiftright("part", shift)).groupBy("slice", "part").applyInPandas(_averaged, _MOVES)
     got = sorted(rows.select("slice", "move").collect())  # SLICES rows, the size of the model
     sent.unpersist()
-    return np.concatenate([np.frombuffer(r["move"], np.float16) for r in got]).reshape(model.weights.shape) if got else None
+    return np.concatenate([np.frombuffer(r["move"], np.float16) for r in got]) if got else None
 
 
 def train(docs: DataFrame, model: MaxEnt, rounds: int = ROUNDS, rate: float = RATE) -> MaxEnt:
@@ -257,14 +286,14 @@ def fitted(counts: DataFrame) -> tuple[MaxEnt, np.ndarray, np.ndarray, int, int]
     frequent = F.col("c") * FREQUENT >= n
     top = counts.where(frequent).toArrow()
     hashes, c = top.column(0).to_numpy().view(U), top.column(1).to_numpy()
-    rare_bits, row_bits = bits_for(v)
+    rare_bits, weight_bits = bits_for(v)
     rare = np.zeros((2, 1 << rare_bits))
     of_class = F.shiftrightunsigned("hash", 64 - rare_bits)
     for r in counts.where(~frequent).groupBy(of_class.alias("k")).agg(F.sum("c").alias("c"), F.count("*").alias("d")).collect():
         rare[:, r["k"]] = r["c"], r["d"]
     order = np.argsort(hashes)
     hashes, c = hashes[order], c[order]
-    return MaxEnt.of_counts(hashes, c, rare[0], rare[1], row_bits), hashes, c, n, v
+    return MaxEnt.of_counts(hashes, c, rare[0], rare[1], weight_bits), hashes, c, n, v
 
 
 def lm_scored(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
