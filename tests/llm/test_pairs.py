@@ -140,3 +140,18 @@ def test_dedup_stages_keep_one_row_of_repeated_and_null_ids(spark):
     nearly = jaccard.near_distinct_documents(docs)
     assert nearly.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in nearly.collect()), key=str) == sorted([(3, copy), (7, unique), (None, lone)], key=str)
+
+
+def test_texts_built_to_collide_stay_apart(spark):
+    """Thue-Morse words, and texts in that order of two words, are different texts for every operator."""
+    def order(n, a, b):
+        return [b if bin(i).count("1") % 2 else a for i in range(n)]
+
+    tail = " ".join(f"w{i}" for i in range(20))
+    texts = ["".join(order(1024, "a", "b")) + " x y", "".join(order(1024, "b", "a")) + " x y",
+             " ".join(order(1024, "p", "q")), " ".join(order(1024, "q", "p")) + " " + tail, tail]
+    docs = H.documents(spark, [(i, t, None, None, None, None, None, None) for i, t in enumerate(texts)])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs, words=3, num=9, den=10).collect()}
+    assert got == H.components(dict(enumerate(texts)), 3, 9, 10)
+    out = substrings.without_repeats(docs)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in out.collect()} == H.without_repeats(dict(enumerate(texts)))

@@ -41,3 +41,18 @@ def test_only_ascii_case_is_folded():
     w = words("Ab É é ab", lower=True)
     assert w.hash[0] == w.hash[3] and w.hash[1] != w.hash[2]
     assert len(set(words("Ab aB ab", lower=False).hash.tolist())) == 3
+
+
+def test_filter_grows_with_the_values_and_loses_none(spark):
+    from wattframe.llm.common import bloom, bloom_has
+
+    rng = np.random.default_rng(3)
+    sizes = []
+    for n in (0, 10, 20_000):
+        held, others = rng.integers(-2**62, 2**62, n), rng.integers(-2**62, 2**62, 20_000)
+        values = [(int(x),) for x in [*held, *held[:5]]] + [(None,)]
+        bits = np.frombuffer(bloom(spark.createDataFrame(values, "v long"), "v").value, dtype=np.uint8)
+        sizes.append(len(bits))
+        assert bloom_has(bits, held.astype(np.int64).view(np.uint64)).all()
+        assert bloom_has(bits, others.view(np.uint64)).mean() < 0.05
+    assert sizes[2] >= 4 * sizes[1]

@@ -60,33 +60,39 @@ def crc_mod(column, n: int):
     return F.crc32(column.cast("string")) % n
 
 
-def bloom(df: DataFrame, column: str, log2_bits: int = 23, probes: int = 3):
-    """Bloom filter of a long column as a broadcast of fixed size (2**log2_bits bits).
+#: Slices of a filter: a value's slice is its remainder, so that slices are filled by tasks of their own.
+_SLICES = 61
 
-    The size is a parameter and does not depend on the data: with too many values the filter
-    lets more rows pass, never fewer, and whoever uses it checks exactly afterwards.
+
+def bloom(df: DataFrame, column: str, max_bits: int = 29, probes: int = 3):
+    """Bloom filter of a long column as a broadcast: about 12 bits for each distinct value.
+
+    At most 2**max_bits bits (a bound on the broadcast, met beyond 40 million values): with more
+    values the filter lets more rows pass, never fewer, and whoever uses it checks exactly
+    afterwards. The values are dealt out by slice, each task fills the slices that it gets from its
+    stream of rows, and only the slices reach the driver.
     """
-    def fill(batches):
-        bits = np.zeros(1 << (log2_bits - 3), dtype=np.uint8)
-        for b in batches:
-            v = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for i in bloom_positions(v, log2_bits, probes):
-                np.bitwise_or.at(bits, i >> np.uint64(3), (1 << (i & np.uint64(7))).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], ["bits"])
+    values = written(df.select(F.col(column).cast("long").alias("v")).where("v is not null").distinct(), "filter-values")
+    log2_bits = min(max((12 * values.count() // _SLICES).bit_length(), 10), max_bits - 6)
 
-    def merge(batches):
-        out = np.zeros(1 << (log2_bits - 3), dtype=np.uint8)
+    def fill(batches):
+        slices: dict[int, np.ndarray] = {}
         for b in batches:
-            for x in b.column(0):
-                out |= np.frombuffer(x.as_py(), dtype=np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["bits"])
+            v = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for s in np.unique(v % _SLICES).tolist():
+                bits = slices.setdefault(s, np.zeros(1 << (log2_bits - 3), dtype=np.uint8))
+                for i in _probes(v[v % _SLICES == s].view(np.uint64), log2_bits, probes):
+                    np.bitwise_or.at(bits, i >> np.uint64(3), (1 << (i & np.uint64(7))).astype(np.uint8))
+        for s, bits in slices.items():
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([bits.tobytes()], pa.binary())], ["s", "bits"])
 
-    parts = df.select(column).where(F.col(column).isNotNull()).coalesce(12).mapInArrow(fill, "bits binary")
-    rows = parts.coalesce(1).mapInArrow(merge, "bits binary").collect()
-    return df.sparkSession.sparkContext.broadcast(bytes(rows[0][0]))
+    dealt = values.repartition(_SLICES, F.pmod("v", F.lit(_SLICES)))
+    found = {r["s"]: bytes(r["bits"]) for r in dealt.mapInArrow(fill, "s int, bits binary").collect()}
+    empty = bytes(1 << (log2_bits - 3))
+    return df.sparkSession.sparkContext.broadcast(b"".join(found.get(s, empty) for s in range(_SLICES)))
 
 
-def bloom_positions(values: np.ndarray, log2_bits: int, probes: int = 3) -> list[np.ndarray]:
+def _probes(values: np.ndarray, log2_bits: int, probes: int) -> list[np.ndarray]:
     from wattframe.llm.textops import mix
 
     h = mix(values)
@@ -95,8 +101,10 @@ def bloom_positions(values: np.ndarray, log2_bits: int, probes: int = 3) -> list
 
 
 def bloom_has(bits: np.ndarray, values: np.ndarray, probes: int = 3) -> np.ndarray:
-    log2_bits = (len(bits) * 8).bit_length() - 1
+    """Whether the filter may hold each of the values (unsigned, of the column's 64 bits)."""
+    of_slice = len(bits) // _SLICES
+    at = (values.view(np.int64) % _SLICES).astype(np.uint64) * np.uint64(of_slice)
     out = np.ones(len(values), dtype=bool)
-    for i in bloom_positions(values, log2_bits, probes):
-        out &= (bits[i >> np.uint64(3)] >> (i & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    for i in _probes(values, (of_slice * 8).bit_length() - 1, probes):
+        out &= (bits[at + (i >> np.uint64(3))] >> (i & np.uint64(7)).astype(np.uint8)) & 1 == 1
     return out

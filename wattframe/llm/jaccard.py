@@ -33,7 +33,6 @@ U = np.uint64
 BLOCK_DOCS = 256          # members of a block, about
 BLOCK_TOKENS = 1 << 18    # tokens of a block, about (one longer document is a block of its own)
 QUERY_DOCS = 256          # queries that one task holds against a block, about
-PART_BITS = 27            # of the Bloom filter of shared parts: 16 MB, whatever the input
 CLASS_RATIO = 1.6         # growth of the set sizes that share one way of cutting
 SIGNATURE_BITS = 48       # of a part's hash; parts that meet by chance are told apart by the exact overlap
 RANGE_TOKENS = 1 << 19    # tokens for each range of signatures, about
@@ -318,7 +317,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 4, den: int =
     # Parts that more than one document holds; only rows that can be of these are dealt out again.
     n_tokens = light.agg(F.sum("n_shingles")).first()[0] or 0
     shared = written(_shared_signatures(docs, words, cuts, n_tokens), "shared-parts")
-    held = signature_rows(docs, words, cuts, bloom(shared, "signature", PART_BITS)).join(shared, "signature")
+    held = signature_rows(docs, words, cuts, bloom(shared, "signature")).join(shared, "signature")
     only = reps.select(F.col("node").alias("doc_id"))
     held = written(held.join(only, "doc_id", "left_semi").withColumnRenamed("doc_id", "node"), "held-parts")
     # Again without the copies: parts of two representatives at least, the smallest is the pivot.

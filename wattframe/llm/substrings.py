@@ -21,7 +21,6 @@ from wattframe.llm.textops import Words, chunks, mix, signed
 
 U = np.uint64
 WINDOW = 13
-BLOOM_BITS = 27  # 16 MB for each Python worker, whatever the input
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -102,7 +101,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame,
     rows = written(level_one(docs, window), "level-one")
     short = rows.select("key", F.explode("seeds").alias("seed")).groupBy("seed").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
     short = written(short.where("lo != hi").select("seed"), "short-repeats")
-    full = written(level_two(docs, window, bloom(short, "seed", BLOOM_BITS)), "level-two")
+    full = written(level_two(docs, window, bloom(short, "seed")), "level-two")
     per = full.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     firsts = written(per.where("first != last").select("hash", "first"), "full-repeats")
     # Both sides come from tables: adaptive execution splits the partition of a frequent window.
@@ -130,7 +129,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     its own text. Kept words are joined by one space.
     """
     gone = written(removals(docs, window), "removals")
-    touched = bloom(gone, "doc_id", BLOOM_BITS - 2)
+    touched = bloom(gone, "doc_id")
 
     def split(batches, touched_ones):
         bits = np.frombuffer(touched.value, dtype=np.uint8)
