@@ -152,6 +152,6 @@ def test_texts_built_to_collide_stay_apart(spark):
              " ".join(order(1024, "p", "q")), " ".join(order(1024, "q", "p")) + " " + tail, tail]
     docs = H.documents(spark, [(i, t, None, None, None, None, None, None) for i, t in enumerate(texts)])
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs, words=3, num=9, den=10).collect()}
-    assert got == H.components(dict(enumerate(texts)), 3, 9, 10)
+    assert got == H.components(list(enumerate(texts)), 3, 9, 10)
     out = substrings.without_repeats(docs)
-    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in out.collect()} == H.without_repeats(dict(enumerate(texts)))
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in out.collect()} == H.without_repeats(list(enumerate(texts)))
