@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattframe import fixtures as fx
-from wattframe.constants import FUEL_MAPPING_ROWS, MERGE_CUTOFF, MERGE_OVERLAP_DAYS, REPORT_RANGE, REPORT_RANGES
+from wattframe.constants import FUEL_MAPPING_ROWS, HISTORY_UNITS, MERGE_CUTOFF, MERGE_OVERLAP_DAYS, REPORT_RANGE, REPORT_RANGES
 from wattframe.functions.geo import haversine_km
 from wattframe.functions.text import rename_snake_case
 from wattframe.functions.time import parse_timestamp, settlement_day
@@ -29,7 +29,8 @@ from wattframe.plans import sql as S
 from wattframe.plans import views as V
 from wattframe.schemas import CAPACITY_FEED, FUEL_MAPPING, GENERATION_COLUMNS, GENERATION_FEED, PARTITION_COLUMN, UNIT_INFO_FEED
 from wattframe.session import scratch_dir
-from wattframe.sources.files import read_csv, read_feed_json, stored_days
+from wattframe.sources import buckets as B
+from wattframe.sources.files import read_csv, read_feed_json, stored_days, table_files
 from wattframe.sources.inline import inline_table
 from wattframe.sources.json_arrays import read_json_array
 from wattframe.sources.ledger import loaded_days
@@ -132,6 +133,37 @@ def _view360_sql(spark, sf):
     return spark.sql(S.generation_360_view_sql("wt_"))
 
 
+def _view360_clustered(spark, sf):
+    """Facts by month and bucket of units, the profile in the same buckets: joined without an exchange."""
+    paths = {n: scratch_dir(spark, f"clustered-{n}") for n in ("generation", "unit-profile")}
+    facts = fx.generation(spark, sf)
+    n = B.buckets_for(table_files(spark, f"{sf}/lineitem.parquet").agg(F.sum("length")).first()[0])
+    B.write_clustered(facts, "wc_generation", paths["generation"], n)
+    B.write_bucketed(unit_dim(fx.unit_dims(spark, sf)), "wc_unit_profile", paths["unit-profile"], n)
+    return V.generation_360_view_clustered(
+        B.clustered(spark, "wc_generation").select(*facts.columns), spark.table("wc_unit_profile"), B.hot_units(spark, "wc_generation"))
+
+
+def _unit_history(spark, sf):
+    path = scratch_dir(spark, "history")
+    write_days(fx.generation(spark, sf), path)
+    return V.unit_history(spark.read.parquet(path), HISTORY_UNITS).select(*GENERATION_COLUMNS)
+
+
+def _fuel_resolution_sql(spark, sf):
+    S.register_views(fx.generation(spark, sf), fx.unit_dims(spark, sf), prefix="wf_")
+    S.create_functions(spark, "wf_")
+    return spark.sql(S.fuel_resolution_sql("wf_"))
+
+
+def _haversine_sql(spark, sf):
+    fx.plant_location_raw(spark, sf).createOrReplaceTempView("wf_sites")
+    fx.county_points(spark, sf).createOrReplaceTempView("wf_counties")
+    S.create_functions(spark, "wf_")
+    return spark.sql("""SELECT dictionary_id, c.name AS county, round(wf_haversine_km(s.latitude, s.longitude, c.lat, c.lon), 6) AS distance_km
+        FROM wf_sites AS s LEFT JOIN wf_counties AS c ON c.ord.k0 = s.nation_key""")
+
+
 # --- cleaning and parsing -------------------------------------------------------------
 
 def _clean_generation(spark, sf):
@@ -399,9 +431,13 @@ QUERIES: dict[str, Query] = {
     "generation_360_view": _view360,
     "generation_360_view_literal": _view360_literal,
     "generation_360_view_latest": _view360_latest,
+    "generation_360_view_clustered": _view360_clustered,
+    "unit_history": _unit_history,
     # SQL over registered views (S6 + C7-C9 as statements)
     "generation_360_view_sql": _view360_sql,
     "daily_generation_by_unit_sql": _sql_query(S.daily_generation_by_unit_sql, "daily_generation_mwh"),
+    "fuel_resolution_sql": _fuel_resolution_sql,
+    "haversine_distance_sql": _haversine_sql,
     "county_top_source_sql": _sql_query(S.county_top_source_sql, "total_daily_generation_mwh"),
     # clean / parse
     "clean_generation": _clean_generation,

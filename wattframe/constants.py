@@ -72,3 +72,4 @@ MERGE_OVERLAP_DAYS = 2
 REPORT_RANGE = ("1995-03-01", "1996-06-30")
 # Inclusive; within a month, across years, from the first day of a month with one side open.
 REPORT_RANGES = (("1995-03-01", "1996-06-30"), ("1997-02-10", "1997-02-17"), ("1998-06-01", None), (None, "1994-12-31"))
+HISTORY_UNITS = ("T_2", "IE41", "T_77")

@@ -162,28 +162,23 @@ def capacity_latest(capacity: DataFrame) -> DataFrame:
     )
 
 
-def capacity_intervals(capacity: DataFrame) -> DataFrame:
-    """Capacity versions with the time until which each is in force (NULL: still).
-
-    Of versions with one ``effective_from`` the later publication counts, then the larger
-    capacity, then the greater type. Versions without ``effective_from`` are never in force.
-    """
-    best = F.max(F.struct("publish_time", "installed_capacity", "psr_type")).alias("v")
-    versions = capacity.where(F.col("effective_from").isNotNull()).groupBy("bm_unit", "effective_from").agg(best)
-    until = F.lead("effective_from").over(Window.partitionBy("bm_unit").orderBy("effective_from"))
-    return versions.select("bm_unit", "effective_from", "v.publish_time", "v.psr_type", "v.installed_capacity", until.alias("until"))
-
-
 def capacity_as_of(unit_days: DataFrame, capacity: DataFrame, day_col: str = "settlement_date") -> DataFrame:
     """For each (bm_unit, day) the capacity version in force: the greatest ``effective_from <= day``
-    (ties: later publish_time, larger capacity).
+    (ties: later publish_time, larger capacity, greater type, NULL lowest).
 
-    ``unit_days`` should be distinct (bm_unit, day) pairs. Validity intervals do not overlap, so a
-    unit-day meets one version at most and nothing is aggregated after the join.
+    ``unit_days`` should be distinct (bm_unit, day) pairs; a repeated pair is answered as often. A sweep:
+    versions and days of a unit lie in one order of time and every day takes the last version before
+    it, so that a long history costs its sort and no day is compared with the versions that it does not
+    take. Versions without ``effective_from`` or unit are never in force; a day or a unit of NULL has none.
     """
-    u, c = unit_days.alias("u"), capacity_intervals(capacity).alias("c")
-    day = F.col(f"u.{day_col}")
-    joined = u.join(c, (F.col("u.bm_unit") == F.col("c.bm_unit")) & (F.col("c.effective_from") <= day)
-                    & (F.col("c.until").isNull() | (day < F.col("c.until"))), "left")
-    return joined.select(F.col("u.bm_unit").alias("bm_unit"), day.alias(day_col), "c.effective_from", "c.publish_time",
-                         "c.psr_type", "c.installed_capacity")
+    version = ("effective_from", "publish_time", "psr_type", "installed_capacity")
+    versions = capacity.where(F.col("effective_from").isNotNull() & F.col("bm_unit").isNotNull()).select(
+        "bm_unit", F.col("effective_from").alias("_at"), F.lit(None).cast(unit_days.schema[day_col].dataType).alias("_day"),
+        F.lit(False).alias("_asks"), F.struct(*version).alias("_version"))
+    none = F.lit(None).cast(versions.schema["_version"].dataType)
+    asked = unit_days.select("bm_unit", F.col(day_col).alias("_at"), F.col(day_col).alias("_day"), F.lit(True).alias("_asks"), none.alias("_version"))
+    in_time = Window.partitionBy("bm_unit").orderBy(
+        "_at", "_asks", "_version.publish_time", "_version.installed_capacity", "_version.psr_type"
+    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = versions.unionByName(asked).withColumn("_version", F.last("_version", ignorenulls=True).over(in_time))
+    return swept.where("_asks").select("bm_unit", F.col("_day").alias(day_col), *[F.col(f"_version.{c}") for c in version])

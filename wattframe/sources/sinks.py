@@ -23,6 +23,7 @@ def write_days(
     partition_col: str = PARTITION_COLUMN,
     cluster_by: tuple[str, ...] = ("bm_unit",),
     rebalance: bool = True,
+    lookup: tuple[str, ...] = ("bm_unit",),
 ) -> None:
     """Write ``df`` into ``path`` partitioned by day, replacing the days present as a whole.
 
@@ -31,13 +32,15 @@ def write_days(
     partitions are not put together again: creating a day's file costs more than a task. Pass
     ``rebalance=False`` when ``df`` is already day-aligned (a row-wise transform of a scan of a
     day-partitioned table): each task then writes the day it read, with no shuffle. Within a
-    file rows are sorted by unit so Parquet min/max statistics prune unit filters.
+    file rows are sorted by unit so that the statistics of its row groups and pages prune unit filters;
+    columns of ``lookup`` get a Bloom filter where their dictionary does not fit (see :func:`lookup_options`).
     """
     keys = [c for c in cluster_by if c in df.columns and c != partition_col]
     if rebalance:
         df = df.hint("rebalance", partition_col)
     out = df.sortWithinPartitions(partition_col, *keys)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
+    writer = writer.options(**lookup_options(*[c for c in lookup if c in df.columns]))
     conf, setting = df.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.enabled"
     before = conf.get(setting)
     conf.set(setting, "false")
@@ -47,6 +50,16 @@ def write_days(
         conf.set(setting, before)
 
 
+def lookup_options(*columns: str) -> dict[str, str]:
+    """Parquet options for columns that are looked up by value.
+
+    A row group whose dictionary or Bloom filter does not hold the value is not read. The filter is
+    written only for column chunks that outgrew their dictionary, and its size follows their values.
+    """
+    bloom = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return bloom | {"parquet.bloom.filter.adaptive.enabled": "true"} if columns else {}
+
+
 def merge_days(batch: DataFrame, path: str, key: list[str], order: tuple[str, ...] = (), drop: tuple[str, ...] = (),
                partition_col: str = PARTITION_COLUMN, version: str | None = None) -> list:
     """Merge ``batch`` into the day-partitioned table at ``path`` by ``key``; returns the touched days.
