@@ -1,12 +1,10 @@
 """Document fingerprints as threshold-scaled sketches, in DataFrame functions only.
 
-A sketch retains every hash of a five-word shingle below one fixed fraction of the hash range, for
-documents of any length. Sketches of parts therefore merge by union to the sketch of the whole, and
-containment and Jaccard estimates hold between very unequal documents. So that a short or repetitive
-text does not retain too little, the ``LEAST`` smallest hashes are retained as well, whatever they are.
-That does not depend on a count of anything else: the smallest of a union are among the smallest of
-its parts, so merging stays exact at every size. Two sketches are compared below the threshold up to which
-both hold every hash.
+A sketch retains every hash of a five-word shingle below one fixed fraction of the hash range, and the
+4,096 smallest hashes whatever they are, for documents of any length. The smallest of a union are among
+the smallest of its parts, so sketches merge to exactly the sketch of the joined shingles at every size, and
+containment and Jaccard estimates hold between very unequal documents: two sketches are compared below
+the bound up to which both hold every hash. Documents of up to 4,096 distinct shingles retain all of them.
 """
 
 from __future__ import annotations
@@ -17,78 +15,73 @@ from pyspark.sql import functions as F
 from wattframe.llm.common import WORD_BREAK, written
 
 SHINGLE = 5
-BITS = 32         # of a hash; eight hex digits in the fingerprint
-FRACTION = 2      # one hash in FRACTION is retained
-LEAST = 128       # and the smallest ones, at least so many
-THRESHOLD = (1 << BITS) // FRACTION
+FRACTION = 8      # one hash in FRACTION is retained
+SMALL = 4096      # and the smallest ones, so many at least: shorter documents retain all
+LOWEST = -(1 << 63)
 
 
-def with_sketch(df: DataFrame, text: str, sketch: str) -> DataFrame:
-    """Adds the sketch of a text column: its sorted distinct retained hashes, none for a text without words."""
+def with_sketch(df: DataFrame, text: str, scale: str, sketch: str) -> DataFrame:
+    """Adds the sorted distinct retained hashes of a text column, and ``scale``: 1 if these are all, else ``FRACTION``."""
     words, every = f"{sketch}_words", f"{sketch}_every"
     squeezed = F.btrim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), WORD_BREAK + "+", " "))
     df = df.withColumn(words, F.when(squeezed == "", F.array().cast("array<string>")).otherwise(F.split(squeezed, " ")))
     w = F.col(words)
-    cut = lambda h: F.shiftrightunsigned(h, 64 - BITS)
     hashes = F.when(F.size(w) >= SHINGLE, F.transform(
-        F.sequence(F.lit(0), F.size(w) - SHINGLE), lambda i: cut(F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)])))) \
-        .when(F.size(w) > 0, F.array(cut(F.xxhash64(w)))).otherwise(F.array().cast("array<long>"))
+        F.sequence(F.lit(0), F.size(w) - SHINGLE), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))) \
+        .when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<long>"))
+    # The number of distinct hashes decides, not the length: a repetitive text has few.
     df = df.withColumn(every, F.sort_array(F.array_distinct(hashes)))
-    return df.withColumn(sketch, retained(F.col(every))).drop(words, every)
+    df = df.withColumn(scale, F.when(F.size(every) <= SMALL, 1).otherwise(FRACTION))
+    return df.withColumn(sketch, F.when(F.col(scale) == 1, F.col(every)).otherwise(retained(F.col(every)))).drop(words, every)
 
 
-def retained(hashes: Column) -> Column:
-    """Of sorted distinct hashes those that a sketch retains."""
-    return F.filter(hashes, lambda h, i: (h < F.lit(THRESHOLD)) | (i < F.lit(LEAST)))
-
+def _below(h: Column) -> Column:
+    return h < F.lit(LOWEST + (1 << 64) // FRACTION)
 
-def complete_below(sketch: Column) -> Column:
-    """The bound below which a sketch holds every hash of its text.
-
-    With fewer hashes than ``LEAST`` that is all of them; else everything up to the greatest retained one, or
-    below the threshold.
-    """
-    return F.when(F.size(sketch) < LEAST, F.lit(1 << BITS)).otherwise(
-        F.greatest(F.lit(THRESHOLD), F.element_at(sketch, -1) + 1))
 
+def retained(hashes: Column) -> Column:
+    """Of sorted distinct hashes those that a sketch retains."""
+    return F.filter(hashes, lambda h, i: _below(h) | (i < F.lit(SMALL)))
 
-def _comparable(a: Column, b: Column) -> tuple[Column, Column]:
-    """Both sketches below the bound up to which both are complete."""
-    def below(sketch: Column, other: Column) -> Column:
-        inside = F.size(sketch) == 0
-        whole = inside | (F.element_at(sketch, F.when(inside, F.lit(1)).otherwise(F.lit(-1))) < complete_below(other))
-        return F.when(whole, sketch).otherwise(F.filter(sketch, lambda h: h < complete_below(other)))
 
-    return below(a, b), below(b, a)
+def comparable(scale: Column, sketch: Column, other_scale: Column, other: Column) -> Column:
+    """The hashes of ``sketch`` up to the bound up to which ``other`` holds every hash of its text."""
+    bound = F.greatest(F.lit(LOWEST + (1 << 64) // FRACTION - 1), F.element_at(other, -1))
+    return F.when(other_scale == 1, sketch).otherwise(F.filter(sketch, lambda h: h <= bound))
 
 
-def likeness(a: Column, b: Column) -> Column:
+def likeness(scale_a: Column, a: Column, scale_b: Column, b: Column) -> Column:
     """Jaccard estimate of two sketches; 1 if both are of texts without words, 0 if nothing is left to compare.
 
-    Only a text without words has an empty sketch.
+    A text has no words if its sketch is empty although all hashes are retained.
     """
-    x, y = _comparable(a, b)
+    x, y = comparable(scale_a, a, scale_b, b), comparable(scale_b, b, scale_a, a)
     both = F.size(F.array_intersect(x, y))
     union = F.size(x) + F.size(y) - both
-    wordless = (F.size(a) == 0) & (F.size(b) == 0)
+    wordless = (F.greatest(scale_a, scale_b) == 1) & (F.size(a) == 0) & (F.size(b) == 0)
     return F.when(wordless, F.lit(1.0)).when(union > 0, both / union).otherwise(F.lit(0.0))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Estimate of the share of a's shingles that b holds; null if a has none."""
-    x, y = _comparable(a, b)
+def containment(scale_a: Column, a: Column, scale_b: Column, b: Column) -> Column:
+    """Estimate of the share of a's shingles that b holds; null if no hash of a is left."""
+    x, y = comparable(scale_a, a, scale_b, b), comparable(scale_b, b, scale_a, a)
     return F.when(F.size(x) > 0, F.size(F.array_intersect(x, y)) / F.size(x))
 
 
-def merged(a: Column, b: Column) -> Column:
+def merged(scale_a: Column, a: Column, scale_b: Column, b: Column) -> Column:
     """The sketch of the shingles of both texts, exactly as if they had been sketched together."""
     return retained(F.sort_array(F.array_union(a, b)))
 
 
-def as_text(sketch: Column) -> Column:
-    """The fingerprint as a string: the number of hashes, then each in hex of fixed width."""
-    return F.concat(F.size(sketch).cast("string"), F.lit(":"), F.array_join(
-        F.transform(sketch, lambda h: F.lpad(F.hex(h), BITS // 4, "0")), ""))
+def merged_scale(scale_a: Column, a: Column, scale_b: Column, b: Column) -> Column:
+    """The scale beside :func:`merged`."""
+    all_held = (scale_a == 1) & (scale_b == 1) & (F.size(F.array_union(a, b)) <= SMALL)
+    return F.when(all_held, 1).otherwise(FRACTION)
+
+
+def as_text(scale: Column, sketch: Column) -> Column:
+    """The fingerprint as a string: the scale, then the hashes in hex."""
+    return F.concat(scale.cast("string"), F.lit(":"), F.array_join(F.transform(sketch, F.hex), ","))
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
@@ -134,12 +127,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     both = both.withColumn("edited", F.expr(
         f"concat(left(text, cast(n_chars as int) - {quarter}), left(coalesce(given, ''), {quarter}))"))
     both = both.withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256))
-    both = with_sketch(with_sketch(both, "text", "sketch"), "edited", "edited_sketch")
-    both = with_sketch(both, "given", "next_sketch")
+    both = with_sketch(with_sketch(both, "text", "scale", "sketch"), "edited", "edited_scale", "edited_sketch")
+    both = with_sketch(both, "given", "next_scale", "next_sketch")
     c = F.col
     return both.select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
-        as_text(c("sketch")).alias("fingerprint"),
-        as_text(c("edited_sketch")).alias("edited_fingerprint"),
-        likeness(c("sketch"), c("edited_sketch")).alias("near_edited"),
-        F.when(c("given").isNull(), F.lit(0.0)).otherwise(likeness(c("sketch"), c("next_sketch"))).alias("near_next"))
+        as_text(c("scale"), c("sketch")).alias("fingerprint"),
+        as_text(c("edited_scale"), c("edited_sketch")).alias("edited_fingerprint"),
+        likeness(c("scale"), c("sketch"), c("edited_scale"), c("edited_sketch")).alias("near_edited"),
+        F.when(c("given").isNull(), F.lit(0.0)).otherwise(
+            likeness(c("scale"), c("sketch"), c("next_scale"), c("next_sketch"))).alias("near_next"))
