@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wattframe.functions.fuel import resolve_fuel_attribute
 from wattframe.functions.geo import haversine_km
-from wattframe.operators.dims import capacity_as_of, unit_dim
+from wattframe.operators.dims import capacity_as_of_sweep, unit_dim
 from wattframe.plans import sql as S
 from wattframe.plans import views as V
 from wattframe.session import scratch_dir
@@ -112,7 +112,7 @@ def test_as_of_sweep_of_a_long_history(spark):
     versions += [(None, start, start, "Wind", 1.0), ("T_B", start, at(48), "Wind", 1.0)]
     days = [("T_A", at(24 * k)) for k in range(-2, 900)] + [("T_B", at(24)), ("T_B", at(48)), ("T_B", at(48)), ("T_C", at(0)), (None, at(99)), ("T_A", None)]
     cap = spark.createDataFrame(versions, "bm_unit string, publish_time timestamp, effective_from timestamp, psr_type string, installed_capacity double")
-    out = capacity_as_of(spark.createDataFrame(days, "bm_unit string, settlement_date timestamp"), cap)
+    out = capacity_as_of_sweep(spark.createDataFrame(days, "bm_unit string, settlement_date timestamp"), cap)
     assert "Join" not in _plan(out)
     low = lambda v: (v is not None, v if v is not None else 0)
     order = sorted((v for v in versions if v[0] == "T_A" and v[2]), key=lambda v: (v[2], low(v[1]), low(v[4]), (v[3] is not None, v[3] or "")))

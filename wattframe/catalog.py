@@ -20,7 +20,7 @@ from wattframe.functions.geo import haversine_km
 from wattframe.functions.text import rename_snake_case
 from wattframe.functions.time import parse_timestamp, settlement_day
 from wattframe.operators import clean
-from wattframe.operators.dims import capacity_as_of, capacity_latest, unit_dim
+from wattframe.operators.dims import capacity_as_of, capacity_as_of_sweep, capacity_latest, unit_dim
 from wattframe.operators.nearest import nearest_region
 from wattframe.plans import cumulative as C
 from wattframe.plans import incremental as inc
@@ -111,6 +111,10 @@ def _capacity_as_of(spark, sf):
     return capacity_as_of(V.unit_days(fx.generation(spark, sf)), fx.capacity(spark, sf))
 
 
+def _capacity_as_of_sweep(spark, sf):
+    return capacity_as_of_sweep(V.unit_days(fx.generation(spark, sf)), fx.capacity(spark, sf))
+
+
 # --- the same reports as Spark SQL over registered views ------------------------------
 
 def _sql_query(statement, *sums):
@@ -428,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "coordinate_fallback": _coordinate_fallback,
     "capacity_latest": _capacity_latest,
     "capacity_as_of": _capacity_as_of,
+    "capacity_as_of_sweep": _capacity_as_of_sweep,
     "generation_360_view": _view360,
     "generation_360_view_literal": _view360_literal,
     "generation_360_view_latest": _view360_latest,
