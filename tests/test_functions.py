@@ -8,6 +8,7 @@ from wattframe.functions import (
     explode_list,
     haversine_km,
     is_interconnector,
+    format_timestamp,
     parse_timestamp,
     settlement_day,
     snake_case,
@@ -85,3 +86,20 @@ def test_bad_timestamp_gives_null_not_error(spark):
     assert got[0] is None and got[2] is None
     assert got[1] is not None
     assert df.select(parse_timestamp(F.col("t")).alias("ts")).schema["ts"].dataType == T.TimestampNTZType()
+
+
+def test_parse_and_format_by_pattern(spark):
+    import datetime as dt
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([("31/03/2024 01:30", "20240331 0130+0200"), ("31/02/2024 01:30", "x"), (None, None), ("31/03/2024", "")],
+                                       "a string, b string")
+            ts = parse_timestamp(F.col("a"), "dd/MM/yyyy HH:mm")
+            rows = df.select(ts.alias("a"), parse_timestamp(F.col("b"), "yyyyMMdd HHmmxx").alias("b"), format_timestamp(ts, "yyyy/MM/dd HHmm").alias("c")).collect()
+            assert tuple(rows[0]) == (dt.datetime(2024, 3, 31, 1, 30), dt.datetime(2024, 3, 30, 23, 30), "2024/03/31 0130")
+            assert all(tuple(r) == (None, None, None) for r in rows[1:])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -5,6 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from wattframe.functions.geo import haversine_km
+from wattframe.operators import nearest
 from wattframe.operators.nearest import nearest_region, region_points
 
 
@@ -74,3 +75,23 @@ def test_haversine_symmetry(spark):
     x = df.select(haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("x"),
                   haversine_km(F.col("c"), F.col("d"), F.col("a"), F.col("b")).alias("y")).first()
     assert abs(x.x - x.y) < 1e-9
+
+
+def test_cells_follow_the_density_and_bound_the_pairs(spark):
+    k = F.col("id")
+    town = lambda n, seed: spark.range(n).select(
+        k.alias("ord"), k.cast("string").alias("name"), (F.lit(51.5) + F.rand(seed) / 50).alias("latitude"), (F.rand(seed + 1) / 30).alias("longitude"))
+    wide = spark.range(10000, 10100).select(
+        k.alias("ord"), k.cast("string").alias("name"), (F.rand(5) * 170 - 85).alias("latitude"), (F.rand(6) * 360 - 180).alias("longitude"))
+    same = spark.range(20000, 20500).select(k.alias("ord"), k.cast("string").alias("name"), F.lit(-30.0).alias("latitude"), F.lit(10.0).alias("longitude"))
+    r, _ = nearest.materialised(region_points(town(4000, 1).unionAll(wide).unionAll(same), "name", "ord"), "regions")
+    points, _ = nearest.materialised(town(600, 3).unionAll(wide).unionAll(same).select(F.col("ord").alias("id"), "latitude", "longitude"), "points")
+    cells, places = nearest.cell_tree(r)
+    per_leaf = places.groupBy("level", "cell").count().agg(F.max("count")).first()[0]
+    assert per_leaf <= nearest.CROWDED and places.count() == 4101
+    assert cells.where("leaf").agg(F.countDistinct("level")).first()[0] >= 3  # small cells in town, large ones elsewhere
+    coords = points.select(F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon")).distinct()
+    pairs = nearest.candidate_cells(coords, cells).join(places, ["level", "cell"])
+    assert pairs.count() <= coords.count() * 4 * nearest.CROWDED  # of 4,101 regions
+    both = [sorted(map(tuple, nearest_region(points, r, "region", distance_col="d", packed_regions=n).collect())) for n in (10000, 0)]
+    assert both[0] == both[1] and len(both[0]) == 1200

@@ -9,7 +9,7 @@ READ_ONLY_KEYS = [k for k in catalog.queries() if k not in (
     "json_roundtrip_generation", "csv_blank_join_keys", "incremental_merge", "partitioned_roundtrip",
     "incremental_daily_refresh", "stream_ingest_generation", "settlement_dates_present", "ingest_high_water_mark",
     "missing_settlement_dates_from_ledger", "incremental_merge_keyless", "county_top_source_incremental",
-    "county_top_source_by_ranges", "json_array_generation")]
+    "county_top_source_by_ranges", "json_array_generation", "stream_ingest_repeats")]
 
 
 def _plan(df):

@@ -18,10 +18,10 @@ from wattframe import fixtures as fx
 from wattframe.constants import FUEL_MAPPING_ROWS, HISTORY_UNITS, MERGE_CUTOFF, MERGE_OVERLAP_DAYS, REPORT_RANGE, REPORT_RANGES
 from wattframe.functions.geo import haversine_km
 from wattframe.functions.text import rename_snake_case
-from wattframe.functions.time import parse_timestamp, settlement_day
+from wattframe.functions.time import format_timestamp, parse_timestamp, settlement_day
 from wattframe.operators import clean
 from wattframe.operators.dims import capacity_as_of, capacity_as_of_sweep, capacity_latest, unit_dim
-from wattframe.operators.nearest import nearest_region
+from wattframe.operators.nearest import nearest_region, region_points
 from wattframe.plans import cumulative as C
 from wattframe.plans import incremental as inc
 from wattframe.plans import rankings as R
@@ -200,6 +200,16 @@ def _stream_ingest(spark, sf):
     return spark.read.parquet(table).select(*GENERATION_COLUMNS)
 
 
+def _stream_ingest_repeats(spark, sf):
+    """The same two runs with every record three times in its file; repeats are dropped in front of the merge."""
+    landing, table, ckpt = (scratch_dir(spark, n) for n in ("stream-landing", "stream-table", "stream-ckpt"))
+    loads = _loads(spark, sf).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    for load in (1, 2):
+        fx.as_feed(loads.where(F.col("load_id") == load)).write.mode("append").json(landing)
+        start_generation_ingest(spark, landing, table, ckpt, repeats_within="1 hour").awaitTermination()
+    return spark.read.parquet(table).select(*GENERATION_COLUMNS)
+
+
 def _capacity_clean(spark, sf):
     path = scratch_dir(spark, "capacity-json")
     write_json_lines(fx.capacity_feed(spark, sf), path)
@@ -221,6 +231,13 @@ def _parse_timestamps(spark, sf):
     return raw.select("o_orderkey", "raw_text", ts.alias("parsed_ts"), settlement_day(ts).alias("parsed_day"))
 
 
+def _timestamp_formats(spark, sf):
+    raw = fx.dated_orders(spark, sf)
+    ts = parse_timestamp(F.col("raw_text"), "dd/MM/yyyy HH:mm")
+    return raw.select("o_orderkey", "raw_text", ts.alias("parsed_ts"), format_timestamp(ts, "yyyyMMdd").alias("file_stamp"),
+                      format_timestamp(settlement_day(ts), "yyyy/MM/dd").alias("day_folder"))
+
+
 def _snake_case(spark, sf):
     return rename_snake_case(fx.generation_feed(spark, sf))
 
@@ -293,6 +310,13 @@ def _nearest_region(spark, sf):
     return out.withColumn("distance_km", F.round("distance_km", 6))
 
 
+def _nearest_in_crowds(spark, sf):
+    """The supplier nearest to each customer, through cells that follow the suppliers' density."""
+    suppliers = region_points(fx.crowded_points(spark, sf, "supplier", "s_suppkey"), "s_suppkey", "s_suppkey")
+    out = nearest_region(fx.crowded_points(spark, sf, "customer", "c_custkey"), suppliers, "supplier", distance_col="distance_km", small=False)
+    return out.withColumn("distance_km", F.round("distance_km", 6))
+
+
 def _plant_locations(spark, sf):
     return fx.plant_location(spark, sf)
 
@@ -449,9 +473,11 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip_generation": _json_roundtrip,
     "json_array_generation": _json_array,
     "stream_ingest_generation": _stream_ingest,
+    "stream_ingest_repeats": _stream_ingest_repeats,
     "capacity_clean": _capacity_clean,
     "capacity_publish_windows": _capacity_publish_windows,
     "parse_timestamps": _parse_timestamps,
+    "timestamp_formats": _timestamp_formats,
     "snake_case_columns": _snake_case,
     "unit_info_projection": _unit_info_projection,
     "plant_id_explode": _plant_id_explode,
@@ -464,6 +490,7 @@ QUERIES: dict[str, Query] = {
     # geo
     "haversine_distance": _haversine,
     "nearest_region": _nearest_region,
+    "nearest_region_crowded": _nearest_in_crowds,
     "plant_locations": _plant_locations,
     # incremental
     "ingest_window": _ingest_window,

@@ -351,3 +351,24 @@ def raw_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     )
     return o.select(k.alias("o_orderkey"), text.alias("raw_text"))
+
+
+# --- points of very unequal density ----------------------------------------------------
+
+def crowded_points(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """(key, latitude, longitude) over suppliers or customers: three in four lie within a few kilometres of one of two
+    towns, the others anywhere between 40 south and 70 north. No two distances are equal but for equal places."""
+    k = F.col(key)
+    a, b = (k * 7919 % 10007).cast("double") / _d(10007.0), (k * 104729 % 10009).cast("double") / _d(10009.0)
+    town = F.when(k % 8 < 4, _d(51.5)).when(k % 8 < 6, _d(-33.9))
+    east = F.when(k % 8 < 4, _d(-0.1)).when(k % 8 < 6, _d(151.2))
+    return table(spark, sf_dir, name).select(
+        key, F.coalesce(town + a * _d(0.05), _d(-40.0) + a * _d(110.0)).alias("latitude"),
+        F.coalesce(east + b * _d(0.08), _d(-180.0) + b * _d(360.0)).alias("longitude"))
+
+
+def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates as text in day-first form, with unreadable and missing ones."""
+    text = F.date_format("o_orderdate", "dd/MM/yyyy HH:mm")
+    k = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.when(k % 50 == 0, "31/02/1995 00:00").when(k % 50 != 1, text).alias("raw_text"))

@@ -10,12 +10,13 @@ from wattframe.functions.text import (
     snake_case,
     strip_whitespace,
 )
-from wattframe.functions.time import parse_timestamp, settlement_day
+from wattframe.functions.time import format_timestamp, parse_timestamp, settlement_day
 
 __all__ = [
     "clean_city",
     "mean",
     "explode_list",
+    "format_timestamp",
     "haversine_km",
     "is_interconnector",
     "parse_timestamp",

@@ -59,7 +59,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
         if not configured:
-            if not sc.master.startswith("local"):
+            if sc.master.startswith("local-cluster") or not sc.master.startswith("local"):
                 raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
             configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
             spark.conf.set("spark.checkpoint.dir", configured)

@@ -33,15 +33,30 @@ def generation_stream(spark: SparkSession, landing_dir: str, max_files_per_trigg
     return reader.json(landing_dir).withColumn("landed_at", F.col("_metadata.file_modification_time"))
 
 
+def without_repeats(records: DataFrame, within: str) -> DataFrame:
+    """A stream without the records that it has brought already within a time of processing (state store).
+
+    A record's file time is part of what must be equal: the same values in a later file may undo a correction, and
+    only the merge can tell. The watermark follows the time of processing, which is never late: however old a file or
+    a settlement day is, its records pass. What repeats after ``within`` is met by the merge.
+    """
+    seen = records.withColumn("_seen_at", F.current_timestamp()).withWatermark("_seen_at", within)
+    return seen.dropDuplicatesWithinWatermark(records.columns).drop("_seen_at")
+
+
 def start_generation_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_path: str,
                             available_now: bool = True, quarantine_path: str | None = None,
-                            max_files_per_trigger: int | None = None) -> StreamingQuery:
+                            max_files_per_trigger: int | None = None, repeats_within: str | None = None) -> StreamingQuery:
     """Merge what lands into the table; ``available_now`` processes whatever has landed and stops
-    (a scheduled daily run). Records that cannot be used go to ``quarantine_path`` if it is given."""
+    (a scheduled daily run). Records that cannot be used go to ``quarantine_path`` if it is given. With
+    ``repeats_within`` repeated records are dropped in front of the merge (:func:`without_repeats`)."""
     def merge(batch: DataFrame, _batch_id: int) -> None:
         merge_generation(batch, table_path, quarantine_path)
 
-    writer = (generation_stream(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(merge)
+    records = generation_stream(spark, landing_dir, max_files_per_trigger)
+    if repeats_within:
+        records = without_repeats(records, repeats_within)
+    writer = (records.writeStream.foreachBatch(merge)
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
