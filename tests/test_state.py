@@ -20,6 +20,7 @@ from wattframe.schemas import GENERATION_COLUMNS, GENERATION_FEED, PARTITION_COL
 from wattframe.session import scratch_dir
 from wattframe.sources import ledger
 from wattframe.streaming import start_generation_ingest
+from wattframe.streaming.ingest import generation_stream, without_repeats
 
 GEN = ("bm_unit string, half_hour_end_time timestamp, national_grid_bm_unit_id string, quantity double, "
        "settlement_date timestamp, settlement_period int, settlement_date_partition date")
@@ -87,7 +88,8 @@ def test_an_older_file_never_wins(spark):
     assert spark.read.parquet(path).where("settlement_period = 1").first().quantity == 9.0
 
 
-def test_stream_with_copies_in_a_file_and_an_older_file_late(spark):
+@pytest.mark.parametrize("within", [None, "1 hour"])
+def test_stream_with_copies_in_a_file_and_an_older_file_late(spark, within):
     landing, table, ckpt = scratch_dir(spark, "landing"), scratch_dir(spark, "table"), scratch_dir(spark, "ckpt")
     os.makedirs(landing)
 
@@ -96,12 +98,29 @@ def test_stream_with_copies_in_a_file_and_an_older_file_late(spark):
         with open(path, "w") as f:
             f.writelines(json.dumps(dict(zip(GENERATION_FEED.names, r))) + "\n" for r in rows)
         os.utime(path, (at, at))
-        start_generation_ingest(spark, landing, table, ckpt).awaitTermination()
+        start_generation_ingest(spark, landing, table, ckpt, repeats_within=within).awaitTermination()
 
     rec = lambda p, q: ("T_A", "2024-01-01T00:30:00Z", "T_A", q, "2024-01-01", p)
     land("b.json", [rec(1, 2.0), rec(1, 2.0), rec(None, 3.0), rec(None, 3.0)], 2_000_000)
     land("a.json", [rec(1, 8.0), rec(2, 4.0)], 1_000_000)
     assert sorted(r.quantity for r in spark.read.parquet(table).collect()) == [2.0, 3.0, 4.0]
+    land("c.json", [rec(1, 5.0)], 2_000_001)
+    land("d.json", [rec(1, 2.0)], 2_000_002)  # the values of b.json again, but later: they count
+    assert sorted(r.quantity for r in spark.read.parquet(table).collect()) == [2.0, 3.0, 4.0]
+
+
+def test_repeats_are_dropped_in_front_of_the_merge(spark):
+    landing = scratch_dir(spark, "landing")
+    os.makedirs(landing)
+    rec = dict(zip(GENERATION_FEED.names, ("T_A", "2024-01-01T00:30:00Z", "T_A", 1.0, "2024-01-01", 1)))
+    for name, at in (("a.json", 5_000_000), ("b.json", 5_000_000), ("c.json", 4_000_000)):  # b repeats a, c is older
+        path = os.path.join(landing, name)
+        with open(path, "w") as f:
+            f.write((json.dumps(rec) + "\n") * 3)
+        os.utime(path, (at, at))
+    stream = without_repeats(generation_stream(spark, landing, max_files_per_trigger=1), "1 hour")
+    stream.writeStream.format("memory").queryName("repeats_seen").trigger(availableNow=True).start().awaitTermination()
+    assert spark.table("repeats_seen").count() == 2
 
 
 # ---- ledger
