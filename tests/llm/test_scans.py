@@ -1,6 +1,7 @@
 """Fingerprints, licenses, personal data: native operators against plain re-statements."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -182,3 +183,64 @@ def test_licenses_equal_brute_force(spark):
     assert got[3].labels == "apache,apache-2.0" and got[9].labels == "gpl,gpl-notice" and got[10].labels == "cc-by-nc"
     assert got[12].labels == "mit-grant" and got[13].labels == "" and got[11].labels == ""
     assert licenses.licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_license_labels_equal_brute_force(spark):
+    rng = random.Random(12)
+    filler = "the of and under this software license is in copy to any notice version public conditions".split()
+    texts = []
+    for _, wording, _ in licenses.TEMPLATES:
+        w = wording.split()
+        for lost in (0, 0.1, 0.3, 0.5, 0.8):  # words replaced, so that some are above and some below the share needed
+            body = [x if rng.random() >= lost else rng.choice(filler + ["zzz"]) for x in w]
+            texts.append(" ".join(rng.choices(filler, k=rng.randrange(6)) + body + rng.choices(filler, k=9)).capitalize())
+        texts += [" ".join(w[3:]), " ".join(w[:len(w) * 2 // 3]), " ".join(sorted(w)), " ".join(w + w)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    n_docs, frequency = licenses.document_frequencies(df)
+    split = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(H.ASCII_LOWER)) for t in texts]
+    assert n_docs == len(texts) and all(frequency.get(x, 0) == sum(x in w for w in split) for x in licenses.vocabulary())
+    got = {r.doc_id: r for r in licenses.licenses(df).collect()}
+    n_found = 0
+    for d, w in enumerate(split):
+        best, labels = 0.0, set()
+        for label, wording, phrase in licenses.TEMPLATES:
+            words, p = wording.split(), phrase.split()
+            lead = next(i for i in range(len(words)) if words[i:i + len(p)] == p)
+            weight = [licenses.idf(n_docs, frequency.get(x, 0)) + 0.01 for x in words]
+            for begin in range(-len(words), len(w)):
+                at = lambda i: w[i] if 0 <= i < len(w) else None
+                if all(at(begin + lead + i) == x for i, x in enumerate(p)):
+                    share = sum(y for i, (x, y) in enumerate(zip(words, weight)) if at(begin + i) == x) / sum(weight)
+                    if share >= licenses.LEAST - 1e-9:
+                        labels.add(label)
+                        best = max(best, share)
+        n_found += len(labels)
+        assert labels == set(got[d].labels.split(",")) - {""} - set(licenses.PHRASES), d
+        assert abs(got[d].score - max(best, 0.5 if got[d].n_base else 0)) < 1e-9
+    assert n_found > 2 * len(licenses.TEMPLATES)
+
+
+def test_secrets_equal_brute_force(spark):
+    hexes = hashlib.sha1(b"x").hexdigest()
+    texts = [f'token = "{hexes}"', f"commit {hexes}", f"API_KEY: {hexes[:20]}", f"key={hexes[:19]}", "secret " + "a1" * 15, "token " + "abcdefghij" * 3,
+             f"bearer {hexes}=== ", f"my password is {hexes}== and token {hexes[::-1]}", "token " + hexes + "é", "token " * 9 + "x" * 50000 + "1",
+             f"token {'.' * 50}{hexes}", f"monkey {hexes}", f"aws_secret_key={hexes}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.personal_data(df).collect():
+        t, want = texts[r.doc_id], []
+        for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])", t):
+            x = m.group(0)
+            bits = -sum(x.count(c) / len(x) * math.log2(x.count(c) / len(x)) for c in set(x))
+            near = re.search(r"\b(\w+[_-])?(token|secret|key|apikey|password|passwd|credential|bearer)s?\b", t[max(m.start() - 40, 0):m.start()].lower())
+            if re.search("[0-9]", x) and re.search("[A-Za-z]", x) and bits >= 3 and near:
+                want.append(f"secret:{m.start()}:{m.end()}")
+        assert [s for s in r.spans.split(",") if s.startswith("secret")] == want, t
+        assert [x for x, s in zip(r.scores.split(","), r.spans.split(",")) if s.startswith("secret")] == ["0.5"] * len(want)
+        assert len(want) == {0: 1, 2: 1, 7: 2, 8: 1, 12: 1}.get(r.doc_id, 0), t
+
+
+def test_secrets_of_the_test_documents_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    planted = docs.where(docs.text.rlike('token = "[0-9a-f]{40}"'))
+    found = pii.personal_data(docs).where("spans like '%secret:%'")
+    assert planted.count() > 0 and {r.doc_id for r in planted.select("doc_id").collect()} <= {r.doc_id for r in found.select("doc_id").collect()}

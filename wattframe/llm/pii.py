@@ -19,10 +19,12 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-# Kinds of the method: bank account numbers, social security numbers, phone numbers without country code.
+# Kinds of the method: bank account numbers, social security numbers, phone numbers without country code,
+# and secrets (keys and tokens: long runs of letters and digits).
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 LOCAL_PHONE = r"(?<![0-9+(.-])(?:\([0-9]{3}\)\x20|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9.-])"
+SECRET = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])"
 
 OCTET = "0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 THRESHOLD = 0.5
@@ -56,6 +58,13 @@ def mod97(account: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add) == 1
 
 
+def entropy(match: Column) -> Column:
+    """Bits a character that the frequencies of a string's characters need."""
+    n = F.length(match)
+    share = lambda c: (n - F.length(F.replace(match, c, F.lit("")))) / n
+    return F.aggregate(F.array_distinct(F.split(match, "")), F.lit(0.0), lambda bits, c: bits - share(c) * F.log2(share(c)))
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -77,6 +86,8 @@ KINDS = (
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", SSN,
          lambda m: ~m.rlike("^(000|666|9)") & ~m.rlike("-00-") & ~m.rlike("-0000$"), 0.4, "ssn|social|security", False),
     Kind("local_phone", r"[0-9]{3}[-.][0-9]{4}", LOCAL_PHONE, lambda m: F.lit(True), 0.4, "phone|tel|call|mobile|fax", False),
+    Kind("secret", r"[A-Za-z0-9+/_-]{20}", SECRET, lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]") & (entropy(m) >= 3.0), 0.4,
+         r"(\w+[_-])?(token|secret|key|apikey|password|passwd|credential|bearer)s?", False),
 )
 
 SPAN = "struct<start:int,rank:int,stop:int,kind:string,score:double>"
@@ -109,11 +120,12 @@ def _joined(found: Column) -> Column:
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, found (spans with kind and score), the counts of the base kinds,
-    base_sha256 and spans.
+    base_sha256, spans and scores (one per span, in the order of spans).
 
     Base kinds (email, ip, card, phone) stay whatever their score; a span of the method's kinds
-    needs a score of THRESHOLD, so that a social security or local phone number without a context
-    word is left alone. Null text counts as empty and has no spans.
+    needs a score of THRESHOLD, so that a social security or local phone number or a digest without a context
+    word is left alone. Null text counts as empty and has no spans. Repeated rows give equal rows, an empty table an
+    empty one; other columns are not looked at. Very long texts are searched whole, in time linear in their length.
     """
     t = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     t = t.select("doc_id", *[spans(F.col("text"), k, i).alias(k.name) for i, k in enumerate(KINDS)])
@@ -123,4 +135,5 @@ def personal_data(docs: DataFrame) -> DataFrame:
                  order(base).alias("base"), order(KINDS).alias("found"))
     return t.select("doc_id", *[f"n_{k.name}" for k in base],
                     F.sha2(F.encode(_joined(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
-                    _joined(F.col("found")).alias("spans"), "found")
+                    _joined(F.col("found")).alias("spans"),
+                    F.array_join(F.transform("found", lambda s: F.round(s["score"], 2).cast("string")), ",").alias("scores"), "found")
