@@ -71,7 +71,7 @@ def vocabulary() -> list[str]:
 
 def document_frequencies(docs: DataFrame) -> tuple[int, dict[str, int]]:
     """Number of documents, and of those with each license word; one row per word is collected."""
-    known = F.array(*[F.lit(w) for w in vocabulary()])
+    known = _literal(vocabulary(), "string")
     found = docs.select(_words(F.col("text").cast("string")).alias("w")).select(
         F.explode(F.array_append(F.array_intersect(F.transform("w", F.lower), known), F.lit(""))).alias("word"))
     counts = {r["word"]: r["n"] for r in found.groupBy("word").agg(F.count("*").alias("n")).collect()}
@@ -92,7 +92,8 @@ def idf(n_docs: int, n: int) -> float:
 
 
 def _literal(values: list, kind: str) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
+    """An array of values without blanks, as one constant: a literal for each value makes plans slow to build."""
+    return F.split(F.lit(" ".join(map(str, values))), " ").cast(f"array<{kind}>")
 
 
 def _phrase_at(words: Column, begin: Column, phrase: list[str]) -> Column:
@@ -147,10 +148,11 @@ def licenses(docs: DataFrame) -> DataFrame:
     hit, spot = "array<struct<word:string,i:int>>", "struct<template:int,begin:int>"
     hits = F.filter(F.transform(w, lambda x, i: F.struct(F.lower(x).alias("word"), i.alias("i"))), lambda h: F.array_contains("rare", h["word"]))
     t = t.withColumn("hits", F.when(F.size("rare") > 0, hits.cast(hit)).otherwise(F.array().cast(hit)))
-    postings = F.create_map(*[x for word, places in index().items() for x in (
-        F.lit(word), F.array(*[F.struct(F.lit(p).alias("template"), F.lit(at).alias("at")) for p, at in places]))])
-    begins_of = F.flatten(F.transform("hits", lambda h: F.transform(postings[h["word"]], lambda p: F.struct(
-        p["template"].alias("template"), (h["i"] - p["at"]).alias("begin")))))
+    postings = F.str_to_map(F.lit(" ".join(f"{word}:" + ",".join(f"{p}@{at}" for p, at in places) for word, places in index().items())),
+                            F.lit(" "), F.lit(":"))
+    begins_of = F.flatten(F.transform("hits", lambda h: F.transform(F.split(postings[h["word"]], ","), lambda p: F.struct(
+        F.split_part(p, F.lit("@"), F.lit(1)).cast("int").alias("template"),
+        (h["i"] - F.split_part(p, F.lit("@"), F.lit(2)).cast("int")).alias("begin")))))
     t = t.withColumn("spots", F.array_sort(begins_of.cast(f"array<{spot}>")))
     # Two words at the right distance: a beginning that comes twice. One word is enough for a base phrase.
     agreed = F.array_distinct(F.filter("spots", lambda s, i: (F.get("spots", i + 1) == s) | (s["template"] >= len(TEMPLATES))))
