@@ -231,3 +231,15 @@ def test_pipeline_stages(spark, empty):
     assert out.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     if not empty:
         assert sizes[2] > 100 and docs.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
+
+
+def test_stages_keep_columns_that_clash_with_their_own(spark):
+    from wattframe.llm import exact, mixing
+
+    rows = [(1, "a b c", "s", 7, "x", "y", "z"), (1, "a b c", "s", 8, None, "y", "z"), (None, "d e", None, 9, "x", None, "z"), (2, None, "s", 10, "x", "y", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, OWN_ID long, _copy string, _copy_2 string, _Copy_ string")
+    kept = exact.kept_documents(docs)
+    assert kept.columns == docs.columns and kept.count() == 3 and {tuple(r) for r in kept.collect()} <= set(rows)
+    mix = mixing.mixed_documents(docs)
+    assert mix.columns == docs.columns and {tuple(r) for r in mix.collect()} <= set(rows)
+    assert mixing.mixed_documents(docs.limit(0)).count() == 0

@@ -35,6 +35,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, or with underscores added, such that no column of ``df`` has it (columns are told apart without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def by_row(docs: DataFrame, stage) -> DataFrame:
     """``stage`` (documents that stay, decided by doc_id) applied to rows instead of ids.
 
@@ -43,9 +51,10 @@ def by_row(docs: DataFrame, stage) -> DataFrame:
     """
     if not docs.groupBy("doc_id").count().where("doc_id is null or count > 1").head(1):
         return stage(docs)
-    ordered = docs.orderBy(F.asc_nulls_last("doc_id"), F.xxhash64("text")).withColumn("own_id", F.col("doc_id"))
+    own = unused("own_id", docs)
+    ordered = docs.orderBy(F.asc_nulls_last("doc_id"), F.xxhash64("text")).withColumn(own, F.col("doc_id"))
     keyed = written(ordered.withColumn("doc_id", F.monotonically_increasing_id()), "keyed-rows")
-    return stage(keyed).withColumn("doc_id", F.col("own_id")).select(*docs.columns)
+    return stage(keyed).withColumn("doc_id", F.col(own)).select(*docs.columns)
 
 
 def word_count(text):

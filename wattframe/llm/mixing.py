@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import word_count, written
+from wattframe.llm.common import unused, word_count, written
 
 WEIGHTS = (3, 1, 2)      # of the sources in code point order, null last, repeating
 SHARE = 1.5              # all targets together, as a share of all words
@@ -112,11 +112,13 @@ def mixed(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, all columns.
 
-    The limits are one row per source, so the texts are filtered where they are read.
+    The limits are one row per source, so the texts are filtered where they are read. Documents without a source
+    mix as a source of their own; a null text has no words, stays as often as its source is taken whole and by its id's hash
+    once more; repeated rows of an id are taken equally often; an empty table gives an empty mix.
     """
     _, limits = mix_limits(docs)
     d, c = docs.alias("d"), limits.select("source", "copies", "limit").alias("c")
     times = (F.col("c.copies") + (mix_hash(F.col("d.doc_id")) < F.col("c.limit")).cast("long")).cast("int")
     rows = d.join(c, F.col("d.source").cast("string").eqNullSafe(F.col("c.source"))).where(times > 0)
-    return rows.select("d.*", F.explode(F.array_repeat(F.lit(1), times)).alias("_copy")).drop("_copy") \
-        if "_copy" not in docs.columns else rows.select("d.*", F.explode(F.array_repeat(F.lit(1), times)).alias("_copy_2")).drop("_copy_2")
+    copy = unused("_copy", docs)
+    return rows.select("d.*", F.explode(F.array_repeat(F.lit(1), times)).alias(copy)).drop(copy)
