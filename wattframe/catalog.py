@@ -194,8 +194,9 @@ def _stream_ingest(spark, sf):
     """Two available-now runs of one stream into a table: the facts, then corrections of old days."""
     landing, table, ckpt = (scratch_dir(spark, n) for n in ("stream-landing", "stream-table", "stream-ckpt"))
     loads = _loads(spark, sf)
-    for load in (1, 2):  # one landed file each; it may hold a key several times
-        fx.as_feed(loads.where(F.col("load_id") == load)).coalesce(1).write.mode("append").json(landing)
+    for load in (1, 2):  # a landed file may hold a key several times, and all that a load holds of it
+        feed = fx.as_feed(loads.where(F.col("load_id") == load))
+        feed.repartition("bmUnit", "settlementDate", "settlementPeriod").write.mode("append").json(landing)
         start_generation_ingest(spark, landing, table, ckpt).awaitTermination()
     return spark.read.parquet(table).select(*GENERATION_COLUMNS)
 

@@ -52,11 +52,13 @@ def merge_generation(raw: DataFrame, table_path: str, quarantine_path: str | Non
     empty = F.coalesce(*[F.col(c).cast("string") for c in cols]).isNull()
     day = clean.parse_timestamp(F.col("settlementDate"))
     reason = F.when(unreadable, F.lit("unreadable record")).when(~empty & day.isNull(), F.lit("no settlement date"))
-    raw, _ = materialised(raw, "landed")  # the feed is parsed once, and a micro-batch is read twice
-    _set_aside(raw, reason, cols, quarantine_path)
+    if quarantine_path:  # read for it and for the facts, but parsed once
+        raw, _ = materialised(raw, "landed")
+        _set_aside(raw, reason, cols, quarantine_path)
     if LANDED_AT not in raw.columns:
         raw = raw.withColumn(LANDED_AT, F.lit(None).cast("timestamp"))
     facts = clean.clean_generation(raw.where(~unreadable), keep=(LANDED_AT,)).where(F.col(PARTITION_COLUMN).isNotNull())
+    facts, _ = materialised(facts, "landed-facts")  # the merge reads its batch several times
     return merge_days(facts, table_path, list(GENERATION_KEY), version=LANDED_AT)
 
 
