@@ -1,13 +1,17 @@
-"""Feeds are landed by many tasks."""
+"""Feeds are landed by many tasks, and what lands is parsed once."""
 
 import datetime as dt
 import glob
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from wattframe import catalog
+from wattframe.schemas import GENERATION_FEED
 from wattframe.session import scratch_dir
+from wattframe.sources.json_arrays import read_json_array
+from wattframe.sources.sinks import write_json_arrays
 
 LINEITEM = "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_shipdate timestamp_ntz"
 
@@ -56,3 +60,28 @@ def test_stream_lands_a_load_in_several_files(spark, landed):
         for r in map(json.loads, open(f)):
             holds.setdefault((r.get("bmUnit"), r["settlementDate"], r.get("settlementPeriod")), set()).add(f)
     assert all(len(f) == (1 if d.startswith("2024-01-03") else 2) for (_, d, _), f in holds.items())  # one file of each load
+
+
+def test_arrays_land_in_several_files(spark, landed):
+    rows = [(k, k, 1, float(k % 9), dt.datetime(2024, 1, 1 + k % 7)) for k in range(900)]
+    out = catalog.queries()["json_array_generation"](spark, lineitem(spark, rows))
+    assert out.count() == sum(k % 97 != 0 for k in range(900))
+    files = glob.glob(landed["landing-array"] + "/*.txt")
+    texts = [open(f).read() for f in files]
+    assert len(files) > 1 and all(len(t.splitlines()) == 1 for t in texts)
+    assert sum(len(json.loads(t)) - 1 for t in texts) == 900
+    assert max(len(json.loads(t)) for t in texts) < 900
+
+
+def test_arrays_are_parsed_once(spark):
+    path = scratch_dir(spark, "arrays")
+    feed = spark.range(100).select(*[(F.concat(F.lit("a}\""), "id") if t == "string" else F.col("id").cast(t)).alias(n)
+                                     for n, t in ((f.name, f.dataType.simpleString()) for f in GENERATION_FEED.fields)])
+    write_json_arrays(feed.union(feed.where("false")), path)
+    back = read_json_array(spark, path, GENERATION_FEED)
+    assert sorted(back.where("quantity is not null").select(*feed.columns).collect()) == sorted(feed.collect())
+    plain = scratch_dir(spark, "arrays")
+    write_json_arrays(feed.select("quantity", "settlementPeriod"), plain)
+    back = read_json_array(spark, plain, GENERATION_FEED)
+    assert back.where("quantity is not null").count() == 100
+    assert "FileScan text" not in back._jdf.queryExecution().executedPlan().toString()

@@ -34,7 +34,7 @@ from wattframe.sources.files import read_csv, read_feed_json, stored_days, table
 from wattframe.sources.inline import inline_table
 from wattframe.sources.json_arrays import read_json_array
 from wattframe.sources.ledger import loaded_days
-from wattframe.sources.sinks import write_csv, write_days, write_json_lines, write_table
+from wattframe.sources.sinks import write_csv, write_days, write_json_arrays, write_json_lines, write_table
 from wattframe.streaming import start_generation_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,12 +181,9 @@ def _json_roundtrip(spark, sf):
 
 
 def _json_array(spark, sf):
-    """The feed landed as a single file: one line that holds one JSON array."""
+    """The feed landed as responses: each file is one line that holds one JSON array (one file of a small feed)."""
     path = scratch_dir(spark, "landing-array")
-    records = fx.generation_feed(spark, sf).select(F.concat(F.lit(","), F.to_json(F.struct("*"))).alias("value"))
-    part = lambda text: spark.range(1).select(F.lit(text).alias("value"))
-    whole = part("[{}").unionAll(records).unionAll(part("]"))
-    whole.coalesce(1).write.option("lineSep", " ").text(path)
+    write_json_arrays(fx.generation_feed(spark, sf), path)
     return clean.clean_generation(read_json_array(spark, path, GENERATION_FEED))
 
 

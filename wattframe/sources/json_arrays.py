@@ -5,6 +5,7 @@ it, and the file can be cut anywhere between pieces. Pieces that are no whole re
 that holds ``}``, a nested value) are put together again with their neighbours: pieces are numbered
 within their split of the file, splits are added up, and a run of consecutive fragments is parsed as
 an array of its own. A file in which some run still cannot be read that way is read whole, by one task.
+The text is split and parsed once: what was read of each piece is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from wattframe.operators.broadcast import materialised
 from wattframe.sources.files import CORRUPT
 
 _FILE = ("file", "modified")
+#: What may stand between two records, and in front of the first one.
+_BEFORE = " \t\n\x0b\f\r,["
 
 
 def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -24,13 +27,13 @@ def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     lines = spark.read.option("lineSep", "}").text(path)
     return lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"),
                         F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"),
-                        F.col("value").alias("raw"), F.regexp_replace("value", r"^[\s,\[]+", "").alias("text"))
+                        F.col("value").alias("raw"), F.ltrim("value", F.lit(_BEFORE)).alias("text"))
 
 
 def _quotes(text):
     """Number of quotes that are not escaped."""
-    plain = F.regexp_replace(text, r"\\.", "")
-    return F.length(plain) - F.length(F.regexp_replace(plain, '"', ""))
+    plain = F.when(text.contains("\\"), F.regexp_replace(text, r"\\.", "")).otherwise(text)
+    return F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))
 
 
 def read_json_array(spark: SparkSession, path: str | list[str], schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
@@ -44,17 +47,19 @@ def read_json_array(spark: SparkSession, path: str | list[str], schema: T.Struct
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     pieces = _pieces(spark, path)
     parsed = F.from_json(F.concat("text", F.lit("}")), fields, options)
-    read = pieces.withColumn("record", parsed).withColumn(
-        "whole", F.col("text").startswith("{") & F.col(f"record.{CORRUPT}").isNull() & (_quotes(F.col("text")) % 2 == 0))
+    whole = F.col("text").startswith("{") & F.col(f"record.{CORRUPT}").isNull() & (_quotes(F.col("text")) % 2 == 0)
     end = F.regexp_replace("text", r"[\s\]]+", "").isin("", "null")
+    read = pieces.withColumn("record", parsed).withColumn("whole", whole)
+    read = read.select(*_FILE, "split", "at", "whole", F.when(F.col("whole"), F.col("record")).alias("record"),
+                       F.when(~F.col("whole"), F.col("raw")).alias("raw"), F.when(~F.col("whole"), end).alias("end"))
+    read, _ = materialised(read, "pieces")
     columns = [*schema.names, *([CORRUPT] if keep_corrupt else []), "landed_at"]
-    whole = read.where("whole").select("record.*", F.col("modified").alias("landed_at")).select(*columns)
 
-    fragments, _ = materialised(read.where(~F.col("whole")).select(*_FILE, "split", "at", "raw", end.alias("end")), "fragments")
+    fragments = read.where(~F.col("whole")).select(*_FILE, "split", "at", "raw", "end")
     if not fragments.where("not end").head(1):
-        return whole
+        return read.where("whole").select("record.*", F.col("modified").alias("landed_at")).select(*columns)
     # Numbers of pieces within their file: their place in the split plus what the splits before it hold.
-    held = pieces.groupBy("file", "split").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    held = read.groupBy("file", "split").agg(F.count("*").alias("n"), F.min("at").alias("first"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     held = held.select(F.col("file").alias("of"), F.col("split").alias("of_split"), "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
                        F.sum("n").over(Window.partitionBy("file")).alias("n_pieces"))
