@@ -18,7 +18,7 @@ from wattframe.plans import views as V
 from wattframe.plans.ingest import merge_generation
 from wattframe.schemas import GENERATION_COLUMNS, GENERATION_FEED, PARTITION_COLUMN
 from wattframe.session import scratch_dir
-from wattframe.sources import ledger
+from wattframe.sources import ledger, sinks
 from wattframe.streaming import start_generation_ingest
 from wattframe.streaming.ingest import generation_stream, without_repeats
 
@@ -66,6 +66,24 @@ def test_rows_without_a_full_key_are_all_kept(spark):
     assert inc.dedup_generation(facts(spark, rows).withColumn("load_id", F.lit(1))).count() == 5
 
 
+@pytest.mark.parametrize("slice_rows, rows_a_key, dealt", [(1_000_000, 4, True), (5, 4, True), (5, 1, False)])
+def test_a_merge_shuffles_rows_by_day_once(spark, monkeypatch, slice_rows, rows_a_key, dealt):
+    by_day = []
+    write = sinks.write_days
+    monkeypatch.setattr(sinks, "SLICE_ROWS", slice_rows)
+    monkeypatch.setattr(sinks, "ROWS_A_KEY", rows_a_key)
+    monkeypatch.setattr(sinks, "write_days", lambda *a, **k: (by_day.append(k.get("rebalance", True)), write(*a, **k)))
+    path = scratch_dir(spark, "dealt")
+    full = [(f"T_{u}", day(1), p, float(v)) for u in range(10) for p in (1, 2) for v in (1, 2, 3)]
+    part = [(None, day(1), 1, 8.0), (None, day(1), 1, 8.0), ("T_1", day(1), None, 9.0), ("T_1", None, 1, 5.0), ("T_2", day(2), 1, 6.0)]
+    rows = spark.createDataFrame([fact(*r) if r[1] else (r[0], None, "ng", r[3], None, r[2], None) for r in full + part], GEN)
+    for _ in range(2):  # a large day, then the same one with its stored rows
+        inc.merge_days(rows, path, order=("quantity",))
+        got = spark.read.parquet(path).select("bm_unit", "settlement_period", "quantity")
+        assert sorted(r.quantity for r in got.collect()) == [3.0] * 20 + [5.0, 6.0, 8.0, 9.0]
+    assert by_day == [not dealt] * 2
+
+
 def feed(rows, landed):
     return [(u, f"{d}T00:30:00Z", u, q, str(d), p, landed) for u, d, p, q in rows]
 

@@ -161,7 +161,7 @@ def merge_days(batch: DataFrame, table_path: str, order: tuple[str, ...] = (), d
     """Merge generation rows into the day-partitioned table by (unit, date, period): rows of a
     touched day that the batch does not hold stay, re-published ones are replaced, rows without a
     full key are kept as they are (:func:`wattframe.sources.sinks.merge_days`). Returns the touched days."""
-    return sinks.merge_days(batch, table_path, list(GENERATION_KEY), order, drop)
+    return sinks.merge_days(batch, table_path, list(GENERATION_KEY), order, drop, day_key="settlement_date")
 
 
 def refresh_daily(daily_path: str, table_path: str, spark, days: list) -> None:

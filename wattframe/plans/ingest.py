@@ -59,7 +59,7 @@ def merge_generation(raw: DataFrame, table_path: str, quarantine_path: str | Non
         raw = raw.withColumn(LANDED_AT, F.lit(None).cast("timestamp"))
     facts = clean.clean_generation(raw.where(~unreadable), keep=(LANDED_AT,)).where(F.col(PARTITION_COLUMN).isNotNull())
     facts, _ = materialised(facts, "landed-facts")  # the merge reads its batch several times
-    return merge_days(facts, table_path, list(GENERATION_KEY), version=LANDED_AT)
+    return merge_days(facts, table_path, list(GENERATION_KEY), version=LANDED_AT, day_key="settlement_date")
 
 
 def merge_capacity(raw: DataFrame, table_path: str, quarantine_path: str | None = None) -> list:

@@ -6,7 +6,9 @@ stored rows of a touched day that the batch does not replace; :func:`write_days`
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager, nullcontext
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +16,12 @@ from wattframe.operators.dedup import keep_last
 from wattframe.schemas import PARTITION_COLUMN
 from wattframe.session import scratch_dir
 from wattframe.sources import ledger
-from wattframe.sources.files import NULL_PARTITION, read_days, stored_days
+from wattframe.sources.files import NULL_PARTITION, read_days, stored_days, table_exists
+
+#: A stored day of more rows is merged and written in slices.
+SLICE_ROWS = 1_000_000
+#: Rows a key in a day of more than ``SLICE_ROWS`` rows, from which on tasks reduce their keys before the shuffle.
+ROWS_A_KEY = 4
 
 
 def write_days(
@@ -41,15 +48,46 @@ def write_days(
     out = df.sortWithinPartitions(partition_col, *keys)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
     writer = writer.options(**lookup_options(*[c for c in lookup if c in df.columns]))
-    conf, setting = df.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.enabled"
+    with _no_coalescing(df.sparkSession):
+        writer.parquet(path)
+
+
+@contextmanager
+def _no_coalescing(spark: SparkSession):
+    """Small shuffle partitions stay apart."""
+    conf, setting = spark.conf, "spark.sql.adaptive.coalescePartitions.enabled"
     before = conf.get(setting)
     conf.set(setting, "false")
     try:
-        writer.parquet(path)
+        yield
     finally:
         conf.set(setting, before)
 
 
+def _repeats_keys(batch: DataFrame, key: list[str], sizes: dict, partition_col: str) -> bool:
+    """Whether a day of more than ``SLICE_ROWS`` rows holds more than ``ROWS_A_KEY`` rows a key."""
+    large = [d for d, n in sizes.items() if n > SLICE_ROWS]
+    if not large:
+        return False
+    day = F.col(partition_col)
+    of = day.isin([d for d in large if d is not None])
+    n_keys = F.approx_count_distinct(F.xxhash64(*key)).alias("k")
+    held = batch.where(of | day.isNull() if None in large else of).groupBy(day).agg(F.count("*").alias("n"), n_keys)
+    return bool(held.where(F.col("n") > ROWS_A_KEY * F.col("k")).head(1))
+
+
+def _slice(day: Column, spread: Column, sizes: dict) -> Column:
+    """Number of a row's slice of its day: days of more than ``SLICE_ROWS`` rows have 2, 4, 8, ... slices."""
+    by_count: dict[int, list] = {}
+    for d, n in sizes.items():
+        if n > SLICE_ROWS and d is not None:
+            by_count.setdefault(1 << ((n - 1) // SLICE_ROWS).bit_length(), []).append(d)
+    count = F.lit(1)
+    for k, of in by_count.items():
+        count = F.when(day.isin(of), k).otherwise(count)
+    return F.pmod(spread, count.cast("long"))
+
+
 def lookup_options(*columns: str) -> dict[str, str]:
     """Parquet options for columns that are looked up by value.
 
@@ -61,7 +99,7 @@ def lookup_options(*columns: str) -> dict[str, str]:
 
 
 def merge_days(batch: DataFrame, path: str, key: list[str], order: tuple[str, ...] = (), drop: tuple[str, ...] = (),
-               partition_col: str = PARTITION_COLUMN, version: str | None = None) -> list:
+               partition_col: str = PARTITION_COLUMN, version: str | None = None, day_key: str | None = None) -> list:
     """Merge ``batch`` into the day-partitioned table at ``path`` by ``key``; returns the touched days.
 
     Rows of a touched day that the batch does not hold stay. Of the rows with one key the largest
@@ -75,9 +113,14 @@ def merge_days(batch: DataFrame, path: str, key: list[str], order: tuple[str, ..
     folder before they replace the stored ones, so a failed run can be repeated, and their
     numbers of rows are appended to the table's ledger. Running a batch twice changes nothing.
     ``batch`` is evaluated twice: write it first if that is dear.
+
+    ``day_key`` names the key column that the day follows from. Rows are then dealt out by it once, a large
+    day in slices of its keys: the versions of a key meet where their day is written from, and nothing is
+    shuffled by day again. Where a day holds far more rows than keys, each task reduces its keys first.
     """
     spark = batch.sparkSession
-    days = [r[0] for r in batch.select(partition_col).distinct().collect()]  # one value per calendar day
+    sizes = dict(batch.groupBy(partition_col).count().collect())  # one row per calendar day
+    days = list(sizes)
     if not days:
         return []
     stored = T.StructType([f for f in batch.schema.fields if f.name not in drop])
@@ -89,18 +132,27 @@ def merge_days(batch: DataFrame, path: str, key: list[str], order: tuple[str, ..
     columns = [c for c in rows.columns if c not in drop and c != "_load"]
     newest = [version] if version else []
     whole = [c for c in columns if c != version]
-    keyed, others = rows, rows.where("false")
+    same = list(key)
     if set(whole) != set(key):  # else the whole row is the key, NULLs included
-        has_key = F.lit(True)
+        lacks = F.lit(False)
         for c in key:
-            has_key = has_key & F.col(c).isNotNull()
-        keyed, others = rows.where(has_key), rows.where(~has_key)
-    merged = keep_last(keyed, key, [*newest, "_load", *order]).select(*columns).unionByName(
-        keep_last(others.select(*columns), whole, newest) if version else others.select(*columns).distinct())
+            lacks = lacks | F.col(c).isNull()
+        rows = rows.withColumn("_row", F.when(lacks, F.struct(*whole)))  # NULL beside a full key
+        same.append("_row")
+    dealt = day_key is not None and not _repeats_keys(batch, key, sizes, partition_col)
+    if dealt:
+        if folders and table_exists(spark, ledger.ledger_path(path)):
+            for r in ledger.loaded_days(spark, path).collect():
+                if r[0] in sizes:
+                    sizes[r[0]] += r["n_rows"] or 0
+        rows = rows.withColumn("_slice", _slice(F.to_date(day_key), F.xxhash64(*same), sizes)).repartition(day_key, "_slice")
+        same = [day_key, "_slice", *[c for c in same if c != day_key]]
+    merged = keep_last(rows, same, [*newest, "_load", *order]).select(*columns)
     stage = scratch_dir(spark, "merged-days")
-    merged.write.parquet(stage)
+    with _no_coalescing(spark) if dealt else nullcontext():
+        merged.write.parquet(stage)
     merged = spark.read.schema(merged.schema).parquet(stage)
-    write_days(merged, path, partition_col=partition_col)
+    write_days(merged, path, partition_col=partition_col, rebalance=not dealt)
     ledger.record(path, merged.groupBy(F.col(partition_col).alias("day")).agg(F.count("*").alias("n_rows")))
     return days
 
