@@ -203,6 +203,18 @@ def test_ranking_follows_loads_and_corrections(spark):
     assert rounded(R.ranking(spark, state)) == rounded(full(spark, table, other))
 
 
+def test_sums_of_the_days_are_computed_once(spark, monkeypatch):
+    def sampled(*_):
+        raise AssertionError("ranges are sampled: what they are made of is computed twice")
+
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", sampled)
+    table, state = scratch_dir(spark, "t"), scratch_dir(spark, "s")
+    rows = [(u, day(n), p, 1.0) for u in ("T_B", "T_A") for n in (3, 1, 2) for p in (1, 2)]
+    R.refresh(spark, state, table, dims(spark), inc.merge_days(facts(spark, rows), table))
+    kept = [(str(r.day), r.bm_unit, r.mwh) for r in spark.read.parquet(f"{state}/daily/version=0").collect()]
+    assert sorted(kept) == [(f"2024-01-0{n}", u, 2.0) for n in (1, 2, 3) for u in ("T_A", "T_B")]
+
+
 def test_ranking_reads_no_facts_of_untouched_days(spark):
     table, state, d = scratch_dir(spark, "facts"), scratch_dir(spark, "state"), dims(spark)
     R.refresh(spark, state, table, d, inc.merge_days(facts(spark, [("T_A", day(1), 1, 5.0), ("T_B", day(2), 1, 4.0)]), table))

@@ -132,7 +132,8 @@ def refresh(spark: SparkSession, root: str, table_path: str, dims: UnitDims, day
     if held:
         facts = read_days(spark, table_path, held).where(F.col("quantity") > 0)
         sums = facts.groupBy(F.col(PARTITION_COLUMN).alias("day"), "bm_unit").agg(*positive_sums(F.col("quantity")))
-        sums.repartitionByRange("day", "bm_unit").sortWithinPartitions("day", "bm_unit").write.mode("overwrite").parquet(daily)
+        # A rebalance keeps the rows of a day together (a hot day is split), without computing the sums twice to sample ranges.
+        sums.hint("rebalance", "day").sortWithinPartitions("day", "bm_unit").write.mode("overwrite").parquet(daily)
         written = spark.read.schema(_DAILY).parquet(daily)
         found = {str(r[0]): r[1] for r in written.groupBy("day").count().collect()}  # one row per calendar day
         now = written.drop("day")
