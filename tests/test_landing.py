@@ -2,6 +2,7 @@
 
 import datetime as dt
 import glob
+import gzip
 import json
 
 import pytest
@@ -62,6 +63,41 @@ def test_stream_lands_a_load_in_several_files(spark, landed):
     assert all(len(f) == (1 if d.startswith("2024-01-03") else 2) for (_, d, _), f in holds.items())  # one file of each load
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_repeats_land_compressed_and_leave_no_shuffle_files(spark, landed):
+    days = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    # Every key three times with other quantities, dealt over the files of the table; some rows lack a part of the key.
+    rows = [(k, k % 5, 1, 10.0 + v, d) for k in range(20) for v in (2, 0, 1) for d in days] + [(None, 7, 1, 5.0, days[0]), (3, None, 1, 5.0, days[0])]
+    sf, held = lineitem(spark, rows), shuffle_files(spark)
+    changed = "spark.sql.streaming.stateStore.providerClass", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    settings = [spark.conf.get(k, None) for k in changed]
+    out = catalog.queries()["stream_ingest_repeats"](spark, sf)
+    assert not {n for n in shuffle_files(spark) - held if n.endswith(".data")}
+    assert [spark.conf.get(k, None) for k in changed] == settings
+    keyed = {(r.bm_unit, r.settlement_date, r.settlement_period, round(r.quantity, 6)) for r in out.collect()
+             if r.bm_unit is not None and r.settlement_period is not None}
+    want = {(f"{'I_' if k % 5 == 0 else 'IE' if k % 5 == 1 else 'T_'}{k % 5}", d, k % 48 + 1, round(7.0 + k / 1e6 + (d.day < 3), 6)) for k in range(20) for d in days}
+    assert keyed == want and out.count() == len(want) + 3 and {r.settlement_period for r in out.collect()} >= {None}
+    files = glob.glob(landed["stream-landing"] + "/*.json.gz")
+    assert len(files) > 4 and not glob.glob(landed["stream-landing"] + "/*.json")
+    holds = {}
+    for f in files:
+        texts = gzip.open(f, "rt").read().splitlines()
+        assert all(texts.count(t) % 3 == 0 for t in texts)
+        for r in map(json.loads, texts):
+            holds.setdefault((r.get("bmUnit"), r["settlementDate"], r.get("settlementPeriod")), set()).add(f)
+    assert all(len(f) == (1 if d.startswith("2024-01-03") else 2) for (_, d, _), f in holds.items())  # one file of each load
+    state = glob.glob(landed["stream-ckpt"] + "/state/0/*/*")
+    assert any(f.endswith(".zip") for f in state) and not any(f.endswith(".delta") for f in state)  # on disk, not on the heap
+
+
 def test_arrays_land_in_several_files(spark, landed):
     rows = [(k, k, 1, float(k % 9), dt.datetime(2024, 1, 1 + k % 7)) for k in range(900)]
     out = catalog.queries()["json_array_generation"](spark, lineitem(spark, rows))

@@ -141,6 +141,28 @@ def test_repeats_are_dropped_in_front_of_the_merge(spark):
     assert spark.table("repeats_seen").count() == 2
 
 
+def test_state_of_repeats_holds_no_texts(spark):
+    landing, ckpt, long = scratch_dir(spark, "landing"), scratch_dir(spark, "ckpt"), "T_" + "x" * 100
+    os.makedirs(landing)
+    kinds = [("a", None), (None, "a"), ("", "a"), (None, ""), ("", None), ("a", "a"), (None, None), ("aa", ""), (long, long), (long, "a")]
+    records = [{"bmUnit": u, "nationalGridBmUnitId": g, "quantity": q} for u, g in kinds for q in (0.0, -0.0, 1.5, None)]
+    for name in ("a.json", "b.json"):
+        path = os.path.join(landing, name)
+        with open(path, "w") as f:
+            f.writelines(json.dumps(r) + "\n" for r in records * 2)
+            f.writelines(["no record\n"] * 2 + ["nor this\n"])
+        os.utime(path, (5_000_000, 5_000_000))
+    stream = without_repeats(generation_stream(spark, landing, max_files_per_trigger=1), "1 hour")
+    names = GENERATION_FEED.names
+    assert stream.columns == [*names, "_corrupt_record", "landed_at"]
+    stream.writeStream.format("memory").queryName("texts_seen").option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
+    seen = [(r.bmUnit, r.nationalGridBmUnitId, str(r.quantity)) for r in spark.table("texts_seen").where("_corrupt_record is null").collect()]
+    assert sorted(seen, key=str) == sorted(((r["bmUnit"], r["nationalGridBmUnitId"], str(r["quantity"])) for r in records), key=str)
+    assert sorted(r[0] for r in spark.table("texts_seen").where("_corrupt_record is not null").select("_corrupt_record").collect()) == ["no record", "nor this"]
+    schema = "".join(open(os.path.join(d, f), errors="replace").read() for d, _, fs in os.walk(f"{ckpt}/state/0/0/_metadata") for f in fs if not f.endswith(".crc"))
+    assert "landed_at" in schema and "bmUnit" not in schema and "_corrupt_record" not in schema
+
+
 # ---- ledger
 
 def test_mark_gaps_and_window_come_from_the_ledger_alone(spark):

@@ -28,7 +28,7 @@ from wattframe.plans import rankings as R
 from wattframe.plans import sql as S
 from wattframe.plans import views as V
 from wattframe.schemas import CAPACITY_FEED, FUEL_MAPPING, GENERATION_COLUMNS, GENERATION_FEED, PARTITION_COLUMN, UNIT_INFO_FEED
-from wattframe.session import scratch_dir
+from wattframe.session import scratch_dir, shuffles_released
 from wattframe.sources import buckets as B
 from wattframe.sources.files import read_csv, read_feed_json, stored_days, table_files
 from wattframe.sources.inline import inline_table
@@ -201,9 +201,12 @@ def _stream_ingest(spark, sf):
 def _stream_ingest_repeats(spark, sf):
     """The same two runs with every record three times in its file; repeats are dropped in front of the merge."""
     landing, table, ckpt = (scratch_dir(spark, n) for n in ("stream-landing", "stream-table", "stream-ckpt"))
-    loads = _loads(spark, sf).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3))))
-    for load in (1, 2):
-        fx.as_feed(loads.where(F.col("load_id") == load)).write.mode("append").json(landing)
+    loads = _loads(spark, sf).repartition("bm_unit", "settlement_date", "settlement_period")
+    for load in (1, 2):  # dealt out and put into text once, then repeated; files of repeats are small when compressed
+        feed = fx.as_feed(loads.where(F.col("load_id") == load))
+        copies = feed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3)))).select(*feed.columns)
+        with shuffles_released(spark):
+            copies.write.mode("append").option("compression", "gzip").json(landing)
         start_generation_ingest(spark, landing, table, ckpt, repeats_within="1 hour").awaitTermination()
     return spark.read.parquet(table).select(*GENERATION_COLUMNS)
 

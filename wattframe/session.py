@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -70,3 +71,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/wattframe-{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def changed_settings(spark: SparkSession, settings: dict[str, str]):
+    """Other settings for a while; those that were unset are unset again."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Shuffle files go when their query has ended, not when the driver collects its garbage.
+RELEASE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def shuffles_released(spark: SparkSession):
+    """What is run meanwhile, and streams started meanwhile, leave no shuffle files behind."""
+    return changed_settings(spark, RELEASE_SHUFFLES)

@@ -16,11 +16,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattframe.plans.ingest import merge_generation
 from wattframe.schemas import GENERATION_FEED
+from wattframe.session import RELEASE_SHUFFLES, changed_settings
 from wattframe.sources.files import CORRUPT
 
 
 #: How much older than the newest landed file a file may be.
 MAX_FILE_AGE = "36500d"
+_ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
+#: State on disk, in bounded memory: the default store holds every record that a stream has seen on the executors' heap.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_ROCKSDB}.boundedMemoryUsage": "true",
+    f"{_ROCKSDB}.trackTotalNumberOfRows": "false",  # else every new record is looked up a second time
+}
 
 
 def generation_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -39,9 +47,15 @@ def without_repeats(records: DataFrame, within: str) -> DataFrame:
     A record's file time is part of what must be equal: the same values in a later file may undo a correction, and
     only the merge can tell. The watermark follows the time of processing, which is never late: however old a file or
     a settlement day is, its records pass. What repeats after ``within`` is met by the merge.
+
+    The state holds the values of a record that have a fixed width, and its texts as 128 bits of hash.
     """
     seen = records.withColumn("_seen_at", F.current_timestamp()).withWatermark("_seen_at", within)
-    return seen.dropDuplicatesWithinWatermark(records.columns).drop("_seen_at")
+    texts = [c for c, kind in records.dtypes if kind == "string"]
+    parts = [x for c in texts for x in (F.col(c), F.col(c).isNull())]  # the hash passes over NULL
+    seen = seen.withColumns({f"_texts_{n}": F.xxhash64(F.lit(n), *parts) for n in (1, 2)})
+    key = [*[c for c in records.columns if c not in texts], "_texts_1", "_texts_2"]
+    return seen.dropDuplicatesWithinWatermark(key).select(*records.columns)
 
 
 def start_generation_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_path: str,
@@ -59,4 +73,5 @@ def start_generation_ingest(spark: SparkSession, landing_dir: str, table_path: s
     writer = (records.writeStream.foreachBatch(merge)
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    with changed_settings(spark, RELEASE_SHUFFLES | (STATE_STORE if repeats_within else {})):  # a stream keeps those it starts with
+        return writer.start()
