@@ -29,6 +29,8 @@ STATE_STORE = {
     f"{_ROCKSDB}.boundedMemoryUsage": "true",
     f"{_ROCKSDB}.trackTotalNumberOfRows": "false",  # else every new record is looked up a second time
 }
+#: For a run that stops by itself: no store stays open beside its copy in the checkpoint; the next batch fetches it from there.
+CLOSE_STATE = {"spark.sql.streaming.stateStore.unloadOnCommit": "true"}
 
 
 def generation_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -73,5 +75,6 @@ def start_generation_ingest(spark: SparkSession, landing_dir: str, table_path: s
     writer = (records.writeStream.foreachBatch(merge)
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    with changed_settings(spark, RELEASE_SHUFFLES | (STATE_STORE if repeats_within else {})):  # a stream keeps those it starts with
+    settings = RELEASE_SHUFFLES | (STATE_STORE if repeats_within else {}) | (CLOSE_STATE if repeats_within and available_now else {})
+    with changed_settings(spark, settings):  # a stream keeps those it starts with
         return writer.start()
